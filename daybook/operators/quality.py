@@ -1,11 +1,12 @@
 """Data-quality checks on a keyed daily series, reported as DataFrames.
 
-All checks of a report come out of one scan: the input is aggregated once per
-(key, date), the result once per key, and that once more to a single row.
-Every report slice below is derived from those aggregates, so when the slices
-are unioned Spark plans the (key, date) exchange once and reuses it
-(``ReusedExchange``). Both group-bys aggregate partially before shuffling, so
-a hot key or a hot (key, date) never lands whole in one task.
+A whole report comes out of one scan and two shuffles: the input is
+aggregated per (key, date), then ``rollup(key)`` yields every key's row plus
+one grand-total row in the same aggregate, and a single generator turns those
+into report rows (expected keys ride along as empty rows, so missing keys need
+no join). Both aggregates are partial before their shuffle, so a hot key or a
+hot (key, date) never lands whole in one task, and the grand total reaches its
+reducer as one row per map task.
 
 Report rows: ``(check, subject, count, percentage, severity)`` with severity
 ``ok`` / ``warning`` / ``error``.
@@ -139,35 +140,50 @@ def missing_keys(df: DataFrame, k: str, expected: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- one-scan report
 
 
-def _profiles(df: DataFrame, spec: SeriesSpec) -> tuple[DataFrame, DataFrame]:
-    """(per-key aggregate, one-row total) computed from one (key, date) pass."""
+def _rolled(df: DataFrame, spec: SeriesSpec, expected: DataFrame | None) -> DataFrame:
+    """Per-key rows and one grand-total row from a single pass.
+
+    1. ``groupBy(key, date)`` (partial aggregate, shuffle on key+date);
+    2. expected keys are added as empty rows;
+    3. ``rollup(key)`` (partial aggregate, shuffle on key): grouping id 0
+       rows are keys, the grouping id 1 row is the whole table.
+    """
     k, d, v = spec.k, spec.d, spec.v
     per_kd = df.groupBy(k, d).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col(v).isNull()).alias("n_null_v"),
         F.count_if(_invalid_value(v)).alias("n_invalid_v"),
     )
+    n = F.col("n")
     # key NULL-ness, date NULL-ness and date validity are constant in a group
-    n_if = lambda cond: F.sum(F.when(cond, F.col("n")).otherwise(F.lit(0)))
-    per_k = per_kd.groupBy(k).agg(
-        F.sum("n").alias("n"),
-        n_if(F.col(d).isNull()).alias("n_null_d"),
-        F.sum("n_null_v").alias("n_null_v"),
-        F.sum("n_invalid_v").alias("n_invalid_v"),
-        n_if(parsed_date(d).isNull()).alias("n_bad_d"),
-        F.count_if(F.col("n") > 1).alias("dup_groups"),
+    rows = per_kd.select(
+        F.col(k).cast("string").alias(k),
+        n,
+        F.when(F.col(k).isNull(), n).otherwise(F.lit(0)).alias("n_null_k"),
+        F.when(F.col(d).isNull(), n).otherwise(F.lit(0)).alias("n_null_d"),
+        "n_null_v",
+        "n_invalid_v",
+        F.when(parsed_date(d).isNull(), n).otherwise(F.lit(0)).alias("n_bad_d"),
+        F.when(n > 1, F.lit(1)).otherwise(F.lit(0)).alias("dup"),
+        F.lit(False).alias("is_expected"),
     )
+    if expected is not None:
+        zero = F.lit(0).cast("long")
+        rows = rows.unionByName(
+            expected.select(
+                F.col(k).cast("string").alias(k),
+                *[zero.alias(c) for c in ("n", "n_null_k", "n_null_d", "n_null_v", "n_invalid_v", "n_bad_d")],
+                F.lit(0).alias("dup"),
+                F.lit(True).alias("is_expected"),
+            )
+        )
     z = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
-    total = per_k.agg(
-        z("n").alias("n"),
-        z(F.when(F.col(k).isNull(), F.col("n"))).alias("n_null_k"),
-        z("n_null_d").alias("n_null_d"),
-        z("n_null_v").alias("n_null_v"),
-        z("n_invalid_v").alias("n_invalid_v"),
-        z("n_bad_d").alias("n_bad_d"),
-        z("dup_groups").alias("dup_groups"),
+    return rows.rollup(k).agg(
+        F.grouping_id().alias("_gid"),
+        *[z(c).alias(c) for c in ("n", "n_null_k", "n_null_d", "n_null_v", "n_invalid_v", "n_bad_d")],
+        z("dup").alias("dup_groups"),
+        F.max("is_expected").alias("is_expected"),
     )
-    return per_k, total
 
 
 def _row(check: str, subject: Column | str, count: Column, pct: Column | None, severity: Column) -> Column:
@@ -185,13 +201,20 @@ def _flag(cond: Column, level: str) -> Column:
     return F.when(cond, F.lit(level)).otherwise(F.lit("ok"))
 
 
+def _emit(rolled: DataFrame, total_rows: list[Column], key_rows: Column) -> DataFrame:
+    """One generator over the rolled-up aggregate: the grand-total row
+    expands into the global checks, every key row into its own rows."""
+    rows = F.when(F.col("_gid") == 1, F.array(*total_rows)).otherwise(key_rows)
+    return rolled.select(F.inline(rows))
+
+
 def quality_report(
     df: DataFrame,
     spec: SeriesSpec,
     expected: DataFrame | None = None,
     thresholds: Thresholds | None = None,
 ) -> DataFrame:
-    """The bronze checks as one report DataFrame.
+    """The bronze checks as one report DataFrame (one scan).
 
     null share over ``max_null_percentage`` -> error; duplicate share over
     ``max_duplicate_percentage`` -> warning; any value <= 0 or NaN -> error;
@@ -200,14 +223,16 @@ def quality_report(
     """
     th = thresholds or spec.thresholds
     k, d, v = spec.k, spec.d, spec.v
-    per_k, total = _profiles(df, spec)
+    if expected is None:
+        expected = expected_keys_frame(df.sparkSession, k, spec.expected_keys)
+    rolled = _rolled(df, spec, expected)
     n = F.col("n")
     pct = lambda c: percentage(F.col(c), n)
-    rows = [
+    totals = [
         _row("null_check", col, F.col(src), pct(src), _flag(pct(src) > th.max_null_percentage, "error"))
         for col, src in ((k, "n_null_k"), (d, "n_null_d"), (v, "n_null_v"))
     ]
-    rows += [
+    totals += [
         _row(
             "duplicate_check",
             f"{k},{d}",
@@ -218,40 +243,23 @@ def quality_report(
         _row("value_check", v, F.col("n_invalid_v"), pct("n_invalid_v"), _flag(F.col("n_invalid_v") > 0, "error")),
         _row("date_check", d, F.col("n_bad_d"), pct("n_bad_d"), _flag(F.col("n_bad_d") > 0, "error")),
     ]
-    report = _unpivot(total, rows)
-    counts = per_k.select(
-        F.inline(
-            F.array(
-                _row(
-                    "record_count",
-                    F.col(k),
-                    n,
-                    None,
-                    _flag(n < F.lit(th.min_expected_records), "warning"),
-                )
-            )
-        )
-    )
-    report = report.unionByName(counts)
-    if expected is None:
-        expected = expected_keys_frame(df.sparkSession, k, spec.expected_keys)
-    missing = missing_keys(per_k.select(k), k, expected)
-    report = report.unionByName(
-        missing.select(F.inline(F.array(_row("missing_key", F.col(k), F.lit(0), None, F.lit("warning")))))
-    )
-    return report
+    record = _row("record_count", F.col(k), n, None, _flag(n < F.lit(th.min_expected_records), "warning"))
+    missing = _row("missing_key", F.col(k), F.lit(0), None, F.lit("warning"))
+    # inline(NULL) emits nothing: keys are either present or missing
+    per_key = F.when(n > 0, F.array(record)).when(F.col("is_expected"), F.array(missing))
+    return _emit(rolled, totals, per_key)
 
 
 def silver_verdict(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     """The silver gate's checks; any NULL or duplicate is an error."""
     k, d, v = spec.k, spec.d, spec.v
-    per_k, total = _profiles(df, spec)
+    rolled = _rolled(df, spec, None)
     n = F.col("n")
-    rows = [
+    totals = [
         _row("null_check", col, F.col(src), percentage(F.col(src), n), _flag(F.col(src) > 0, "error"))
         for col, src in ((k, "n_null_k"), (d, "n_null_d"), (v, "n_null_v"))
     ]
-    rows.append(
+    totals.append(
         _row(
             "duplicate_check",
             f"{k},{d}",
@@ -260,8 +268,7 @@ def silver_verdict(df: DataFrame, spec: SeriesSpec) -> DataFrame:
             _flag(F.col("dup_groups") > 0, "error"),
         )
     )
-    counts = per_k.select(F.inline(F.array(_row("record_count", F.col(k), n, None, F.lit("ok")))))
-    return _unpivot(total, rows).unionByName(counts)
+    return _emit(rolled, totals, F.array(_row("record_count", F.col(k), n, None, F.lit("ok"))))
 
 
 def errors_of(report: DataFrame) -> list[str]:
