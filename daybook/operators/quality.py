@@ -87,10 +87,16 @@ def invalid_values(df: DataFrame, v: str) -> DataFrame:
     return one.select("invalid_count", percentage("invalid_count", "_t").alias("invalid_percentage"))
 
 
-def value_stats(df: DataFrame, v: str) -> DataFrame:
-    """Min, max and mean of the value column as doubles."""
+def value_stats(df: DataFrame, v: str, scale: int | None = 6) -> DataFrame:
+    """Min, max and mean of the value column as doubles.
+
+    A double sum depends on the order rows are added in, which changes with
+    partitioning; the mean is therefore rounded to ``scale`` decimals so the
+    same data always reports the same mean (``scale=None`` keeps it raw).
+    """
     x = F.col(v).cast("double")
-    return df.agg(F.min(x).alias("min_value"), F.max(x).alias("max_value"), F.avg(x).alias("mean_value"))
+    mean = F.avg(x) if scale is None else F.round(F.avg(x), scale)
+    return df.agg(F.min(x).alias("min_value"), F.max(x).alias("max_value"), mean.alias("mean_value"))
 
 
 def date_validation(df: DataFrame, d: str) -> DataFrame:

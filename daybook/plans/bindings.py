@@ -29,6 +29,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer splits than the session has task slots.
+
+    A file written as a single row group is read by a single task, which
+    then also runs the partial aggregates alone. Only in that case are the
+    projected rows dealt round-robin over the slots; a large input (more
+    splits than slots) is left as it is, so no shuffle is added at scale.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
 def day_string(c: str | Column) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return c.cast("date").cast("string")
@@ -42,6 +56,7 @@ def orders_bronze(spark: SparkSession, sf_dir: str, key: str = "o_orderpriority"
         F.col("o_totalprice"),
         F.col("o_orderkey"),
     )
+    df = spread(df)
     spec = SeriesSpec(k=key, d="o_orderdate", v="o_totalprice", order_cols=("o_orderkey",), expected_keys=())
     return df, spec
 
@@ -63,6 +78,7 @@ def supp_bronze(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, SeriesSpec
         "l_linenumber",
         "l_partkey",
     )
+    df = spread(df)
     spec = SeriesSpec(k="l_suppkey", d="l_shipdate", v="l_extendedprice", order_cols=SUPP_ORDER, expected_keys=())
     return df, spec
 
@@ -75,6 +91,7 @@ def evt_bronze(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, SeriesSpec]
         "value",
         "event_id",
     )
+    df = spread(df)
     spec = SeriesSpec(k="user_id", d="ts", v="value", order_cols=("event_id",), expected_keys=())
     return df, spec
 
@@ -115,7 +132,7 @@ def dirty_bronze(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, SeriesSpe
         F.col("o_orderkey"),
     )
     spec = SeriesSpec(k="o_custkey", d="o_orderdate", v="o_totalprice", order_cols=("o_orderkey",), expected_keys=())
-    return df, spec
+    return spread(df), spec
 
 
 def customer_keys(spark: SparkSession, sf_dir: str, k: str = "o_custkey") -> DataFrame:

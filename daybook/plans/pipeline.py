@@ -2,9 +2,11 @@
 
 Action budget per run (the data is read as few times as the checks need):
 
-* bronze: watermark (one scalar aggregate), quality report (one scan, the
-  gate collects at most a handful of error rows), one append with an
-  ``Observation`` for the written count, one count of the target;
+* bronze: watermark (one scalar aggregate); the batch is parsed once and
+  written to staging (its row count observed on the same job); the quality
+  report reads the staged Parquet (columnar, one scan; the gate collects at
+  most a handful of error rows); publishing moves the staged files into the
+  bronze directory (no second write);
 * silver: one dedup written to staging, one verdict scan of the staged
   files, a rename;
 * gold: one write per table; the summary is a view over the written tables.
@@ -14,11 +16,21 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from daybook.operators import gold, marts, quality
 from daybook.operators.silver import build_silver
-from daybook.sinks.tables import create_or_replace_view, overwrite_table, path_exists, read_table, verify_write
+from daybook.sinks.tables import (
+    append_staged,
+    create_or_replace_view,
+    discard,
+    overwrite_table,
+    path_exists,
+    read_table,
+    shared_dir,
+    stage,
+)
 from daybook.sources.incremental import incremental_batch, watermark_value
 from daybook.sources.payload import flatten_payload, read_payloads, stamp_ingestion
 from daybook.spec import SeriesSpec
@@ -49,9 +61,21 @@ def run_bronze(
         return BronzeResult("up_to_date", True, None, None)
     rows = flatten_payload(read_payloads(spark, landing))
     batch = stamp_ingestion(incremental_batch(rows, spec.d, as_of, watermark=wm, years_back=spec.years_back))
-    report = quality.quality_report(batch, spec, expected=expected)
-    valid = quality.enforce(report, strict=spec.thresholds.strict_mode)
-    written = verify_write(batch, bronze_path, mode="append")
+    obs = Observation("bronze_batch")
+    staged = stage(batch, bronze_path, observation=obs)
+    # the report reads the staged files, which are moved below: keep a copy
+    # in the shared checkpoint folder (reliable checkpoint, one execution)
+    shared_dir(spark)
+    report = quality.quality_report(read_table(spark, staged), spec, expected=expected).checkpoint(eager=True)
+    try:
+        valid = quality.enforce(report, strict=spec.thresholds.strict_mode)
+    except quality.QualityGateError:
+        discard(spark, staged)
+        raise
+    append_staged(spark, staged, bronze_path)
+    written = read_table(spark, bronze_path).agg(
+        F.lit(int(obs.get["written"])).cast("long").alias("written"), F.count(F.lit(1)).alias("table_total")
+    )
     return BronzeResult("incremental" if wm is not None else "full", valid, report, written)
 
 

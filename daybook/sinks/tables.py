@@ -63,12 +63,43 @@ def append_table(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def append_staged(spark: SparkSession, staged: str, path: str) -> int:
+    """Move the data files of a staged write into ``path`` (an append by
+    rename: the rows are not read or copied again). Part-file names carry
+    the write job's id, so they do not collide with files already there.
+    Returns the number of files moved; driver work is one directory listing.
+    """
+    fs, target = _fs(spark, path)
+    _, src = _fs(spark, staged)
+    if not fs.exists(target):
+        fs.mkdirs(target)
+    moved = 0
+    for st in fs.listStatus(src):
+        name = st.getPath().getName()
+        if name.startswith("_") or name.startswith("."):
+            continue
+        dst = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target, name)
+        if not fs.rename(st.getPath(), dst):
+            raise OSError(f"could not move {name} into {path}")
+        moved += 1
+    fs.delete(src, True)
+    return moved
+
+
+def discard(spark: SparkSession, staged: str) -> None:
+    """Drop a staged directory that failed its gate."""
+    fs, p = _fs(spark, staged)
+    fs.delete(p, True)
+
+
 # ---------------------------------------------------------------- F2
 
 
-def stage(df: DataFrame, path: str) -> str:
+def stage(df: DataFrame, path: str, observation: Observation | None = None) -> str:
     """Write ``df`` next to ``path`` in a fresh staging directory."""
     staged = f"{path.rstrip('/')}.__staging-{uuid.uuid4().hex[:12]}"
+    if observation is not None:
+        df = df.observe(observation, F.count(F.lit(1)).alias("written"))
     df.write.mode("overwrite").parquet(staged)
     return staged
 

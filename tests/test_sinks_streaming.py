@@ -119,3 +119,17 @@ def test_silver_gate_reports(spark):
     spec = SeriesSpec(k="k", d="d", v="v", order_cols=("ts",))
     with pytest.raises(quality.QualityGateError):
         quality.enforce_verdict(quality.silver_verdict(s, spec))
+
+
+def test_bronze_strict_gate_leaves_target_untouched(spark, tmp_dir):
+    landing, bronze = f"{tmp_dir}/landing", f"{tmp_dir}/bronze"
+    bad = _payload("USD", ["2024-01-02", "2024-01-03"])
+    bad["rates"][1]["effectiveDate"] = "2024-02-30"  # inside the load range, not a date
+    _landing(spark, landing, [bad])
+    strict = SeriesSpec(thresholds=Thresholds(strict_mode=True, min_expected_records=1))
+    with pytest.raises(quality.QualityGateError):
+        pipeline.run_bronze(spark, landing, bronze, "2024-12-31", strict)
+    assert not sinks.path_exists(spark, bronze)
+    # not strict: the batch is written and the report says why it is invalid
+    lax = pipeline.run_bronze(spark, landing, bronze, "2024-12-31", RATE)
+    assert lax.valid is False and lax.written.first()["written"] == 2  # whole batch, as flagged
