@@ -133,3 +133,23 @@ def test_bronze_strict_gate_leaves_target_untouched(spark, tmp_dir):
     # not strict: the batch is written and the report says why it is invalid
     lax = pipeline.run_bronze(spark, landing, bronze, "2024-12-31", RATE)
     assert lax.valid is False and lax.written.first()["written"] == 2  # whole batch, as flagged
+
+
+def test_jobs_run_the_layers(spark, tmp_dir):
+    from daybook.plans import jobs
+
+    landing = f"{tmp_dir}/landing"
+    _landing(spark, landing, [_payload("USD", ["2024-01-02", "2024-01-03", "2024-01-04"]),
+                              _payload("EUR", ["2024-01-02", "2024-01-03"], start=4.0)])
+    common = ["--expected", "USD,EUR", "--min-records", "1"]
+    b = jobs.run(common + ["bronze", "--landing", landing, "--bronze", f"{tmp_dir}/b", "--as-of", "2024-01-04"], spark)
+    assert b["mode"] == "full" and b["written"] == 5 and b["errors"] == 0 and b["warnings"] == 0
+    assert jobs.run(common + ["silver", "--bronze", f"{tmp_dir}/b", "--silver", f"{tmp_dir}/s"], spark) == {
+        "silver_rows": 5
+    }
+    g = jobs.run(common + ["gold", "--silver", f"{tmp_dir}/s", "--gold", f"{tmp_dir}/g"], spark)
+    assert g == {"Historical Extremes": 2, "Daily Changes": 5, "Extreme Daily Movements": 0}
+    d = jobs.run(common + ["dashboard", "--silver", f"{tmp_dir}/s", "--out", f"{tmp_dir}/d"], spark)
+    assert "biggest_appreciation" in d["datasets"]
+    cols = spark.read.parquet(f"{tmp_dir}/d/biggest_appreciation").columns
+    assert cols == ["Currency", "Date", "Previous_Rate", "New_Rate", "Change__Appreciation"]
