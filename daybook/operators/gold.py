@@ -5,14 +5,12 @@ Plan shapes (see ``explain``):
 * ``historical_extremes`` / ``extreme_daily_movements``: one ``groupBy(key)``
   with two ``min(struct(...))`` aggregates - partial aggregation before the
   key shuffle, no ranking window, no self-join. Result size = number of keys.
-* ``daily_changes``: one ``lag`` over ``Window.partitionBy(key).orderBy(date)``.
-  Its input is silver, which is unique on (key, date) with a validated
-  calendar date, so one key holds at most one row per day (100 years =
-  36,525 rows) however skewed the raw copies were; the per-key window buffer
-  is bounded by the calendar, not by the data volume.
-* ``executive_summary_from_series`` fuses all of it: the aggregate runs on the
-  window's output, which is already hash-partitioned by key, so the whole
-  summary costs the dedup shuffle plus one key shuffle.
+* ``daily_changes``: ``lag`` over (key, year) segments plus a carried value
+  per segment (``functions.previous``), so no task holds a key's whole
+  series; even unsplit, silver is unique on (key, date), so a key holds at
+  most one row per calendar day however skewed the raw copies were.
+* ``executive_summary_from_series`` fuses all of it: extremes and moves are
+  one aggregate over the changes (partial before the key shuffle), no join.
 
 Ties: the earliest date wins (the struct's next field is the date).
 """
@@ -23,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions import ascending_key, descending_key, rounded_percentage
+from daybook.functions.previous import YEAR, with_previous_value
 from daybook.spec import SeriesSpec
 
 CALCULATED_AT = "calculated_at"
@@ -124,13 +123,19 @@ def direction(current: Column, previous: Column) -> Column:
     )
 
 
-def daily_changes(series: DataFrame, spec: SeriesSpec, stamp: bool = True) -> DataFrame:
+def daily_changes(
+    series: DataFrame, spec: SeriesSpec, stamp: bool = True, segment: int | None = YEAR
+) -> DataFrame:
     """Per row the previous available value of the key (by date), the
     absolute change, ``ROUND(change / previous * 100, 4)`` and the direction.
-    A key's first row has no previous value and direction ``No Change``."""
+    A key's first row has no previous value and direction ``No Change``.
+
+    ``segment`` splits each key's series by year for the ``lag`` (see
+    ``functions.previous``); ``None`` is the plain per-key window."""
     k, d, v = spec.series_cols
-    prev = F.lag(F.col(v)).over(Window.partitionBy(k).orderBy(F.col(d)))
-    base = series.select(k, d, F.col(v).alias("current_rate"), prev.alias("previous_rate"))
+    base = with_previous_value(series.select(k, d, v), k, d, v, "previous_rate", segment).select(
+        k, d, F.col(v).alias("current_rate"), "previous_rate"
+    )
     cur, pre = F.col("current_rate"), F.col("previous_rate")
     out = base.select(
         k,

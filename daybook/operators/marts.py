@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions import ascending_key, descending_key
+from daybook.functions.previous import YEAR, with_previous_value
 from daybook.spec import SeriesSpec
 
 # Column titles of the dashboard datasets.
@@ -29,11 +30,12 @@ DATE_LOWEST = "Date of Lowest Rate"
 LOWEST = "Lowest Rate (PLN)"
 
 
-def with_previous(series: DataFrame, spec: SeriesSpec) -> DataFrame:
+def with_previous(series: DataFrame, spec: SeriesSpec, segment: int | None = YEAR) -> DataFrame:
     """(k, d, v, prev, change) with ``prev`` the key's previous value by date."""
     k, d, v = spec.series_cols
-    prev = F.lag(F.col(v)).over(Window.partitionBy(k).orderBy(F.col(d)))
-    return series.select(k, d, v, prev.alias("_prev")).withColumn("_chg", F.col(v) - F.col("_prev"))
+    return with_previous_value(series.select(k, d, v), k, d, v, "_prev", segment).withColumn(
+        "_chg", F.col(v) - F.col("_prev")
+    )
 
 
 def _first_per_key(

@@ -19,11 +19,16 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_summary_is_two_shuffles_no_join(spark):
-    p = plan_of(R.q_executive_summary(spark, SF001))
-    assert p.count("Exchange hashpartitioning") == 2  # (key, date) dedup, then key
-    assert "Join" not in p
+def test_summary_splits_each_key_and_dedups_once(spark):
+    df = R.q_executive_summary(spark, SF001)
+    df.collect()  # final adaptive plan
+    p = plan_of(df)
     assert "partial_max" in p  # dedup aggregates before its shuffle
+    assert "ReusedExchange" in p  # ... and its shuffle is computed once
+    # the lag runs per (key, year segment), never over a whole key
+    lag_windows = [line for line in p.splitlines() if "Window [row_number()" in line]
+    assert lag_windows and all("_seg" in line for line in lag_windows)
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
 
 
 def test_extremes_aggregate_form_has_no_window_or_join(spark):
