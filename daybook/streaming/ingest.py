@@ -63,12 +63,14 @@ def start_bronze_ingest(
     available_now: bool = True,
     processing_time: str | None = None,
     on_report: Callable[[int, DataFrame], None] | None = None,
+    max_files_per_trigger: int | None = 1000,
 ) -> StreamingQuery:
-    """Start the ingest. ``available_now`` drains what has landed and stops;
-    otherwise it polls every ``processing_time``."""
+    """Start the ingest. ``available_now`` drains what has landed and stops
+    (in micro-batches of at most ``max_files_per_trigger`` files, so a large
+    backlog is never one batch); otherwise it polls every ``processing_time``."""
     ckpt = checkpoint or scratch_path(spark, "bronze-stream-checkpoint")
     w = (
-        bronze_stream(spark, landing)
+        bronze_stream(spark, landing, max_files_per_trigger)
         .writeStream.foreachBatch(_batch_writer(bronze_path, spec, on_report))
         .option("checkpointLocation", ckpt)
     )

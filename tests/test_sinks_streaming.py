@@ -153,3 +153,15 @@ def test_jobs_run_the_layers(spark, tmp_dir):
     assert "biggest_appreciation" in d["datasets"]
     cols = spark.read.parquet(f"{tmp_dir}/d/biggest_appreciation").columns
     assert cols == ["Currency", "Date", "Previous_Rate", "New_Rate", "Change__Appreciation"]
+
+
+def test_streaming_backlog_runs_in_bounded_batches(spark, tmp_dir):
+    landing, bronze = f"{tmp_dir}/landing", f"{tmp_dir}/bronze"
+    for i in range(3):  # three landed files
+        _landing(spark, landing, [_payload("USD", [f"2024-01-0{i + 1}"], start=float(i + 1))])
+    epochs = []
+    q = start_bronze_ingest(spark, landing, bronze, RATE, checkpoint=f"{tmp_dir}/ckpt",
+                            on_report=lambda e, r: epochs.append(e), max_files_per_trigger=1)
+    q.awaitTermination(120)
+    assert len(epochs) == 3
+    assert spark.read.parquet(bronze).count() == 3
