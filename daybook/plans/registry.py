@@ -274,6 +274,11 @@ def q_series_row_count(spark: SparkSession, sf: str) -> DataFrame:
     return marts.series_row_count(b, [spec.k])
 
 
+def q_series_row_count_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    b, spec = _bronze("ord", spark, sf)
+    return marts.series_row_count(b, [spec.k, spec.d])
+
+
 # ---------------------------------------------------------------- F
 
 
@@ -366,6 +371,7 @@ QUERIES: dict[str, Query] = {
     "highest_rates_evt": _mart("evt", marts.highest_rates),
     "rate_line_series": q_rate_line_series,
     "series_row_count": q_series_row_count,
+    "series_row_count_by_day": q_series_row_count_by_day,
     # F
     "append_evolving": q_append_evolving,
     "overwrite_table": q_overwrite_table,

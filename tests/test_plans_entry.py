@@ -81,6 +81,7 @@ def test_every_query_has_sql_but_stamps():
     q, s = E.queries(), E.oracle_sql()
     assert set(s) <= set(q)
     assert set(q) - set(s) == {"stamp_ingestion", "stamp_processing"}
+    assert len(q) == 51
 
 
 @pytest.mark.parametrize("name", sorted(R.QUERIES))
