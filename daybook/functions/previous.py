@@ -2,18 +2,29 @@
 
 A plain ``lag(v) OVER (PARTITION BY key ORDER BY date)`` sends a key's whole
 series to one task. Here the series is cut by a prefix of the date string
-(``yyyy`` by default, i.e. calendar years):
+(``yyyy`` by default, i.e. calendar years) and shuffled **once** on
+(key, segment); everything below reads that one exchange:
 
 1. ``lag`` runs over ``PARTITION BY key, segment`` - many small groups, so a
    long or hot key is spread over as many tasks as it has years;
-2. one small aggregate keeps each (key, segment)'s last (date, value); a
-   ``lag`` over those rows (one per year per key - bounded by the calendar)
-   gives every segment the last value of the previous non-empty segment;
-3. a segment's first row takes that carried value, every other row its
-   in-segment ``lag``.
-
-A prefix of a string orders like the string, so segment order equals date
-order and the result is the plain ``lag`` exactly (tests compare them).
+2. each (key, segment)'s last (date, value) is aggregated in place (the data
+   is already partitioned that way, no exchange); a ``lag`` over those rows -
+   one per key and year, bounded by the calendar - gives every segment the
+   last value of the previous non-empty segment (the "carry");
+3. the carry is joined back on (key, segment) and a segment's first row takes
+   it, every other row its in-segment ``lag``.
+
+The join keys are the partitioning columns themselves and are never NULL
+(the key is wrapped in a struct - a struct holding a NULL key is not NULL and
+compares equal to another such struct - and a NULL date gets the empty
+segment), so a plain equi-join matches NULL keys and keeps the partitioning:
+when the carry is too big to broadcast, only the carry is shuffled, and the
+window needs no further exchange. Two full shuffles in all (the caller's
+dedup and this one), the same as the unsplit window.
+
+A prefix of a string orders like the string (and the empty segment of NULL
+dates sorts first, as NULL does), so segment order equals date order and the
+result is the plain ``lag`` exactly (tests compare them).
 """
 
 from __future__ import annotations
@@ -30,18 +41,17 @@ def with_previous_value(
     """``df`` plus column ``out``: ``v`` at the key's previous available date."""
     if not segment:
         return df.withColumn(out, F.lag(F.col(v)).over(Window.partitionBy(k).orderBy(F.col(d))))
-    seg = "_seg"
-    s = df.withColumn(seg, F.substring(F.col(d), 1, segment))
-    last = s.groupBy(k, seg).agg(F.max(F.struct(F.col(d).alias("d"), F.col(v).alias("v"))).alias("_last"))
+    grp, seg = "_grp", "_seg"
+    s = df.select(
+        "*",
+        F.struct(F.col(k)).alias(grp),
+        F.coalesce(F.substring(F.col(d), 1, segment), F.lit("")).alias(seg),
+    ).repartition(grp, seg)
+    last = s.groupBy(grp, seg).agg(F.max(F.struct(F.col(d).alias("d"), F.col(v).alias("v"))).alias("_last"))
     carry = last.select(
-        F.col(k).alias("_ck"),
-        F.col(seg).alias("_cs"),
-        F.lag(F.col("_last.v")).over(Window.partitionBy(k).orderBy(F.col(seg))).alias("_carry"),
+        grp, seg, F.lag(F.col("_last.v")).over(Window.partitionBy(grp).orderBy(seg)).alias("_carry")
     )
-    joined = s.join(
-        carry, on=F.col(k).eqNullSafe(F.col("_ck")) & F.col(seg).eqNullSafe(F.col("_cs")), how="left"
-    )
-    w = Window.partitionBy(k, seg).orderBy(F.col(d))
-    first = F.row_number().over(w) == 1
-    prev = F.when(first, F.col("_carry")).otherwise(F.lag(F.col(v)).over(w))
-    return joined.withColumn(out, prev).drop(seg, "_ck", "_cs", "_carry")
+    joined = s.join(carry, on=[grp, seg], how="left")
+    w = Window.partitionBy(grp, seg).orderBy(F.col(d))
+    prev = F.when(F.row_number().over(w) == 1, F.col("_carry")).otherwise(F.lag(F.col(v)).over(w))
+    return joined.withColumn(out, prev).drop(grp, seg, "_carry")

@@ -29,18 +29,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer splits than the session has task slots.
+def spread(scan: DataFrame) -> DataFrame:
+    """Spread a file scan that has fewer splits than the session has slots.
 
     A file written as a single row group is read by a single task, which
-    then also runs the partial aggregates alone. Only in that case are the
-    projected rows dealt round-robin over the slots; a large input (more
-    splits than slots) is left as it is, so no shuffle is added at scale.
+    would then also run the partial aggregates alone. Only in that case are
+    the scanned rows dealt round-robin over the slots (Spark sorts each task's
+    rows first, so a re-run task deals them the same way). The bindings apply
+    it to the raw scanned columns, before casting to strings, so the few
+    fixed-width columns are what moves and the casts run in parallel. A large
+    input (more splits than slots) is returned as it is: no shuffle at scale.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+    slots = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() < slots:
+        return scan.repartition(slots)
+    return scan
 
 
 def day_string(c: str | Column) -> Column:
@@ -49,14 +52,13 @@ def day_string(c: str | Column) -> Column:
 
 
 def orders_bronze(spark: SparkSession, sf_dir: str, key: str = "o_orderpriority") -> tuple[DataFrame, SeriesSpec]:
-    o = table(spark, sf_dir, "orders")
+    o = spread(table(spark, sf_dir, "orders").select(key, "o_orderdate", "o_totalprice", "o_orderkey"))
     df = o.select(
         F.col(key).cast("string").alias(key),
         day_string("o_orderdate").alias("o_orderdate"),
         F.col("o_totalprice"),
         F.col("o_orderkey"),
     )
-    df = spread(df)
     spec = SeriesSpec(k=key, d="o_orderdate", v="o_totalprice", order_cols=("o_orderkey",), expected_keys=())
     return df, spec
 
@@ -69,7 +71,11 @@ SUPP_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
 
 
 def supp_bronze(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, SeriesSpec]:
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(
+        table(spark, sf_dir, "lineitem").select(
+            "l_suppkey", "l_shipdate", "l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey"
+        )
+    )
     df = li.select(
         F.col("l_suppkey").cast("string").alias("l_suppkey"),
         day_string("l_shipdate").alias("l_shipdate"),
@@ -78,20 +84,18 @@ def supp_bronze(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, SeriesSpec
         "l_linenumber",
         "l_partkey",
     )
-    df = spread(df)
     spec = SeriesSpec(k="l_suppkey", d="l_shipdate", v="l_extendedprice", order_cols=SUPP_ORDER, expected_keys=())
     return df, spec
 
 
 def evt_bronze(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, SeriesSpec]:
-    ev = table(spark, sf_dir, "events")
+    ev = spread(table(spark, sf_dir, "events").select("user_id", "ts", "value", "event_id"))
     df = ev.select(
         F.col("user_id").cast("string").alias("user_id"),
         day_string("ts").alias("ts"),
         "value",
         "event_id",
     )
-    df = spread(df)
     spec = SeriesSpec(k="user_id", d="ts", v="value", order_cols=("event_id",), expected_keys=())
     return df, spec
 
@@ -124,7 +128,7 @@ def dirty_date(o: DataFrame) -> Column:
 
 
 def dirty_bronze(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, SeriesSpec]:
-    o = table(spark, sf_dir, "orders")
+    o = spread(table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice", "o_orderkey"))
     df = o.select(
         F.col("o_custkey").cast("string").alias("o_custkey"),
         dirty_date(o).alias("o_orderdate"),
@@ -132,7 +136,7 @@ def dirty_bronze(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, SeriesSpe
         F.col("o_orderkey"),
     )
     spec = SeriesSpec(k="o_custkey", d="o_orderdate", v="o_totalprice", order_cols=("o_orderkey",), expected_keys=())
-    return spread(df), spec
+    return df, spec
 
 
 def customer_keys(spark: SparkSession, sf_dir: str, k: str = "o_custkey") -> DataFrame:

@@ -8,6 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from daybook.functions.previous import with_previous_value
 from daybook.operators import gold, marts, silver
 from daybook.plans import bindings as B
 from daybook.sources import incremental
@@ -140,3 +141,23 @@ def test_struct_ordering_matches_ranking(spark, rows):
     )
     for fn in (marts.biggest_appreciation, marts.biggest_depreciation, marts.highest_rates, marts.lowest_rates):
         assert same(fn(s, SPEC), fn(s, SPEC, method="window"))
+
+
+days = st.one_of(st.none(), st.builds(lambda y, doy: f"{y}-{1 + doy // 28:02d}-{1 + doy % 28:02d}",
+                                      st.integers(2019, 2024), st.integers(0, 335)))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), days, values), min_size=1, max_size=30))
+def test_segmented_lag_equals_plain_lag(spark, rows):
+    # one row per (key, day) as after dedup; keys and days may be NULL, years may be empty
+    seen, data = set(), []
+    for k, d, v in rows:
+        if (k, d) not in seen:
+            seen.add((k, d))
+            data.append((k, d, v))
+    s = series(spark, data)
+    split = with_previous_value(s, "k", "d", "v", "p")
+    plain = with_previous_value(s, "k", "d", "v", "p", segment=None)
+    assert split.columns == plain.columns
+    assert same(split, plain)

@@ -61,7 +61,9 @@ def test_watermark_filter_reaches_parquet_scan(spark, tmp_dir):
 def test_quality_report_is_one_scan(spark):
     p = plan_of(R.q_quality_report(spark, SF001))
     assert p.count("orders.parquet") == 1 and p.count("customer.parquet") == 1
-    assert p.count("Exchange hashpartitioning") == 2
+    # shuffles the report itself needs (the small-input spread is not one)
+    needed = [x for x in p.splitlines() if "Exchange hashpartitioning" in x and "ENSURE_REQUIREMENTS" in x]
+    assert len(needed) == 2
     assert "Join" not in p
 
 
