@@ -1,8 +1,11 @@
 """Benchmark: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query is run to completion through the no-op sink (every row is
-produced, nothing is collected to the driver), once to warm up and then
-$BENCH_RUNS times; the median is reported. Window ("_window") and aggregate
+produced, nothing is collected to the driver). Every query first runs
+$BENCH_WARMUP times (the JVM compiles the hot paths during the first few
+runs, so otherwise the queries timed first would carry it), then $BENCH_RUNS
+rounds run every query once each, interleaved so that machine noise falls on
+all queries alike; the median per query is reported. Window ("_window") and aggregate
 forms of the same operator, and the per-key ("_unsplit") and year-segmented
 previous-value lag, are timed side by side; the headline value sums the
 default forms only. Prints one JSON line.
@@ -26,6 +29,7 @@ from daybook.plans.session import local_session  # noqa: E402
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 RUNS = int(os.environ.get("BENCH_RUNS", "5"))
+WARMUP = int(os.environ.get("BENCH_WARMUP", "2"))
 PARTS = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(CPUS * 2)))
 
 
@@ -132,12 +136,15 @@ def run(spark, build) -> float:
 def main() -> None:
     spark = local_session(CPUS, shuffle_partitions=PARTS, app="daybook-bench")
     only = set(sys.argv[1:])
-    times = {}
-    for name, build in QUERIES.items():
-        if only and name not in only:
-            continue
-        run(spark, build)  # warm-up
-        times[name] = round(statistics.median(run(spark, build) for _ in range(RUNS)), 4)
+    chosen = {n: b for n, b in QUERIES.items() if not only or n in only}
+    for _ in range(WARMUP):
+        for build in chosen.values():
+            run(spark, build)
+    samples = {n: [] for n in chosen}
+    for _ in range(RUNS):
+        for name, build in chosen.items():
+            samples[name].append(run(spark, build))
+    times = {n: round(statistics.median(x), 4) for n, x in samples.items()}
     variants = ("_window", "_unsplit")
     headline = [n for n in times if not n.endswith(variants) and n != "executive_summary_tables"]
     out = {
@@ -151,6 +158,7 @@ def main() -> None:
             "cores": CPUS,
             "shuffle_partitions": PARTS,
             "runs": RUNS,
+            "warmup": WARMUP,
             "aqe": spark.conf.get("spark.sql.adaptive.enabled"),
         },
     }

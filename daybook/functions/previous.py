@@ -22,6 +22,11 @@ when the carry is too big to broadcast, only the carry is shuffled, and the
 window needs no further exchange. Two full shuffles in all (the caller's
 dedup and this one), the same as the unsplit window.
 
+The key travels only inside the group struct, so both branches read the very
+same columns from the exchange and Spark computes it once (``ReusedExchange``);
+with the key as a separate column the carry branch would prune it and run the
+whole input a second time.
+
 A prefix of a string orders like the string (and the empty segment of NULL
 dates sorts first, as NULL does), so segment order equals date order and the
 result is the plain ``lag`` exactly (tests compare them).
@@ -38,14 +43,16 @@ YEAR = 4  # length of the date prefix that names a segment ("yyyy")
 def with_previous_value(
     df: DataFrame, k: str, d: str, v: str, out: str = "_prev", segment: int | None = YEAR
 ) -> DataFrame:
-    """``df`` plus column ``out``: ``v`` at the key's previous available date."""
+    """Columns ``k, d, v`` and ``out``: ``v`` at the key's previous available date."""
     if not segment:
-        return df.withColumn(out, F.lag(F.col(v)).over(Window.partitionBy(k).orderBy(F.col(d))))
+        w = Window.partitionBy(k).orderBy(F.col(d))
+        return df.select(k, d, v, F.lag(F.col(v)).over(w).alias(out))
     grp, seg = "_grp", "_seg"
     s = df.select(
-        "*",
         F.struct(F.col(k)).alias(grp),
         F.coalesce(F.substring(F.col(d), 1, segment), F.lit("")).alias(seg),
+        F.col(d),
+        F.col(v),
     ).repartition(grp, seg)
     last = s.groupBy(grp, seg).agg(F.max(F.struct(F.col(d).alias("d"), F.col(v).alias("v"))).alias("_last"))
     carry = last.select(
@@ -54,4 +61,4 @@ def with_previous_value(
     joined = s.join(carry, on=[grp, seg], how="left")
     w = Window.partitionBy(grp, seg).orderBy(F.col(d))
     prev = F.when(F.row_number().over(w) == 1, F.col("_carry")).otherwise(F.lag(F.col(v)).over(w))
-    return joined.withColumn(out, prev).drop(grp, seg, "_carry")
+    return joined.select(F.col(f"{grp}.{k}").alias(k), d, v, prev.alias(out))
