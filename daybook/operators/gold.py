@@ -6,9 +6,10 @@ Plan shapes (see ``explain``):
   with two ``min(struct(...))`` aggregates - partial aggregation before the
   key shuffle, no ranking window, no self-join. Result size = number of keys.
 * ``daily_changes``: ``lag`` over (key, year) segments plus a carried value
-  per segment (``functions.previous``), so no task holds a key's whole
-  series; even unsplit, silver is unique on (key, date), so a key holds at
-  most one row per calendar day however skewed the raw copies were.
+  per segment (``functions.previous``), all from one (key, year) exchange,
+  so no task holds a key's whole series; even unsplit, silver is unique on
+  (key, date), so a key holds at most one row per calendar day however
+  skewed the raw copies were.
 * ``executive_summary_from_series`` fuses all of it: extremes and moves are
   one aggregate over the changes (partial before the key shuffle), no join.
 
@@ -262,9 +263,9 @@ def executive_summary(extremes: DataFrame, movements: DataFrame, spec: SeriesSpe
 
 
 def executive_summary_from_series(series: DataFrame, spec: SeriesSpec, stamp: bool = True) -> DataFrame:
-    """D4 in one pass over silver: extremes and moves aggregated together on
-    the output of the ``lag`` window (already partitioned by key, so the
-    aggregate adds no exchange). A key's first row has direction
+    """D4 in one pass over silver: extremes and moves are aggregated together
+    on the output of the ``lag`` (one key aggregate, partial before its
+    shuffle; no join of result tables). A key's first row has direction
     ``No Change`` and so never enters the move aggregates."""
     k, d = spec.k, spec.d
     ch = daily_changes(series, spec, stamp=False)
