@@ -21,8 +21,8 @@ from daybook.sources import incremental  # noqa: E402
 
 NOTES = {
     "executive_summary": "dedup (partial max before the (key, date) shuffle, computed once: ReusedExchange), "
-    "lag per (key, year), small per-(key, year) carry table, one key aggregate (partial first); no join of "
-    "result tables.",
+    "one (key, year) exchange read by both the lag window and the per-(key, year) carry (ReusedExchange), "
+    "carry broadcast by size, one key aggregate (partial first); no join of result tables.",
     "quality_report": "one scan of orders, one of customer; (key, date) aggregate, then rollup(key) with the "
     "expected keys unioned in; one generator emits all report rows.",
     "latest_per_key_supp": "partial + final max(struct) around one (key, date) shuffle.",
@@ -34,7 +34,10 @@ NOTES = {
 
 
 def tree(df) -> str:
-    df.write.format("noop").mode("overwrite").save()
+    # run this DataFrame's own query execution (a write would plan a new
+    # one), so the printed adaptive plan is the final one; sf0.01 results
+    # are small enough for a documentation tool to collect
+    df.collect()
     return df._jdf.queryExecution().executedPlan().toString()
 
 
