@@ -11,17 +11,22 @@ from pyspark.sql import functions as F
 
 from daybook.operators import gold, marts, quality, silver
 from daybook.plans import bindings as B
-from tests.conftest import SF01
+from tests.conftest import SF001, SF01
 from tests.helpers import same
 
 HOT = "HOT"
 
 
+def hot_bronze(spark, sf=SF01):
+    b, spec = B.supp_bronze(spark, sf)
+    # line numbers 1 and 2 are about a third of lineitem; they all become one key
+    return b.withColumn(spec.k, F.when(F.col("l_linenumber") <= 2, F.lit(HOT)).otherwise(F.col(spec.k))), spec
+
+
 @pytest.fixture(scope="module")
 def hot(spark):
-    b, spec = B.supp_bronze(spark, SF01)
-    # line numbers 1 and 2 are about a third of lineitem; they all become one key
-    b = b.withColumn(spec.k, F.when(F.col("l_linenumber") <= 2, F.lit(HOT)).otherwise(F.col(spec.k))).cache()
+    b, spec = hot_bronze(spark)
+    b = b.cache()
     yield b, spec
     b.unpersist()
 
@@ -91,3 +96,27 @@ def test_hot_key_series_is_split_by_year(hot):
     days = s.count()
     # the hot key's lag runs in `years` groups of at most one year of days each
     assert years >= 5 and days / years <= 366
+
+
+def test_lag_without_broadcast_shuffles_only_the_carry(spark):
+    # many keys at scale: the carry table is too big to broadcast. Tables the
+    # cached fixture does not hold, so the printed plan has no nested adaptive
+    # plan of a cached table
+    b, spec = hot_bronze(spark, SF001)
+    s = silver.latest_per_key(b, spec.business_key, spec.order_cols).select(*spec.series_cols)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ch = gold.daily_changes(s, spec, stamp=False)
+        p = plan_of(ch)
+        assert same(ch, gold.daily_changes(s, spec, stamp=False, segment=None))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    final = p.split("== Initial Plan ==")[0]
+    assert "SortMergeJoin" in final and "BroadcastHashJoin" not in final
+    # full-size shuffles: the spread of the small test file, the dedup and the
+    # one (key, year) repartition; the carry side adds two small ones
+    big = [x for x in final.splitlines() if "Exchange" in x and "Reused" not in x]
+    assert sum("REPARTITION_BY_COL" in x for x in big) == 1
+    assert sum(f"hashpartitioning({spec.k}#" in x for x in big) == 1  # the dedup
+    assert "ReusedExchange" in final  # the carry reads the same (key, year) exchange
