@@ -144,6 +144,7 @@ def create_or_replace_table_as(df: DataFrame, name: str, path: str | None = None
         staged = stage(df, f"{path.rstrip('/')}.__ctas")
         src = spark.read.parquet(staged)
         src.write.mode("overwrite").option("path", path).saveAsTable(name)
+        discard(spark, staged)  # the table's files are under ``path`` now
     else:
         src.write.mode("overwrite").saveAsTable(name)
     return spark.table(name)
