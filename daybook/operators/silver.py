@@ -95,10 +95,14 @@ def build_silver(bronze: DataFrame, spec: SeriesSpec, path: str, method: str = "
     published to ``path``. Returns the published table.
     """
     from daybook.operators.quality import enforce_verdict, silver_verdict
-    from daybook.sinks.tables import publish_staged, stage
+    from daybook.sinks.tables import discard, publish_staged, stage
 
+    spark = bronze.sparkSession
     silver = silver_frame(bronze, spec, method=method)
     staged = stage(silver, path)
-    staged_df = bronze.sparkSession.read.parquet(staged)
-    enforce_verdict(silver_verdict(staged_df, spec))
-    return publish_staged(bronze.sparkSession, staged, path)
+    try:
+        enforce_verdict(silver_verdict(spark.read.parquet(staged), spec))
+    except Exception:
+        discard(spark, staged)  # a failed run leaves the target and no staging behind
+        raise
+    return publish_staged(spark, staged, path)

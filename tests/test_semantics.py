@@ -37,6 +37,12 @@ def test_null_value_fails_the_silver_gate(spark, tmp_dir):
     )
     with pytest.raises(quality.QualityGateError):
         silver.build_silver(b, SPEC, tmp_dir)
+    # nothing published, and the rejected staging directory is gone
+    parent, name = tmp_dir.rsplit("/", 1)
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(parent).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    left = [st.getPath().getName() for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(parent))]
+    assert not [x for x in left if x.startswith(name)]
 
 
 def test_null_value_sorts_first_ascending_last_descending(spark):
