@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import decontam, elias_fano, minmax, packing, quality
+from daybook.llm import decontam, elias_fano, minmax, packing, perspective, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,12 +42,17 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents, quality.fit(documents, table(spark, sf_dir, "labels")))
 
 
+def op9_perspective(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspective.rotate(table(spark, sf_dir, "conversations")).withColumn("mask", perspective.mask_text())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_elias_fano": op3_elias_fano,
     "op4_packing": op4_packing,
     "op6_containment": op6_containment,
     "op7_minmax": op7_minmax,
     "op8_quality": op8_quality,
+    "op9_perspective": op9_perspective,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op9_perspective": perspective.SQL}
