@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import decontam, elias_fano, minmax, packing, perspective, quality
+from daybook.llm import decontam, elias_fano, langid, minmax, packing, perspective, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,13 @@ def _tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    rest = F.crc32(F.col("doc_id").cast("string")) % 4
+    out = langid.identify(documents, langid.fit(documents, rest != 2))
+    return out.select("doc_id", F.coalesce(rest == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "n_words", "n_switches")
+
+
 def op3_elias_fano(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = elias_fano.round_trip(table(spark, sf_dir, "documents"), _tokenizer(), end_id=2)
     return out.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
@@ -47,6 +54,7 @@ def op9_perspective(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_langid": op1_langid,
     "op3_elias_fano": op3_elias_fano,
     "op4_packing": op4_packing,
     "op6_containment": op6_containment,
