@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import decontam, elias_fano, langid, minmax, packing, perspective, quality
+from daybook.llm import decontam, elias_fano, langid, linedup, minmax, packing, perspective, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op5_line_edit_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = linedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return out.select("row.doc_id", "n_lines", "n_removed", F.col("text_left").alias("text"))
+
+
 def op6_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -57,10 +62,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op3_elias_fano": op3_elias_fano,
     "op4_packing": op4_packing,
+    "op5_line_edit_join": op5_line_edit_join,
     "op6_containment": op6_containment,
     "op7_minmax": op7_minmax,
     "op8_quality": op8_quality,
     "op9_perspective": op9_perspective,
 }
 
-ORACLE_SQL: dict[str, str] = {"op9_perspective": perspective.SQL}
+ORACLE_SQL: dict[str, str] = {"op5_line_edit_join": linedup.SQL, "op9_perspective": perspective.SQL}
