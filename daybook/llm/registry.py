@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import decontam, elias_fano, langid, linedup, minmax, packing, perspective, quality
+from daybook.llm import decontam, elias_fano, langid, linedup, minmax, packing, perspective, quality, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +58,10 @@ def op9_perspective(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perspective.rotate(table(spark, sf_dir, "conversations")).withColumn("mask", perspective.mask_text())
 
 
+def op10_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op3_elias_fano": op3_elias_fano,
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_minmax": op7_minmax,
     "op8_quality": op8_quality,
     "op9_perspective": op9_perspective,
+    "op10_secret_forest": op10_secret_forest,
 }
 
 ORACLE_SQL: dict[str, str] = {"op5_line_edit_join": linedup.SQL, "op9_perspective": perspective.SQL}
