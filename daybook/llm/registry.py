@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import decontam, elias_fano, langid, linedup, minmax, packing, perspective, quality, secrets
+from daybook.llm import decontam, elias_fano, langid, linedup, minmax, packing, perspective, quality, rindex, secrets
+from daybook.llm.shared import ship
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -26,6 +28,11 @@ def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.coalesce(rest == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "n_words", "n_switches")
 
 
+def op2_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = rindex.remove_repeats(table(spark, sf_dir, "documents"), length=200)
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_elias_fano(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = elias_fano.round_trip(table(spark, sf_dir, "documents"), _tokenizer(), end_id=2)
     return out.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
@@ -64,6 +71,7 @@ def op10_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
+    "op2_run_length_index": op2_run_length_index,
     "op3_elias_fano": op3_elias_fano,
     "op4_packing": op4_packing,
     "op5_line_edit_join": op5_line_edit_join,

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +31,21 @@ def shared_dir(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+def ship(spark: SparkSession) -> None:
+    """Give executors this package, once for each application, where it is not installed on them."""
+    context = spark.sparkContext
+    if getattr(context, "_daybook_shipped", False):
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="daybook-code-"), "daybook.zip")  # the driver serves it
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                out.write(os.path.join(folder, name), os.path.join("daybook", os.path.relpath(os.path.join(folder, name), package)))
+    context.addPyFile(path)
+    context._daybook_shipped = True
+
+
 def run_dir(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder, not created yet."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
