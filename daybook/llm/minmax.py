@@ -22,8 +22,8 @@ its pairs:
    and are not yet connected are always compared, so no link between
    different texts is lost.
 
-The ids that a pass over the texts needs are broadcast only if they are at
-most ``BROADCAST`` rows; beyond that the same join shuffles.
+What a pass over the texts needs (ids with their buckets) is broadcast only if
+it holds at most ``BROADCAST`` entries; beyond that the same join shuffles.
 
 Defined cases: a null text or one without words has an empty set, links with
 nothing and stays; a row without doc_id links with nothing, has a null
@@ -49,7 +49,7 @@ BANDS, ROWS = 48, 6
 PERMUTATIONS = BANDS * ROWS // 2
 GROUPS = 8
 BLOCK = 512
-BROADCAST = 2_000_000
+BROADCAST = 400_000
 
 _U64 = np.uint64
 _SEED = mix(np.arange(1, 2 * PERMUTATIONS + 1, dtype=_U64) * _U64(0x9E3779B97F4A7C15))
@@ -117,9 +117,10 @@ def _described(texts: DataFrame, size: int) -> DataFrame:
     return texts.mapInArrow(run, "doc_id bigint, n_shingles bigint, key binary, bands array<bigint>")
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """Broadcast a side only if its row count allows."""
-    return F.broadcast(df) if df.count() <= BROADCAST else df
+def _small(wanted: DataFrame) -> DataFrame:
+    """Broadcast (node, tags) only if all of its tags are few."""
+    total = wanted.agg(F.sum(F.size("tags"))).first()[0] or 0
+    return F.broadcast(wanted) if total <= BROADCAST else wanted
 
 
 def _with_sets(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
