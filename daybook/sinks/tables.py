@@ -1,46 +1,59 @@
 """Parquet table sinks: append with schema growth, replace, CTAS, views,
 and write verification.
 
-Locations: every scratch or staging directory lives under the cluster's
-shared checkpoint folder (``spark.checkpoint.dir``), never under a
-machine-local temp folder. Only when the session has none (local tests) do we
-create one.
+Locations: a table's staging directory lies beside the table, so publishing it
+is one rename on the table's own file system; scratch tables lie under the
+cluster's shared checkpoint folder (``spark.checkpoint.dir``) and are removed
+when the application ends. Nothing is written to a machine-local folder: a
+session without a checkpoint folder is an error.
+
+An appended batch is one directory below the table (``batch-<id>``), published
+by a single rename: a reader sees all of it or nothing.
 """
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_FALLBACK_DIR: str | None = None
+_scratch: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's shared checkpoint folder; set one only when unset."""
-    global _FALLBACK_DIR
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if d:
-        return d.rstrip("/")
-    d = spark.sparkContext.getCheckpointDir()
-    if d:
-        return d.rstrip("/")
-    if _FALLBACK_DIR is None:  # local runs only: no cluster folder configured
-        _FALLBACK_DIR = tempfile.mkdtemp(prefix="daybook-ckpt-")
-    spark.sparkContext.setCheckpointDir(_FALLBACK_DIR)
-    return _FALLBACK_DIR
+    """The session's shared checkpoint folder; it must be configured."""
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not d:
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+    return d.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh directory name under the shared folder."""
-    return f"{shared_dir(spark)}/daybook/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh directory name under the shared folder, removed at the application's end."""
+    base = f"{shared_dir(spark)}/daybook/{spark.sparkContext.applicationId}"
+    if base not in _scratch:
+        _scratch.add(base)
+        atexit.register(_remove_scratch, spark, base)
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _remove_scratch(spark: SparkSession, base: str) -> None:
+    try:
+        fs, p = _fs(spark, base)
+        fs.delete(p, True)
+    except Exception:  # noqa: BLE001 - the gateway is already gone; only scratch stays behind
+        pass
+
+
+def _path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
 
 
 def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+    p = _path(spark, path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
@@ -49,10 +62,22 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Read a table written by these sinks; columns added by later appends
-    come back as NULL for older files (``mergeSchema``)."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None, merge: bool = False) -> DataFrame:
+    """Read a table written by these sinks, all of its batches.
+
+    Pass ``schema`` where the columns are known (no footer is read, and a table
+    without files reads as empty), or ``merge`` for a table whose appended
+    batches added columns (NULL for older batches; reads every footer).
+    """
+    reader = spark.read.option("recursiveFileLookup", "true")
+    if schema is not None:
+        return reader.schema(schema).parquet(path)
+    return reader.option("mergeSchema", str(merge).lower()).parquet(path)
+
+
+def _move(fs, src, dst, what: str) -> None:
+    if not fs.rename(src, dst):
+        raise OSError(f"could not {what}: {src} -> {dst}")
 
 
 # ---------------------------------------------------------------- F1
@@ -60,30 +85,18 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 def append_table(df: DataFrame, path: str) -> None:
     """append; a batch may carry columns the table does not have yet."""
-    df.write.mode("append").parquet(path)
+    spark = df.sparkSession
+    append_staged(spark, stage(df, path), path)
 
 
-def append_staged(spark: SparkSession, staged: str, path: str) -> int:
-    """Move the data files of a staged write into ``path`` (an append by
-    rename: the rows are not read or copied again). Part-file names carry
-    the write job's id, so they do not collide with files already there.
-    Returns the number of files moved; driver work is one directory listing.
-    """
+def append_staged(spark: SparkSession, staged: str, path: str) -> str:
+    """Publish a staged write as one batch directory of ``path``: one rename,
+    whatever the number of files; no row is read or copied again."""
     fs, target = _fs(spark, path)
-    _, src = _fs(spark, staged)
-    if not fs.exists(target):
-        fs.mkdirs(target)
-    moved = 0
-    for st in fs.listStatus(src):
-        name = st.getPath().getName()
-        if name.startswith("_") or name.startswith("."):
-            continue
-        dst = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target, name)
-        if not fs.rename(st.getPath(), dst):
-            raise OSError(f"could not move {name} into {path}")
-        moved += 1
-    fs.delete(src, True)
-    return moved
+    fs.mkdirs(target)
+    batch = f"{path.rstrip('/')}/batch-{uuid.uuid4().hex[:12]}"
+    _move(fs, _path(spark, staged), _path(spark, batch), "publish the batch")
+    return batch
 
 
 def discard(spark: SparkSession, staged: str) -> None:
@@ -96,25 +109,36 @@ def discard(spark: SparkSession, staged: str) -> None:
 
 
 def stage(df: DataFrame, path: str, observation: Observation | None = None) -> str:
-    """Write ``df`` next to ``path`` in a fresh staging directory."""
+    """Write ``df`` beside ``path`` in a fresh staging directory."""
     staged = f"{path.rstrip('/')}.__staging-{uuid.uuid4().hex[:12]}"
     if observation is not None:
         df = df.observe(observation, F.count(F.lit(1)).alias("written"))
-    df.write.mode("overwrite").parquet(staged)
+    try:
+        df.write.parquet(staged)
+    except Exception:
+        discard(df.sparkSession, staged)
+        raise
     return staged
 
 
 def publish_staged(spark: SparkSession, staged: str, path: str) -> DataFrame:
-    """Swap a staged directory in as ``path`` (rename; no data copy)."""
+    """Swap a staged directory in as ``path``: the old table is renamed aside,
+    the new one renamed in, and only then the old one deleted. If the second
+    rename fails the old table is put back."""
     fs, target = _fs(spark, path)
-    _, src = _fs(spark, staged)
+    src, aside = _path(spark, staged), None
     if fs.exists(target):
-        fs.delete(target, True)
-    parent = target.getParent()
-    if parent is not None and not fs.exists(parent):
-        fs.mkdirs(parent)
-    if not fs.rename(src, target):
-        raise OSError(f"could not publish {staged} as {path}")
+        aside = _path(spark, f"{path.rstrip('/')}.__replaced-{uuid.uuid4().hex[:12]}")
+        _move(fs, target, aside, "set the old table aside")
+    try:
+        fs.mkdirs(target.getParent())
+        _move(fs, src, target, "publish the table")
+    except Exception:
+        if aside is not None:
+            fs.rename(aside, target)
+        raise
+    if aside is not None:
+        fs.delete(aside, True)
     return read_table(spark, path)
 
 
@@ -132,21 +156,34 @@ def overwrite_table(df: DataFrame, path: str) -> DataFrame:
 # ---------------------------------------------------------------- F3 / F4
 
 
+def _location(spark: SparkSession, name: str) -> str | None:
+    if not spark.catalog.tableExists(name):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else None
+
+
 def create_or_replace_table_as(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """``CREATE OR REPLACE TABLE name AS`` - replaces rows and columns.
 
-    With ``path`` the table is external (data under ``path``); the data is
-    staged first so a query that reads ``name`` itself can replace it.
+    The data is written once, to a version directory of its own (below
+    ``path``, or below the warehouse), and the table is then pointed there, so
+    a query that reads ``name`` itself can replace it. The version it replaces
+    is deleted last; a failed write leaves the table as it was.
     """
     spark = df.sparkSession
-    src = df
-    if path is not None:
-        staged = stage(df, f"{path.rstrip('/')}.__ctas")
-        src = spark.read.parquet(staged)
-        src.write.mode("overwrite").option("path", path).saveAsTable(name)
-        discard(spark, staged)  # the table's files are under ``path`` now
-    else:
-        src.write.mode("overwrite").saveAsTable(name)
+    base = path or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}.__versions"
+    version = f"{base.rstrip('/')}/version-{uuid.uuid4().hex[:12]}"
+    try:
+        df.write.parquet(version)
+    except Exception:
+        discard(spark, version)
+        raise
+    old = _location(spark, name)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path=version, source="parquet")
+    if old and "/version-" in old:
+        discard(spark, old)
     return spark.table(name)
 
 
@@ -165,9 +202,14 @@ def verify_write(df: DataFrame, path: str, mode: str = "append") -> DataFrame:
     ``written`` is counted by an ``Observation`` on the write job itself (no
     second run of the plan); ``table_total`` is a count of the target.
     """
+    spark = df.sparkSession
     obs = Observation(f"daybook_write_{uuid.uuid4().hex[:8]}")
-    df.observe(obs, F.count(F.lit(1)).alias("written")).write.mode(mode).parquet(path)
+    staged = stage(df, path, observation=obs)
+    if mode == "append":
+        append_staged(spark, staged, path)
+    elif mode == "overwrite":
+        publish_staged(spark, staged, path)
+    else:
+        raise ValueError(f"unknown mode {mode!r}")
     written = int(obs.get["written"])
-    return read_table(df.sparkSession, path).agg(
-        F.lit(written).cast("long").alias("written"), F.count(F.lit(1)).alias("table_total")
-    )
+    return read_table(spark, path).agg(F.lit(written).cast("long").alias("written"), F.count(F.lit(1)).alias("table_total"))

@@ -9,8 +9,9 @@ which payload files were already taken, so every landed file is loaded once:
 
 Each micro-batch is written to its own ``epoch=<id>`` directory with
 overwrite, so a batch replayed after a failure replaces its own output
-instead of appending it twice. The checkpoint lives under the shared
-checkpoint folder unless a location is given.
+instead of appending it twice. The checkpoint belongs to the bronze table
+(``<bronze>.__checkpoint`` unless a location is given): a restarted ingest goes
+on with the next epoch and never overwrites an earlier one.
 """
 
 from __future__ import annotations
@@ -21,7 +22,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from daybook.operators import quality
-from daybook.sinks.tables import scratch_path
 from daybook.sources.payload import PAYLOAD_SCHEMA, flatten_payload, stamp_ingestion
 from daybook.spec import SeriesSpec
 
@@ -41,14 +41,14 @@ def _batch_writer(
 ) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, epoch_id: int) -> None:
         batch = batch.persist()  # read by the report and by the write
+        report = quality.quality_report(batch, spec).persist()
         try:
-            report = quality.quality_report(batch, spec).persist()
             if on_report is not None:
                 on_report(epoch_id, report)
             quality.enforce(report, strict=spec.thresholds.strict_mode)
             batch.write.mode("overwrite").parquet(f"{bronze_path.rstrip('/')}/{EPOCH_COL}={epoch_id}")
-            report.unpersist()
         finally:
+            report.unpersist()
             batch.unpersist()
 
     return write
@@ -68,7 +68,7 @@ def start_bronze_ingest(
     """Start the ingest. ``available_now`` drains what has landed and stops
     (in micro-batches of at most ``max_files_per_trigger`` files, so a large
     backlog is never one batch); otherwise it polls every ``processing_time``."""
-    ckpt = checkpoint or scratch_path(spark, "bronze-stream-checkpoint")
+    ckpt = checkpoint or f"{bronze_path.rstrip('/')}.__checkpoint"
     w = (
         bronze_stream(spark, landing, max_files_per_trigger)
         .writeStream.foreachBatch(_batch_writer(bronze_path, spec, on_report))
