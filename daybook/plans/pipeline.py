@@ -2,11 +2,11 @@
 
 Action budget per run (the data is read as few times as the checks need):
 
-* bronze: watermark (one scalar aggregate); the batch is parsed once and
-  written to staging (its row count observed on the same job); the quality
-  report reads the staged Parquet (columnar, one scan; the gate collects at
-  most a handful of error rows); publishing moves the staged files into the
-  bronze directory (no second write);
+* bronze: watermark (one scalar aggregate); only files that have newly landed
+  are read, parsed once and written to staging; the quality report and the
+  split into accepted and quarantined records read the staged Parquet (the gate
+  collects at most a handful of error rows); each part is published as one
+  batch directory;
 * silver: one dedup written to staging, one verdict scan of the staged
   files, a rename;
 * gold: one write per table; the summary is a view over the written tables.
@@ -16,23 +16,32 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.functions import parsed_date
 from daybook.operators import gold, marts, quality
 from daybook.operators.silver import build_silver
 from daybook.sinks.tables import (
-    append_staged,
+    append_table,
     create_or_replace_view,
     discard,
     overwrite_table,
     path_exists,
     read_table,
-    shared_dir,
     stage,
 )
 from daybook.sources.incremental import incremental_batch, watermark_value
-from daybook.sources.payload import flatten_payload, read_payloads, stamp_ingestion
+from daybook.sources.payload import (
+    BRONZE_SCHEMA,
+    BRONZE_TABLE_SCHEMA,
+    CORRUPT,
+    SOURCE_FILE,
+    flatten_landed,
+    quarantine_reason,
+    read_landed,
+    stamp_ingestion,
+)
 from daybook.spec import SeriesSpec
 
 RATE_SPEC = SeriesSpec()
@@ -40,10 +49,42 @@ RATE_SPEC = SeriesSpec()
 
 @dataclass
 class BronzeResult:
-    mode: str  # "full", "incremental" or "up_to_date"
+    mode: str  # "full", "incremental", "up_to_date" or "empty" (nothing new has landed)
     valid: bool
     report: DataFrame | None
     written: DataFrame | None
+    quarantined: int = 0
+
+
+def quarantine_path(bronze_path: str) -> str:
+    """Records that were not accepted, with reason and source file."""
+    return f"{bronze_path.rstrip('/')}.__quarantine"
+
+
+def _ledger_path(bronze_path: str) -> str:
+    return f"{bronze_path.rstrip('/')}.__files"
+
+
+LEDGER_SCHEMA = "source_file string, modified timestamp, done boolean"
+
+
+def _landed_files(spark: SparkSession, landing: str, bronze_path: str) -> DataFrame:
+    """source_file, modified and ``seen`` of every landed file that is not done.
+
+    Only names are listed (no content is read). A file is done once a run has
+    taken all of it; until then (it holds dates beyond that run's ``as_of``)
+    later runs read it again, but its rejects were already kept (``seen``). A
+    file that was written anew is a new file.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(landing)
+    files = listed.select(F.col("path").alias("source_file"), F.col("modificationTime").alias("modified"))
+    ledger = _ledger_path(bronze_path)
+    if not path_exists(spark, ledger):
+        return files.withColumn("seen", F.lit(False))
+    taken = read_table(spark, ledger, LEDGER_SCHEMA)
+    taken = taken.groupBy("source_file", "modified").agg(F.max("done").alias("done"))
+    joined = files.join(taken, ["source_file", "modified"], "left").where(~F.coalesce("done", F.lit(False)))
+    return joined.select("source_file", "modified", F.col("done").isNotNull().alias("seen"))
 
 
 def run_bronze(
@@ -53,35 +94,66 @@ def run_bronze(
     as_of: str,
     spec: SeriesSpec = RATE_SPEC,
     expected: DataFrame | None = None,
+    run_quality_checks: bool = True,
 ) -> BronzeResult:
-    """Load landed payloads newer than the bronze watermark, check, append."""
-    target = read_table(spark, bronze_path) if path_exists(spark, bronze_path) else None
-    wm = watermark_value(target, spec.d)
+    """Load what has newly landed beyond the bronze watermark, check, append.
+
+    No record is lost: a rate without a valid date is part of the batch that
+    is checked, whatever its date; records that do not meet the declared schema
+    (malformed payloads, NULLs in its columns) go to the quarantine table with
+    reason and source file, the others are appended. The report covers both.
+    In strict mode an error row stops the run before anything is published;
+    its files stay unread for the next run.
+    """
+    exists = path_exists(spark, bronze_path)
+    wm = watermark_value(read_table(spark, bronze_path, BRONZE_TABLE_SCHEMA), spec.d) if exists else None
     if wm is not None and wm >= as_of:
         return BronzeResult("up_to_date", True, None, None)
-    rows = flatten_payload(read_payloads(spark, landing))
-    batch = stamp_ingestion(incremental_batch(rows, spec.d, as_of, watermark=wm, years_back=spec.years_back))
-    obs = Observation("bronze_batch")
-    staged = stage(batch, bronze_path, observation=obs)
-    # the report reads the staged files, which are moved below: keep a copy
-    # in the shared checkpoint folder (reliable checkpoint, one execution)
-    shared_dir(spark)
-    report = quality.quality_report(read_table(spark, staged), spec, expected=expected).checkpoint(eager=True)
+    files = _landed_files(spark, landing, bronze_path).collect()  # the names of this run's files
+    if not files:
+        return BronzeResult("empty", True, None, None)
+    names = spark.createDataFrame([(f["source_file"], f["modified"], f["seen"]) for f in files], "source_file string, modified timestamp, seen boolean")
+    rows = flatten_landed(read_landed(spark, [f["source_file"] for f in files]))
+    path = lambda c: F.regexp_replace(F.col(c), "^file:/+", "file:///")  # noqa: E731 - both spellings of a local URI
+    rows = rows.join(F.broadcast(names.select(path("source_file").alias("_f"), "seen")), path(SOURCE_FILE) == F.col("_f"), "left")
+    dated = parsed_date(spec.d).isNotNull()
+    due = incremental_batch(rows, spec.d, as_of, watermark=wm, years_back=spec.years_back).where(dated)
+    undated = rows.where(~dated & ~F.coalesce("seen", F.lit(False)))
+    tagged = due.unionByName(undated).withColumn("quarantine_reason", quarantine_reason(BRONZE_SCHEMA.names))
+    batch = tagged.select(*BRONZE_SCHEMA.names, CORRUPT, SOURCE_FILE, "quarantine_reason")
+    # parsed once, into staging beside the table; the report and the split read the staged files
+    staged = stage(stamp_ingestion(batch), f"{bronze_path.rstrip('/')}.__batch")
     try:
-        valid = quality.enforce(report, strict=spec.thresholds.strict_mode)
-    except quality.QualityGateError:
+        checked = read_table(spark, staged)
+        counts = checked.agg(F.count(F.lit(1)).alias("n"), F.count("quarantine_reason").alias("bad"), F.count(CORRUPT).alias("malformed")).first()
+        report = None
+        valid = True
+        if run_quality_checks and counts["n"]:
+            report = quality.quality_report(checked.where(F.col(CORRUPT).isNull()), spec, expected=expected)
+            report = report.unionByName(quality.malformed_row(spark, counts["malformed"], counts["n"]))
+            # kept in the shared folder: the files it reads are removed below
+            report = report.checkpoint(eager=True)
+            valid = quality.enforce(report, strict=spec.thresholds.strict_mode)
+        if counts["bad"]:
+            append_table(checked.where("quarantine_reason is not null"), quarantine_path(bronze_path))
+        written = None
+        if counts["n"] > counts["bad"]:
+            append_table(checked.where("quarantine_reason is null").select(*BRONZE_TABLE_SCHEMA.names), bronze_path)
+            written = read_table(spark, bronze_path, BRONZE_TABLE_SCHEMA).agg(
+                F.lit(counts["n"] - counts["bad"]).cast("long").alias("written"), F.count(F.lit(1)).alias("table_total")
+            )
+        later = rows.where(dated & (F.col(spec.d) > F.lit(as_of))).select(F.col("_f")).distinct()
+        taken = names.join(later, path("source_file") == F.col("_f"), "left").select("source_file", "modified", F.col("_f").isNull().alias("done"))
+        append_table(taken.coalesce(1), _ledger_path(bronze_path))
+    finally:
         discard(spark, staged)
-        raise
-    append_staged(spark, staged, bronze_path)
-    written = read_table(spark, bronze_path).agg(
-        F.lit(int(obs.get["written"])).cast("long").alias("written"), F.count(F.lit(1)).alias("table_total")
-    )
-    return BronzeResult("incremental" if wm is not None else "full", valid, report, written)
+    mode = "empty" if not counts["n"] else "incremental" if wm is not None else "full"
+    return BronzeResult(mode, valid, report, written, counts["bad"])
 
 
 def run_silver(spark: SparkSession, bronze_path: str, silver_path: str, spec: SeriesSpec = RATE_SPEC) -> DataFrame:
     """Rebuild silver from all of bronze; hard gate; replace the table."""
-    return build_silver(read_table(spark, bronze_path), spec, silver_path)
+    return build_silver(read_table(spark, bronze_path, merge=True), spec, silver_path)
 
 
 def run_gold(spark: SparkSession, silver_path: str, gold_dir: str, spec: SeriesSpec = RATE_SPEC) -> dict[str, DataFrame]:

@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.functions import parsed_date
+
 
 def _as_date(x: str | dt.date) -> dt.date:
     return x if isinstance(x, dt.date) else dt.date.fromisoformat(x)
@@ -36,10 +38,11 @@ def high_watermark(target: DataFrame, d: str) -> DataFrame:
 
 
 def watermark_value(target: DataFrame | None, d: str) -> str | None:
-    """The watermark as a Python value: one aggregated scalar, read once."""
+    """The watermark as a Python value: one aggregated scalar, read once.
+    Only valid dates count: a stored ``2024-13-40`` must not hide later loads."""
     if target is None:
         return None
-    return high_watermark(target, d).first()["watermark"]
+    return high_watermark(target.where(parsed_date(d).isNotNull()), d).first()["watermark"]
 
 
 # ---------------------------------------------------------------- A4
@@ -110,8 +113,11 @@ def load_window_coverage(
     reports a zero for every window. No cross product is built.
     """
     wins = load_windows(start, end)
+    if not wins:  # up to date: no window to cover
+        none = keys.select(F.col(k).cast("string").alias(k)).where(F.lit(False))
+        return none.select(k, *[F.lit(None).cast(t).alias(c) for c, t in (("window_start", "string"), ("window_end", "string"), ("n", "long"))])
     col = F.col(d)
-    in_range = (col >= F.lit(wins[0][0])) & (col <= F.lit(wins[-1][1])) if wins else F.lit(False)
+    in_range = (col >= F.lit(wins[0][0])) & (col <= F.lit(wins[-1][1]))
     counts = (
         df.where(in_range)
         .groupBy(F.col(k).cast("string").alias(k))

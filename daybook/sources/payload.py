@@ -50,14 +50,40 @@ BRONZE_SCHEMA = T.StructType(
     ]
 )
 INGESTION_TS = "ingestion_timestamp"
+SOURCE_FILE = "source_file"
+# The stored bronze table: the declared columns and the stamp.
+BRONZE_TABLE_SCHEMA = T.StructType([*BRONZE_SCHEMA.fields, T.StructField(INGESTION_TS, T.TimestampType())])
 
 
 # ---------------------------------------------------------------- A1
 
 
-def read_payloads(spark: SparkSession, path: str) -> DataFrame:
+def read_payloads(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Landed payload files (JSON lines) with the payload schema."""
-    return spark.read.schema(PAYLOAD_SCHEMA).json(path)
+    return spark.read.schema(PAYLOAD_SCHEMA).json(path if isinstance(path, str) else list(path))
+
+
+def read_landed(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """``read_payloads`` with the text of malformed records (``_corrupt_record``)
+    and the file of every record (``source_file``)."""
+    full = T.StructType([*PAYLOAD_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    rows = reader.json(path if isinstance(path, str) else list(path))
+    return rows.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+
+
+def flatten_landed(landed: DataFrame) -> DataFrame:
+    """A1 on ``read_landed`` rows: one row per rate, and one for every malformed
+    record (all columns NULL but its text and file), so none is lost."""
+    rates = F.when(F.col(CORRUPT).isNotNull(), F.array(F.lit(None).cast(RATE_SCHEMA))).otherwise(F.col("rates"))
+    return landed.select(
+        F.col("code").alias("currency_code"),
+        F.col("currency").alias("currency_name"),
+        F.col("table"),
+        CORRUPT,
+        SOURCE_FILE,
+        F.inline(rates),
+    )
 
 
 def flatten_payload(payloads: DataFrame) -> DataFrame:
