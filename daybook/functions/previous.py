@@ -1,8 +1,12 @@
-"""Previous value of a key by date, with each key's series split into segments.
+"""Previous value of a key by date.
 
-A plain ``lag(v) OVER (PARTITION BY key ORDER BY date)`` sends a key's whole
-series to one task. Here the series is cut by a prefix of the date string
-(``yyyy`` by default, i.e. calendar years) and shuffled **once** on
+The default is the plain ``lag(v) OVER (PARTITION BY key ORDER BY date)``: a
+deduplicated series has at most one row for each key and calendar day, so no
+group is large however often the raw rows were copied, and what follows can
+group by the key without another shuffle.
+
+For input that is *not* unique per (key, date), ``segment=YEAR`` splits each
+key's series by a prefix of the date string and shuffles **once** on
 (key, segment); everything below reads that one exchange:
 
 1. ``lag`` runs over ``PARTITION BY key, segment`` - many small groups, so a
@@ -41,7 +45,7 @@ YEAR = 4  # length of the date prefix that names a segment ("yyyy")
 
 
 def with_previous_value(
-    df: DataFrame, k: str, d: str, v: str, out: str = "_prev", segment: int | None = YEAR
+    df: DataFrame, k: str, d: str, v: str, out: str = "_prev", segment: int | None = None
 ) -> DataFrame:
     """Columns ``k, d, v`` and ``out``: ``v`` at the key's previous available date."""
     if not segment:

@@ -5,24 +5,24 @@ Plan shapes (see ``explain``):
 * ``historical_extremes`` / ``extreme_daily_movements``: one ``groupBy(key)``
   with two ``min(struct(...))`` aggregates - partial aggregation before the
   key shuffle, no ranking window, no self-join. Result size = number of keys.
-* ``daily_changes``: ``lag`` over (key, year) segments plus a carried value
-  per segment (``functions.previous``), all from one (key, year) exchange,
-  so no task holds a key's whole series; even unsplit, silver is unique on
+* ``daily_changes``: the plain ``lag`` per key. Silver is unique on
   (key, date), so a key holds at most one row per calendar day however
-  skewed the raw copies were.
-* ``executive_summary_from_series`` fuses all of it: extremes and moves are
-  one aggregate over the changes (partial before the key shuffle), no join.
+  skewed the raw copies were (``segment`` splits longer series, see
+  ``functions.previous``).
+* ``executive_summary_from_series`` fuses all of it: the lag has already
+  partitioned by key, so extremes and moves are one aggregate over the changes
+  without a further shuffle or a join.
 
 Ties: the earliest date wins (the struct's next field is the date).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions import ascending_key, descending_key, rounded_percentage
-from daybook.functions.previous import YEAR, with_previous_value
+from daybook.functions.previous import with_previous_value
 from daybook.spec import SeriesSpec
 
 CALCULATED_AT = "calculated_at"
@@ -79,40 +79,15 @@ def _extreme_cols(k: str) -> list[Column]:
     return [F.col(k)] + [c.alias(n) for n, c in _extreme_col_map().items()]
 
 
-def historical_extremes(
-    series: DataFrame, spec: SeriesSpec, method: str = "aggregate", stamp: bool = True
-) -> DataFrame:
+def historical_extremes(series: DataFrame, spec: SeriesSpec, stamp: bool = True) -> DataFrame:
     """Per key the lowest and the highest value with their dates, the
     range and ``ROUND(range / lowest * 100, 2)`` (NULL when lowest is 0)."""
     k, d, v = spec.series_cols
-    if method == "window":
-        return _stamp(_extremes_by_rank(series, spec), stamp)
     lo, hi = _extreme_aggs(d, v)
     out = series.groupBy(k).agg(lo, hi).select(*_extreme_cols(k))
     return _stamp(out, stamp)
 
 
-def _extremes_by_rank(series: DataFrame, spec: SeriesSpec) -> DataFrame:
-    """Two ``row_number`` rankings joined on the key (the literal form)."""
-    k, d, v = spec.series_cols
-    rank = lambda o: F.row_number().over(Window.partitionBy(k).orderBy(o, F.col(d).asc()))
-    r = series.select(k, d, v, rank(F.col(v).asc()).alias("_rl"), rank(F.col(v).desc()).alias("_rh"))
-    lo = r.where("_rl = 1").select(k, F.col(v).alias("lowest_rate"), F.col(d).alias("date_lowest_rate"))
-    hi = r.where("_rh = 1").select(k, F.col(v).alias("highest_rate"), F.col(d).alias("date_highest_rate"))
-    j = lo.join(hi, k)
-    return j.select(
-        k,
-        "lowest_rate",
-        "date_lowest_rate",
-        "highest_rate",
-        "date_highest_rate",
-        (F.col("highest_rate") - F.col("lowest_rate")).alias("historical_range"),
-        rounded_percentage(F.col("highest_rate") - F.col("lowest_rate"), F.col("lowest_rate"), 2).alias(
-            "range_percentage"
-        ),
-    )
-
-
 # ---------------------------------------------------------------- D2
 
 
@@ -125,14 +100,14 @@ def direction(current: Column, previous: Column) -> Column:
 
 
 def daily_changes(
-    series: DataFrame, spec: SeriesSpec, stamp: bool = True, segment: int | None = YEAR
+    series: DataFrame, spec: SeriesSpec, stamp: bool = True, segment: int | None = None
 ) -> DataFrame:
     """Per row the previous available value of the key (by date), the
     absolute change, ``ROUND(change / previous * 100, 4)`` and the direction.
     A key's first row has no previous value and direction ``No Change``.
 
-    ``segment`` splits each key's series by year for the ``lag`` (see
-    ``functions.previous``); ``None`` is the plain per-key window."""
+    ``segment`` splits each key's series by a prefix of the date, for series
+    that are not unique per (key, date) (see ``functions.previous``)."""
     k, d, v = spec.series_cols
     base = with_previous_value(series.select(k, d, v), k, d, v, "previous_rate", segment).select(
         k, d, F.col(v).alias("current_rate"), "previous_rate"
@@ -193,16 +168,12 @@ def _move_cols() -> list[Column]:
     return [c.alias(n) for n, c in _move_col_map().items()]
 
 
-def extreme_daily_movements(
-    changes: DataFrame, spec: SeriesSpec, method: str = "aggregate", stamp: bool = True
-) -> DataFrame:
+def extreme_daily_movements(changes: DataFrame, spec: SeriesSpec, stamp: bool = True) -> DataFrame:
     """D3: per key the biggest fall (Depreciation row with the smallest
     change) and the biggest rise (Appreciation row with the largest change)
     on one row. A key lacking either kind of move is absent."""
     k, d = spec.k, spec.d
     base = changes.where(F.col("previous_rate").isNotNull())
-    if method == "window":
-        return _stamp(_moves_by_rank(base, spec), stamp)
     dep, app = _move_aggs(d)
     out = (
         base.groupBy(k)
@@ -213,21 +184,6 @@ def extreme_daily_movements(
     return _stamp(out, stamp)
 
 
-def _moves_by_rank(base: DataFrame, spec: SeriesSpec) -> DataFrame:
-    k, d = spec.k, spec.d
-    chg = F.col("daily_change_absolute")
-
-    def side(label: str, order: Column, names: list[str]) -> DataFrame:
-        w = Window.partitionBy(k).orderBy(order, F.col(d).asc())
-        s = base.where(F.col("movement_direction") == label).withColumn("_r", F.row_number().over(w))
-        src = [d, "current_rate", "previous_rate", "daily_change_absolute", "daily_change_percentage"]
-        return s.where("_r = 1").select(k, *[F.col(a).alias(b) for a, b in zip(src, names)])
-
-    dep = side(DEPRECIATION, chg.asc(), list(MOVE_NAMES[:5]))
-    app = side(APPRECIATION, chg.desc(), list(MOVE_NAMES[5:]))
-    return dep.join(app, k)
-
-
 # ---------------------------------------------------------------- D4 / D5
 
 SUMMARY_RENAMES = (
@@ -264,8 +220,8 @@ def executive_summary(extremes: DataFrame, movements: DataFrame, spec: SeriesSpe
 
 def executive_summary_from_series(series: DataFrame, spec: SeriesSpec, stamp: bool = True) -> DataFrame:
     """D4 in one pass over silver: extremes and moves are aggregated together
-    on the output of the ``lag`` (one key aggregate, partial before its
-    shuffle; no join of result tables). A key's first row has direction
+    on the output of the ``lag`` (one key aggregate in the partitioning the
+    lag already has; no join of result tables). A key's first row has direction
     ``No Change`` and so never enters the move aggregates."""
     k, d = spec.k, spec.d
     ch = daily_changes(series, spec, stamp=False)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.functions import ascending_key, descending_key
-from daybook.functions.previous import YEAR, with_previous_value
+from daybook.functions.previous import with_previous_value
 from daybook.spec import SeriesSpec
 
 # Column titles of the dashboard datasets.
@@ -30,7 +30,7 @@ DATE_LOWEST = "Date of Lowest Rate"
 LOWEST = "Lowest Rate (PLN)"
 
 
-def with_previous(series: DataFrame, spec: SeriesSpec, segment: int | None = YEAR) -> DataFrame:
+def with_previous(series: DataFrame, spec: SeriesSpec, segment: int | None = None) -> DataFrame:
     """(k, d, v, prev, change) with ``prev`` the key's previous value by date."""
     k, d, v = spec.series_cols
     return with_previous_value(series.select(k, d, v), k, d, v, "_prev", segment).withColumn(
@@ -97,11 +97,12 @@ def lowest_rates(series: DataFrame, spec: SeriesSpec, method: str = "aggregate")
     return _extreme_rate(series, spec, high=False, method=method)
 
 
-def rate_line_series(df: DataFrame, spec: SeriesSpec, scale: int = 4) -> DataFrame:
-    """E5: average value per key and date (the line chart's aggregation),
-    rounded to ``scale`` decimals. Partial aggregation before the shuffle."""
+def rate_line_series(df: DataFrame, spec: SeriesSpec, scale: int | None = None) -> DataFrame:
+    """E5: average value per key and date (the line chart's aggregation), in
+    full or rounded to ``scale`` decimals. Partial aggregation before the shuffle."""
     k, d, v = spec.series_cols
-    return df.groupBy(k, d).agg(F.round(F.avg(F.col(v)), scale).alias(f"avg({v})"))
+    mean = F.avg(F.col(v))
+    return df.groupBy(k, d).agg((mean if scale is None else F.round(mean, scale)).alias(f"avg({v})"))
 
 
 def series_row_count(df: DataFrame, dims: Sequence[str]) -> DataFrame:

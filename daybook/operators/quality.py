@@ -8,8 +8,8 @@ no join). Both aggregates are partial before their shuffle, so a hot key or a
 hot (key, date) never lands whole in one task, and the grand total reaches its
 reducer as one row per map task.
 
-Report rows: ``(check, subject, count, percentage, severity)`` with severity
-``ok`` / ``warning`` / ``error``.
+Report rows: ``(check, subject, count, percentage, severity, value)`` with
+severity ``ok`` / ``warning`` / ``error``; ``value`` holds a statistic.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ REPORT_SCHEMA = T.StructType(
         T.StructField("count", T.LongType()),
         T.StructField("percentage", T.DoubleType()),
         T.StructField("severity", T.StringType()),
+        T.StructField("value", T.DoubleType()),
     ]
 )
 
@@ -87,12 +88,12 @@ def invalid_values(df: DataFrame, v: str) -> DataFrame:
     return one.select("invalid_count", percentage("invalid_count", "_t").alias("invalid_percentage"))
 
 
-def value_stats(df: DataFrame, v: str, scale: int | None = 6) -> DataFrame:
+def value_stats(df: DataFrame, v: str, scale: int | None = None) -> DataFrame:
     """Min, max and mean of the value column as doubles.
 
     A double sum depends on the order rows are added in, which changes with
-    partitioning; the mean is therefore rounded to ``scale`` decimals so the
-    same data always reports the same mean (``scale=None`` keeps it raw).
+    partitioning; ``scale`` rounds the mean where equal data must report the
+    same digits.
     """
     x = F.col(v).cast("double")
     mean = F.avg(x) if scale is None else F.round(F.avg(x), scale)
@@ -146,6 +147,9 @@ def missing_keys(df: DataFrame, k: str, expected: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- one-scan report
 
 
+COUNTERS = ("n", "n_null_k", "n_null_d", "n_null_v", "n_invalid_v", "n_bad_d", "n_v")
+
+
 def _rolled(df: DataFrame, spec: SeriesSpec, expected: DataFrame | None) -> DataFrame:
     """Per-key rows and one grand-total row from a single pass.
 
@@ -155,12 +159,18 @@ def _rolled(df: DataFrame, spec: SeriesSpec, expected: DataFrame | None) -> Data
        rows are keys, the grouping id 1 row is the whole table.
     """
     k, d, v = spec.k, spec.d, spec.v
+    x = F.nanvl(F.col(v).cast("double"), F.lit(None))  # statistics of the numbers; NaN is counted as invalid
     per_kd = df.groupBy(k, d).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col(v).isNull()).alias("n_null_v"),
         F.count_if(_invalid_value(v)).alias("n_invalid_v"),
+        F.count(x).alias("n_v"),
+        F.sum(x).alias("sum_v"),
+        F.min(x).alias("min_v"),
+        F.max(x).alias("max_v"),
     )
     n = F.col("n")
+    stats = ("sum_v", "min_v", "max_v", "min_d", "max_d")
     # key NULL-ness, date NULL-ness and date validity are constant in a group
     rows = per_kd.select(
         F.col(k).cast("string").alias(k),
@@ -169,6 +179,12 @@ def _rolled(df: DataFrame, spec: SeriesSpec, expected: DataFrame | None) -> Data
         F.when(F.col(d).isNull(), n).otherwise(F.lit(0)).alias("n_null_d"),
         "n_null_v",
         "n_invalid_v",
+        "n_v",
+        "sum_v",
+        "min_v",
+        "max_v",
+        parsed_date(d).alias("min_d"),
+        parsed_date(d).alias("max_d"),
         F.when(parsed_date(d).isNull(), n).otherwise(F.lit(0)).alias("n_bad_d"),
         F.when(n > 1, F.lit(1)).otherwise(F.lit(0)).alias("dup"),
         F.lit(False).alias("is_expected"),
@@ -178,7 +194,8 @@ def _rolled(df: DataFrame, spec: SeriesSpec, expected: DataFrame | None) -> Data
         rows = rows.unionByName(
             expected.select(
                 F.col(k).cast("string").alias(k),
-                *[zero.alias(c) for c in ("n", "n_null_k", "n_null_d", "n_null_v", "n_invalid_v", "n_bad_d")],
+                *[zero.alias(c) for c in COUNTERS],
+                *[F.lit(None).cast(t).alias(c) for c, t in zip(stats, ("double", "double", "double", "date", "date"))],
                 F.lit(0).alias("dup"),
                 F.lit(True).alias("is_expected"),
             )
@@ -186,13 +203,18 @@ def _rolled(df: DataFrame, spec: SeriesSpec, expected: DataFrame | None) -> Data
     z = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
     return rows.rollup(k).agg(
         F.grouping_id().alias("_gid"),
-        *[z(c).alias(c) for c in ("n", "n_null_k", "n_null_d", "n_null_v", "n_invalid_v", "n_bad_d")],
+        *[z(c).alias(c) for c in COUNTERS],
+        F.sum("sum_v").alias("sum_v"),
+        *[F.min(c).alias(c) for c in ("min_v", "min_d")],
+        *[F.max(c).alias(c) for c in ("max_v", "max_d")],
         z("dup").alias("dup_groups"),
         F.max("is_expected").alias("is_expected"),
     )
 
 
-def _row(check: str, subject: Column | str, count: Column, pct: Column | None, severity: Column) -> Column:
+def _row(
+    check: str, subject: Column | str, count: Column, pct: Column | None, severity: Column, value: Column | None = None
+) -> Column:
     subj = F.lit(subject) if isinstance(subject, str) else subject
     return F.struct(
         F.lit(check).alias("check"),
@@ -200,6 +222,7 @@ def _row(check: str, subject: Column | str, count: Column, pct: Column | None, s
         count.cast("long").alias("count"),
         (pct if pct is not None else F.lit(None)).cast("double").alias("percentage"),
         severity.alias("severity"),
+        (value if value is not None else F.lit(None)).cast("double").alias("value"),
     )
 
 
@@ -219,13 +242,16 @@ def quality_report(
     spec: SeriesSpec,
     expected: DataFrame | None = None,
     thresholds: Thresholds | None = None,
+    scale: int | None = None,
 ) -> DataFrame:
     """The bronze checks as one report DataFrame (one scan).
 
     null share over ``max_null_percentage`` -> error; duplicate share over
     ``max_duplicate_percentage`` -> warning; any value <= 0 or NaN -> error;
     any invalid date -> error; a key below ``min_expected_records`` ->
-    warning; an expected key without rows -> warning.
+    warning; an expected key without rows -> warning. ``value_stats`` rows hold
+    the least, greatest and mean number (the mean rounded to ``scale`` decimals
+    if given), the ``date_range`` row the first and last valid date.
     """
     th = thresholds or spec.thresholds
     k, d, v = spec.k, spec.d, spec.v
@@ -249,6 +275,12 @@ def quality_report(
         _row("value_check", v, F.col("n_invalid_v"), pct("n_invalid_v"), _flag(F.col("n_invalid_v") > 0, "error")),
         _row("date_check", d, F.col("n_bad_d"), pct("n_bad_d"), _flag(F.col("n_bad_d") > 0, "error")),
     ]
+    ok, n_v = F.lit("ok"), F.col("n_v")
+    mean = F.try_divide(F.col("sum_v"), n_v)
+    stats = {"min": F.col("min_v"), "max": F.col("max_v"), "mean": mean if scale is None else F.round(mean, scale)}
+    totals += [_row("value_stats", name, n_v, None, ok, value) for name, value in stats.items()]
+    days = F.concat_ws("..", F.col("min_d").cast("string"), F.col("max_d").cast("string"))
+    totals.append(_row("date_range", days, n - F.col("n_bad_d"), None, ok))
     record = _row("record_count", F.col(k), n, None, _flag(n < F.lit(th.min_expected_records), "warning"))
     missing = _row("missing_key", F.col(k), F.lit(0), None, F.lit("warning"))
     # inline(NULL) emits nothing: keys are either present or missing
@@ -256,6 +288,13 @@ def quality_report(
     return _emit(rolled, totals, per_key)
 
 
+def malformed_row(spark, malformed: int, records: int) -> DataFrame:
+    """A report row for records that could not be parsed at all."""
+    share = malformed / records * 100.0 if records else 0.0
+    row = ("malformed_check", "payload", malformed, share, "error" if malformed else "ok", None)
+    return spark.createDataFrame([row], REPORT_SCHEMA)
+
+
 def silver_verdict(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     """The silver gate's checks; any NULL or duplicate is an error."""
     k, d, v = spec.k, spec.d, spec.v

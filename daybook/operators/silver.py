@@ -82,8 +82,10 @@ def stamp_processing(df: DataFrame, col: str = PROCESSING_TS) -> DataFrame:
 
 
 def silver_frame(bronze: DataFrame, spec: SeriesSpec, method: str = "aggregate") -> DataFrame:
-    """C1 -> C3 -> C4 as one lazy plan (no gate, no write)."""
-    latest = latest_per_key(bronze, spec.business_key, spec.order_cols, method=method)
+    """C1 -> C3 -> C4 as one lazy plan (no gate, no write). Columns are pruned
+    before the dedup: its aggregate would carry, and the scan read, every one."""
+    needed = list(dict.fromkeys([*spec.series_cols, *spec.order_cols]))
+    latest = latest_per_key(bronze.select(*needed), spec.business_key, spec.order_cols, method=method)
     return stamp_processing(prune_columns(latest, spec.series_cols))
 
 

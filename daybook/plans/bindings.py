@@ -29,30 +29,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Spread a file scan that has fewer splits than the session has slots.
-
-    A file written as a single row group is read by a single task, which
-    would then also run the partial aggregates alone. Only in that case are
-    the scanned rows dealt round-robin over the slots (Spark sorts each task's
-    rows first, so a re-run task deals them the same way). The bindings apply
-    it to the raw scanned columns, before casting to strings, so the few
-    fixed-width columns are what moves and the casts run in parallel. A large
-    input (more splits than slots) is returned as it is: no shuffle at scale.
-    """
-    slots = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() < slots:
-        return scan.repartition(slots)
-    return scan
-
-
 def day_string(c: str | Column) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return c.cast("date").cast("string")
 
 
 def orders_bronze(spark: SparkSession, sf_dir: str, key: str = "o_orderpriority") -> tuple[DataFrame, SeriesSpec]:
-    o = spread(table(spark, sf_dir, "orders").select(key, "o_orderdate", "o_totalprice", "o_orderkey"))
+    o = table(spark, sf_dir, "orders").select(key, "o_orderdate", "o_totalprice", "o_orderkey")
     df = o.select(
         F.col(key).cast("string").alias(key),
         day_string("o_orderdate").alias("o_orderdate"),
@@ -71,10 +54,8 @@ SUPP_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
 
 
 def supp_bronze(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, SeriesSpec]:
-    li = spread(
-        table(spark, sf_dir, "lineitem").select(
-            "l_suppkey", "l_shipdate", "l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey"
-        )
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_suppkey", "l_shipdate", "l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey"
     )
     df = li.select(
         F.col("l_suppkey").cast("string").alias("l_suppkey"),
@@ -89,7 +70,7 @@ def supp_bronze(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, SeriesSpec
 
 
 def evt_bronze(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, SeriesSpec]:
-    ev = spread(table(spark, sf_dir, "events").select("user_id", "ts", "value", "event_id"))
+    ev = table(spark, sf_dir, "events").select("user_id", "ts", "value", "event_id")
     df = ev.select(
         F.col("user_id").cast("string").alias("user_id"),
         day_string("ts").alias("ts"),
@@ -128,7 +109,7 @@ def dirty_date(o: DataFrame) -> Column:
 
 
 def dirty_bronze(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, SeriesSpec]:
-    o = spread(table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice", "o_orderkey"))
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice", "o_orderkey")
     df = o.select(
         F.col("o_custkey").cast("string").alias("o_custkey"),
         dirty_date(o).alias("o_orderdate"),
