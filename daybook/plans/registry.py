@@ -3,8 +3,10 @@ of the same result for the DuckDB cross-check.
 
 Names follow the operator list; a suffix names a further binding
 (``_cust``, ``_supp``, ``_evt``). Run timestamps are left out of the compared
-output (they differ on every run); the stamping operators are registered
-without SQL (row-count check) and have their own tests.
+output (they differ on every run); the stamping operators show what must hold
+for the stamp beside the data: never null, one value, not before the start.
+Means are rounded here (``scale``), because a double sum depends on the order
+of its rows.
 
 The SQL side is written from the operator definitions, not generated from
 the Spark code: ranking by ``ROW_NUMBER`` (earliest date on ties), ``LAG``,
@@ -13,6 +15,7 @@ the Spark code: ranking by ``ROW_NUMBER`` (earliest date on ties), ``LAG``,
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -105,9 +108,17 @@ def q_load_window_coverage(spark: SparkSession, sf: str) -> DataFrame:
     return incremental.load_window_coverage(b, spec.k, spec.d, keys, COVERAGE_START, COVERAGE_END)
 
 
+def _stamp_shown(stamp: Callable[[DataFrame], DataFrame], df: DataFrame, col: str) -> DataFrame:
+    """The rows of ``df`` with what must hold for the stamp instead of its value."""
+    start = dt.datetime.now(dt.UTC)
+    out = stamp(df)
+    one = out.agg(F.count_distinct(col)).scalar() <= 1  # the same query, hence the same stamp
+    return out.select(*df.columns, F.col(col).isNotNull().alias("stamped"), one.alias("one_stamp"), (F.col(col) >= F.lit(start)).alias("after_start"))
+
+
 def q_stamp_ingestion(spark: SparkSession, sf: str) -> DataFrame:
     b, _ = _bronze("ord", spark, sf)
-    return payload.stamp_ingestion(b)
+    return _stamp_shown(payload.stamp_ingestion, b, payload.INGESTION_TS)
 
 
 # ---------------------------------------------------------------- B
@@ -130,7 +141,7 @@ def q_invalid_values(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_value_stats(spark: SparkSession, sf: str) -> DataFrame:
     b, spec = _bronze("ord", spark, sf)
-    return quality.value_stats(b, spec.v)
+    return quality.value_stats(b, spec.v, scale=6)
 
 
 def q_date_validation(spark: SparkSession, sf: str) -> DataFrame:
@@ -151,7 +162,7 @@ def q_missing_keys(spark: SparkSession, sf: str) -> DataFrame:
 def q_quality_report(spark: SparkSession, sf: str) -> DataFrame:
     b, spec = _bronze("dirty", spark, sf)
     spec = spec.with_(thresholds=Thresholds(min_expected_records=MIN_EXPECTED_CUST))
-    return quality.quality_report(b, spec, expected=B.customer_keys(spark, sf, spec.k))
+    return quality.quality_report(b, spec, expected=B.customer_keys(spark, sf, spec.k), scale=6)
 
 
 def q_silver_verdict(spark: SparkSession, sf: str) -> DataFrame:
@@ -189,7 +200,7 @@ def q_prune_columns(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_stamp_processing(spark: SparkSession, sf: str) -> DataFrame:
     s, _ = _series("ord", spark, sf)
-    return silver.stamp_processing(s)
+    return _stamp_shown(silver.stamp_processing, s, silver.PROCESSING_TS)
 
 
 def _silver_series(name: str, spark: SparkSession, sf: str) -> DataFrame:
@@ -266,7 +277,7 @@ def _mart(name: str, fn) -> Query:
 
 def q_rate_line_series(spark: SparkSession, sf: str) -> DataFrame:
     b, spec = _bronze("ord", spark, sf)
-    return marts.rate_line_series(b, spec)
+    return marts.rate_line_series(b, spec, scale=4)
 
 
 def q_series_row_count(spark: SparkSession, sf: str) -> DataFrame:
@@ -288,7 +299,7 @@ def q_append_evolving(spark: SparkSession, sf: str) -> DataFrame:
     early = F.col(spec.d) < APPEND_SPLIT
     sinks.append_table(s.where(early), path)
     sinks.append_table(s.where(~early).withColumn("o_orderkey_hint", F.length(spec.d)), path)
-    return sinks.read_table(spark, path)
+    return sinks.read_table(spark, path, merge=True)
 
 
 def q_overwrite_table(spark: SparkSession, sf: str) -> DataFrame:
