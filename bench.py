@@ -6,7 +6,7 @@ $BENCH_WARMUP times (the JVM compiles the hot paths during the first few
 runs, so otherwise the queries timed first would carry it), then $BENCH_RUNS
 rounds run every query once each, interleaved so that machine noise falls on
 all queries alike; the median per query is reported. Window ("_window") and aggregate
-forms of the same operator, and the per-key ("_unsplit") and year-segmented
+forms of the same operator, and the per-key and the year-segmented ("_split")
 previous-value lag, are timed side by side; the headline value sums the
 default forms only. Prints one JSON line.
 """
@@ -18,13 +18,18 @@ import os
 import statistics
 import sys
 import time
+from functools import partial
+
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from daybook.functions.previous import YEAR  # noqa: E402
 from daybook.operators import gold, marts, quality, silver  # noqa: E402
 from daybook.plans import bindings as B  # noqa: E402
 from daybook.plans import registry as R  # noqa: E402
 from daybook.plans.session import local_session  # noqa: E402
+from tests.literal_forms import extremes_by_rank, moves_by_rank  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
@@ -50,10 +55,9 @@ def dedup(method):
     return q
 
 
-def extremes(method):
+def extremes(form):
     def q(spark):
-        s, spec = _supp_series(spark)
-        return gold.historical_extremes(s, spec, method=method, stamp=False)
+        return form(*_supp_series(spark))
 
     return q
 
@@ -66,10 +70,10 @@ def changes(segment):
     return q
 
 
-def moves(method):
+def moves(form, segment=None):
     def q(spark):
         s, spec = _supp_series(spark)
-        return gold.extreme_daily_movements(gold.daily_changes(s, spec, stamp=False), spec, method=method, stamp=False)
+        return form(gold.daily_changes(s, spec, stamp=False, segment=segment), spec)
 
     return q
 
@@ -82,6 +86,15 @@ def appreciation(method):
     return q
 
 
+def appreciation_split(spark):
+    b, spec = B.cust_bronze(spark, SF_DIR)
+    s = B.series_of(b, spec)
+    change = F.col("_chg")
+    return marts.with_previous(s, spec, segment=YEAR).where(change.isNotNull()).groupBy(spec.k).agg(
+        F.min(F.struct(-change, F.col(spec.d), F.col("_prev"), F.col(spec.v)))
+    )
+
+
 def summary_tables(spark):
     return R.q_executive_summary_tables(spark, SF_DIR)
 
@@ -110,14 +123,16 @@ def line_series(spark):
 QUERIES = {
     "dedup": dedup("aggregate"),
     "dedup_window": dedup("window"),
-    "historical_extremes": extremes("aggregate"),
-    "historical_extremes_window": extremes("window"),
-    "daily_changes": changes(4),
-    "daily_changes_unsplit": changes(None),
-    "extreme_daily_movements": moves("aggregate"),
-    "extreme_daily_movements_window": moves("window"),
+    "historical_extremes": extremes(partial(gold.historical_extremes, stamp=False)),
+    "historical_extremes_window": extremes(extremes_by_rank),
+    "daily_changes": changes(None),
+    "daily_changes_split": changes(YEAR),
+    "extreme_daily_movements": moves(partial(gold.extreme_daily_movements, stamp=False)),
+    "extreme_daily_movements_window": moves(moves_by_rank),
+    "extreme_daily_movements_split": moves(partial(gold.extreme_daily_movements, stamp=False), YEAR),
     "biggest_appreciation": appreciation("aggregate"),
     "biggest_appreciation_window": appreciation("window"),
+    "biggest_appreciation_split": appreciation_split,
     "executive_summary": summary_fused,
     "executive_summary_tables": summary_tables,
     "quality_report": report,
@@ -145,7 +160,7 @@ def main() -> None:
         for name, build in chosen.items():
             samples[name].append(run(spark, build))
     times = {n: round(statistics.median(x), 4) for n, x in samples.items()}
-    variants = ("_window", "_unsplit")
+    variants = ("_window", "_split")
     headline = [n for n in times if not n.endswith(variants) and n != "executive_summary_tables"]
     out = {
         "metric": "sum_of_median_query_seconds",

@@ -8,12 +8,13 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from daybook.functions.previous import with_previous_value
+from daybook.functions.previous import YEAR, with_previous_value
 from daybook.operators import gold, marts, silver
 from daybook.plans import bindings as B
 from daybook.sources import incremental
 from tests.conftest import SF01
 from tests.helpers import SPEC, same, series
+from tests.literal_forms import extremes_by_rank, moves_by_rank
 
 BINDS = {"ord": B.orders_bronze, "cust": B.cust_bronze, "supp": B.supp_bronze, "evt": B.evt_bronze}
 
@@ -44,7 +45,7 @@ def test_extremes_forms_agree(frames, name):
     _, s, spec = frames[name]
     assert same(
         gold.historical_extremes(s, spec, stamp=False),
-        gold.historical_extremes(s, spec, method="window", stamp=False),
+        extremes_by_rank(s, spec),
     )
 
 
@@ -54,7 +55,7 @@ def test_moves_forms_agree(frames, name):
     ch = gold.daily_changes(s, spec, stamp=False)
     assert same(
         gold.extreme_daily_movements(ch, spec, stamp=False),
-        gold.extreme_daily_movements(ch, spec, method="window", stamp=False),
+        moves_by_rank(ch, spec),
     )
 
 
@@ -132,12 +133,12 @@ def test_struct_ordering_matches_ranking(spark, rows):
     s = series(spark, data)
     assert same(
         gold.historical_extremes(s, SPEC, stamp=False),
-        gold.historical_extremes(s, SPEC, method="window", stamp=False),
+        extremes_by_rank(s, SPEC),
     )
     ch = gold.daily_changes(s, SPEC, stamp=False)
     assert same(
         gold.extreme_daily_movements(ch, SPEC, stamp=False),
-        gold.extreme_daily_movements(ch, SPEC, method="window", stamp=False),
+        moves_by_rank(ch, SPEC),
     )
     for fn in (marts.biggest_appreciation, marts.biggest_depreciation, marts.highest_rates, marts.lowest_rates):
         assert same(fn(s, SPEC), fn(s, SPEC, method="window"))
@@ -157,7 +158,7 @@ def test_segmented_lag_equals_plain_lag(spark, rows):
             seen.add((k, d))
             data.append((k, d, v))
     s = series(spark, data)
-    split = with_previous_value(s, "k", "d", "v", "p")
-    plain = with_previous_value(s, "k", "d", "v", "p", segment=None)
+    split = with_previous_value(s, "k", "d", "v", "p", segment=YEAR)
+    plain = with_previous_value(s, "k", "d", "v", "p")
     assert split.columns == plain.columns
     assert same(split, plain)

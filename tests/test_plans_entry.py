@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import os
+import re
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from daybook.operators import gold
+from daybook.operators import gold, silver
 from daybook.plans import bindings as B
 from daybook.plans import registry as R
 from daybook.sources import incremental
@@ -19,16 +21,24 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_summary_splits_each_key_and_dedups_once(spark):
+def test_summary_shuffles_twice_and_joins_nothing(spark):
     df = R.q_executive_summary(spark, SF001)
     df.collect()  # final adaptive plan
-    p = plan_of(df)
-    assert "partial_max" in p  # dedup aggregates before its shuffle
-    assert "ReusedExchange" in p  # ... and its shuffle is computed once
-    # the lag runs per (key, year segment), never over a whole key
-    lag_windows = [line for line in p.splitlines() if "Window [row_number()" in line]
-    assert lag_windows and all("_seg" in line for line in lag_windows)
-    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+    p = plan_of(df).split("== Initial Plan ==")[0]
+    shuffles = [x for x in p.splitlines() if "Exchange" in x and "AQEShuffleRead" not in x]
+    assert len(shuffles) == 2  # the dedup on (key, date), then the key for the lag and the picks
+    assert "partial_max" in p  # the dedup aggregates before its shuffle
+    assert "Join" not in p and "CartesianProduct" not in p
+
+
+def test_silver_reads_only_the_series_and_its_order(spark, tmp_dir):
+    b, spec = B.supp_bronze(spark, SF001)
+    for c in ("name", "table", "no"):
+        b = b.withColumn(c, F.lit("x"))
+    b.write.parquet(tmp_dir)
+    p = plan_of(silver.silver_frame(spark.read.parquet(tmp_dir), spec))
+    read = re.search(r"FileScan parquet \[([^\]]*)\]", p)[1]
+    assert sorted(x.split("#")[0] for x in read.split(",")) == sorted({*spec.series_cols, *spec.order_cols})
 
 
 def test_extremes_aggregate_form_has_no_window_or_join(spark):
@@ -61,7 +71,6 @@ def test_watermark_filter_reaches_parquet_scan(spark, tmp_dir):
 def test_quality_report_is_one_scan(spark):
     p = plan_of(R.q_quality_report(spark, SF001))
     assert p.count("orders.parquet") == 1 and p.count("customer.parquet") == 1
-    # shuffles the report itself needs (the small-input spread is not one)
     needed = [x for x in p.splitlines() if "Exchange hashpartitioning" in x and "ENSURE_REQUIREMENTS" in x]
     assert len(needed) == 2
     assert "Join" not in p
@@ -79,11 +88,11 @@ def test_entry_smoke(spark):
     assert df.columns[0] == "o_custkey" and "volatility_percentage" in df.columns
 
 
-def test_every_query_has_sql_but_stamps():
+def test_every_query_has_sql():
     q, s = E.queries(), E.oracle_sql()
     assert set(s) <= set(q)
-    assert set(q) - set(s) == {"stamp_ingestion", "stamp_processing"}
-    assert len(q) == 51
+    assert set(R.QUERIES) <= set(s)
+    assert len(R.QUERIES) == 51
 
 
 @pytest.mark.parametrize("name", sorted(R.QUERIES))
@@ -91,10 +100,7 @@ def test_query_matches_sql_at_smoke_scale(spark, name):
     """Spark result equals the DuckDB statement on sf0.001 (order-insensitive)."""
     df = E.queries()[name](spark, SF001)
     rows = df.collect()
-    sql = E.oracle_sql().get(name)
-    if sql is None:
-        assert len(rows) > 0
-        return
+    sql = E.oracle_sql()[name]
     con = duckdb.connect()
     for t in ("orders", "lineitem", "events", "customer"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF001, t)}.parquet')")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,12 +12,13 @@ from daybook.operators import gold, marts, quality, silver
 from daybook.sources import incremental, payload
 from daybook.spec import SeriesSpec, Thresholds
 from tests.helpers import SPEC, rows_of, series
+from tests.literal_forms import extremes_by_rank
 
 
 def test_tie_on_extreme_picks_earliest_date(spark):
     s = series(spark, [("a", "2024-01-01", 2.0), ("a", "2024-01-02", 2.0)])
-    for method in ("aggregate", "window"):
-        r = gold.historical_extremes(s, SPEC, method=method, stamp=False).first()
+    for form in (partial(gold.historical_extremes, stamp=False), extremes_by_rank):
+        r = form(s, SPEC).first()
         assert r["date_lowest_rate"] == "2024-01-01"
         assert r["date_highest_rate"] == "2024-01-01"
     assert marts.highest_rates(s, SPEC).first()["Date of Highest Rate"] == "2024-01-01"
@@ -25,8 +27,8 @@ def test_tie_on_extreme_picks_earliest_date(spark):
 
 def test_nan_is_the_highest_value(spark):
     s = series(spark, [("a", "2024-01-01", 1.0), ("a", "2024-01-02", float("nan"))])
-    for method in ("aggregate", "window"):
-        r = gold.historical_extremes(s, SPEC, method=method, stamp=False).first()
+    for form in (partial(gold.historical_extremes, stamp=False), extremes_by_rank):
+        r = form(s, SPEC).first()
         assert math.isnan(r["highest_rate"]) and r["date_highest_rate"] == "2024-01-02"
         assert r["lowest_rate"] == 1.0 and r["date_lowest_rate"] == "2024-01-01"
 
@@ -48,7 +50,7 @@ def test_null_value_fails_the_silver_gate(spark, tmp_dir):
 def test_null_value_sorts_first_ascending_last_descending(spark):
     s = series(spark, [("a", "2024-01-01", None), ("a", "2024-01-02", 1.0)])
     agg = gold.historical_extremes(s, SPEC, stamp=False).first()
-    win = gold.historical_extremes(s, SPEC, method="window", stamp=False).first()
+    win = extremes_by_rank(s, SPEC).first()
     assert agg["lowest_rate"] is None and agg["date_lowest_rate"] == "2024-01-01"
     assert agg["highest_rate"] == 1.0
     assert tuple(agg) == tuple(win)
@@ -255,3 +257,23 @@ def test_stamps_are_constant_per_query(spark):
     st = payload.stamp_ingestion(s)
     assert st.select(F.countDistinct("ingestion_timestamp")).first()[0] == 1
     assert silver.stamp_processing(s).select(F.countDistinct("processing_timestamp")).first()[0] == 1
+
+
+def test_small_values_are_not_rounded(spark):
+    s = series(spark, [("JPY", "2024-01-02", 0.025611), ("JPY", "2024-01-03", 1e-08)])
+    line = dict(rows_of(marts.rate_line_series(s, SPEC), "d", "avg(v)"))
+    assert line == {"2024-01-02": 0.025611, "2024-01-03": 1e-08}
+    assert quality.value_stats(s.where("d = '2024-01-03'"), "v").first()["mean_value"] == 1e-08
+
+
+def test_coverage_of_an_empty_range_is_empty(spark):
+    keys = spark.createDataFrame([("a",)], "k string")
+    out = incremental.load_window_coverage(series(spark, [("a", "2024-01-02", 1.0)]), "k", "d", keys, "2024-02-01", "2024-01-01")
+    assert out.columns == ["k", "window_start", "window_end", "n"] and out.count() == 0
+
+
+def test_report_holds_statistics_and_the_date_range(spark):
+    s = series(spark, [("a", "2024-01-02", 1.0), ("a", "2024-01-03", 3.0), ("b", "2024-02-30", float("nan")), ("b", None, None)])
+    r = {(x["check"], x["subject"]): x for x in quality.quality_report(s, SPEC).collect()}
+    assert [r["value_stats", n]["value"] for n in ("min", "max", "mean")] == [1.0, 3.0, 2.0]
+    assert r["value_stats", "mean"]["count"] == 2 and r["date_range", "2024-01-02..2024-01-03"]["count"] == 2

@@ -19,7 +19,7 @@ def test_append_with_added_column(spark, tmp_dir):
     s = series(spark, [("a", "2024-01-01", 1.0)])
     sinks.append_table(s, tmp_dir)
     sinks.append_table(series(spark, [("a", "2024-01-02", 2.0)]).withColumn("x", F.lit(7)), tmp_dir)
-    got = rows_of(sinks.read_table(spark, tmp_dir), "d", "x")
+    got = rows_of(sinks.read_table(spark, tmp_dir, merge=True), "d", "x")
     assert got == [("2024-01-01", None), ("2024-01-02", 7)]
 
 
@@ -165,3 +165,123 @@ def test_streaming_backlog_runs_in_bounded_batches(spark, tmp_dir):
     q.awaitTermination(120)
     assert len(epochs) == 3
     assert spark.read.parquet(bronze).count() == 3
+
+
+def _lines(spark, path, lines):
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(path)
+
+
+def _four_records():
+    good, null_date, bad_date = _payload("USD", ["2024-01-02"]), _payload("EUR", ["x"]), _payload("GBP", ["2024-13-40"])
+    null_date["rates"][0]["effectiveDate"] = None
+    return [json.dumps(good), json.dumps(null_date), json.dumps(bad_date), '{"code": "JPY", "rates": [{"no"']
+
+
+def test_bronze_loses_no_record(spark, tmp_dir):
+    landing, bronze = f"{tmp_dir}/landing", f"{tmp_dir}/bronze"
+    _lines(spark, landing, _four_records())
+    strict = SeriesSpec(thresholds=Thresholds(strict_mode=True, min_expected_records=1))
+    with pytest.raises(quality.QualityGateError):
+        pipeline.run_bronze(spark, landing, bronze, "2024-05-01", strict)
+    assert not sinks.path_exists(spark, bronze)
+    r = pipeline.run_bronze(spark, landing, bronze, "2024-05-01", RATE)
+    assert r.valid is False and r.written.first()["written"] + r.quarantined == 4
+    kept = sinks.read_table(spark, pipeline.quarantine_path(bronze))
+    reasons = rows_of(kept, "quarantine_reason")
+    assert reasons == [("malformed",), ("null:effectiveDate",)]
+    assert kept.where("source_file is null or (quarantine_reason = 'malformed' and _corrupt_record is null)").count() == 0
+    # nothing new has landed: no batch, no second copy of the rejects
+    again = pipeline.run_bronze(spark, landing, bronze, "2024-06-01", RATE)
+    assert again.mode == "empty" and again.written is None
+    assert sinks.read_table(spark, pipeline.quarantine_path(bronze)).count() == 2
+    assert sinks.read_table(spark, bronze).count() == r.written.first()["written"]
+
+
+def test_bronze_takes_later_dates_of_a_file_in_a_later_run(spark, tmp_dir):
+    landing, bronze = f"{tmp_dir}/landing", f"{tmp_dir}/bronze"
+    _landing(spark, landing, [_payload("USD", ["2024-01-02", "2024-01-09"])])
+    assert pipeline.run_bronze(spark, landing, bronze, "2024-01-03", RATE).written.first()["written"] == 1
+    later = pipeline.run_bronze(spark, landing, bronze, "2024-01-10", RATE)
+    assert later.mode == "incremental" and later.written.first()["written"] == 1
+    assert pipeline.run_bronze(spark, landing, bronze, "2024-02-10", RATE).mode == "empty"
+
+
+def test_bronze_without_checks_and_on_an_empty_directory(spark, tmp_dir):
+    landing, bronze = f"{tmp_dir}/landing", f"{tmp_dir}/bronze"
+    fs, p = sinks._fs(spark, bronze)
+    fs.mkdirs(p)  # a run that stopped early
+    _landing(spark, landing, [_payload("USD", ["2024-01-02"])])
+    r = pipeline.run_bronze(spark, landing, bronze, "2024-01-03", RATE, run_quality_checks=False)
+    assert r.mode == "full" and r.report is None and r.written.first()["written"] == 1
+
+
+def test_an_invalid_stored_date_does_not_hide_later_loads(spark, tmp_dir):
+    landing, bronze = f"{tmp_dir}/landing", f"{tmp_dir}/bronze"
+    _landing(spark, landing, [_payload("USD", ["2024-01-02", "2024-99-99"])])
+    assert pipeline.run_bronze(spark, landing, bronze, "2024-01-03", RATE).written.first()["written"] == 2
+    _landing(spark, landing, [_payload("USD", ["2024-01-04"])])
+    assert pipeline.run_bronze(spark, landing, bronze, "2024-01-04", RATE).written.first()["written"] == 1
+
+
+def test_stream_restart_without_a_checkpoint_argument_keeps_both_batches(spark, tmp_dir):
+    landing, bronze = f"{tmp_dir}/landing", f"{tmp_dir}/bronze"
+    _landing(spark, landing, [_payload("USD", ["2024-01-02"])])
+    start_bronze_ingest(spark, landing, bronze, RATE).awaitTermination(120)
+    fs, p = sinks._fs(spark, landing)
+    fs.delete(p, True)
+    _landing(spark, landing, [_payload("EUR", ["2024-01-02"])])
+    start_bronze_ingest(spark, landing, bronze, RATE).awaitTermination(120)
+    assert rows_of(spark.read.parquet(bronze), "currency_code") == [("EUR",), ("USD",)]
+
+
+def _failing_rename(monkeypatch, after):
+    calls = []
+    real = sinks._move
+
+    def move(fs, src, dst, what):
+        calls.append(what)
+        if len(calls) > after:
+            raise OSError("injected")
+        real(fs, src, dst, what)
+
+    monkeypatch.setattr(sinks, "_move", move)
+
+
+def test_append_that_fails_to_publish_leaves_the_table_whole(spark, tmp_dir, monkeypatch):
+    sinks.append_table(series(spark, [("a", "2024-01-01", 1.0)]), tmp_dir)
+    _failing_rename(monkeypatch, after=0)
+    with pytest.raises(OSError):
+        sinks.append_table(series(spark, [("b", "2024-01-01", 1.0), ("c", "2024-01-01", 1.0)]).repartition(2), tmp_dir)
+    assert rows_of(sinks.read_table(spark, tmp_dir), "k") == [("a",)]
+
+
+def test_replace_that_fails_to_publish_puts_the_old_table_back(spark, tmp_dir, monkeypatch):
+    sinks.overwrite_table(series(spark, [("a", "2024-01-01", 1.0)]), tmp_dir)
+    _failing_rename(monkeypatch, after=1)
+    with pytest.raises(OSError):
+        sinks.overwrite_table(series(spark, [("b", "2024-01-01", 1.0)]), tmp_dir)
+    assert rows_of(sinks.read_table(spark, tmp_dir), "k") == [("a",)]
+
+
+@pytest.mark.parametrize("located", [True, False])
+def test_ctas_replaces_itself_and_survives_a_failed_write(spark, tmp_dir, located):
+    name = "t_self_" + tmp_dir.rsplit("-", 1)[-1] + str(int(located))
+    path = f"{tmp_dir}/ctas" if located else None
+    try:
+        sinks.create_or_replace_table_as(series(spark, [("a", "2024-01-01", 1.0), ("b", "2024-01-01", 2.0)]), name, path)
+        t = sinks.create_or_replace_table_as(spark.table(name).where("v > 1").select("k"), name, path)
+        assert t.columns == ["k"] and rows_of(t) == [("b",)]
+        with pytest.raises(Exception):
+            sinks.create_or_replace_table_as(spark.table(name).select(F.raise_error(F.lit("x")).alias("k")), name, path)
+        assert rows_of(spark.table(name)) == [("b",)]
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_scratch_needs_a_shared_folder():
+    class Unset:
+        conf = type("C", (), {"get": staticmethod(lambda *a: None)})
+        sparkContext = type("S", (), {"getCheckpointDir": staticmethod(lambda: None)})
+
+    with pytest.raises(ValueError):
+        sinks.shared_dir(Unset)
