@@ -1,6 +1,6 @@
 """Command-line jobs: one per layer, for spark-submit on a cluster.
 
-    python -m daybook.plans.jobs bronze --landing L --bronze B --as-of 2024-05-01 [--strict]
+    python -m daybook.plans.jobs bronze --landing L --bronze B --as-of 2024-05-01 [--strict] [--skip-checks]
     python -m daybook.plans.jobs silver --bronze B --silver S
     python -m daybook.plans.jobs gold --silver S --gold G
     python -m daybook.plans.jobs dashboard --silver S --out O
@@ -52,6 +52,7 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--landing", required=True)
     b.add_argument("--bronze", required=True)
     b.add_argument("--as-of", required=True)
+    b.add_argument("--skip-checks", action="store_true", help="load without the quality report")
     s = sub.add_parser("silver")
     s.add_argument("--bronze", required=True)
     s.add_argument("--silver", required=True)
@@ -69,8 +70,8 @@ def run(argv: list[str], spark: SparkSession | None = None) -> dict:
     spark = apply_defaults(spark or SparkSession.builder.appName(f"daybook-{a.step}").getOrCreate())
     spec = _spec(a)
     if a.step == "bronze":
-        r = pipeline.run_bronze(spark, a.landing, a.bronze, a.as_of, spec)
-        out = {"mode": r.mode, "valid": r.valid}
+        r = pipeline.run_bronze(spark, a.landing, a.bronze, a.as_of, spec, run_quality_checks=not a.skip_checks)
+        out = {"mode": r.mode, "valid": r.valid, "quarantined": r.quarantined}
         if r.written is not None:
             w = r.written.first()
             out.update(written=w["written"], table_total=w["table_total"])
