@@ -21,7 +21,8 @@ and are judged on the input. Result: exact, whatever the number of copies.
 4. Marks go back to every block of every text, and the texts lose what is
    marked.
 
-Bounds: an index holds at most ``BUCKET`` symbols, whole anchors each. An anchor with more than
+Bounds: an index holds whole anchors, about ``FULL`` symbols or, for one anchor
+with many blocks, at most ``BUCKET``. An anchor with more than
 ``CROWD`` different blocks (a common phrase in many contexts) is not put in
 one task: its blocks are cut again by anchors of the next size in ``GRAMS``;
 at the last, the string itself, different blocks have different anchors. Hot
@@ -43,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.shared import cut
+from daybook.llm.shared import cut, run_dir
 from daybook.llm.textbytes import chunks, hashes, prefix, texts_of
 
 LENGTH = 200
@@ -54,10 +55,10 @@ BROADCAST = 2_000_000
 #: Symbols of an index at most: two ranks and a position share a 64-bit word.
 BITS = 21
 BUCKET = (1 << BITS) - 1
-#: Symbols that a suffix's first rank covers (nine bits each).
-PACK = 4
-#: Bytes of a longer text that are cut into blocks at once.
-SEGMENT = 4 << 20
+#: Symbols that an index takes before it starts the next (small arrays stay in the processor's cache).
+FULL = 1 << 17
+#: Bytes of texts that are cut into blocks at once; a longer text is cut in segments.
+SEGMENT = 1 << 18
 
 _U64 = np.uint64
 _POSITION = _U64((1 << 24) - 1)
@@ -85,7 +86,7 @@ def blocks(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tup
     place = (least & _POSITION).astype(np.int64)
     low = np.arange(many) & int(_POSITION)
     place = np.arange(many) + ((place - low) & int(_POSITION))
-    owner = np.searchsorted(offsets, np.arange(many), "right") - 1
+    owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:many]
     valid = np.arange(many) + length <= offsets[owner + 1]
     new = valid.copy()
     new[1:] &= (place[1:] != place[:-1]) | ~valid[:-1] | (owner[1:] != owner[:-1])
@@ -116,7 +117,7 @@ class RunLengthIndex:
         self.first = self.stop - size
         text = joined.astype(np.uint16) + np.uint16(1)
         text[self.stop] = 0
-        end = np.repeat(self.stop, size + 1)
+        end = np.repeat(self.stop, size + 1).astype(np.int32)
         order, levels = self._sorted(text, end, int(size.max(initial=0)))
         before = np.concatenate((text[:1] * 0, text[:-1]))[order]  # the transform
         head = np.ones(self.size, np.bool_)
@@ -133,31 +134,37 @@ class RunLengthIndex:
     def _sorted(self, text: np.ndarray, end: np.ndarray, longest: int) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
         """Suffixes up to the end of their string in order, equal ones by position, and their ranks by ever longer prefixes."""
         n, bits = self.size, _U64(BITS)
-        at = np.arange(n, dtype=np.int64)
+        at = np.arange(n, dtype=np.int32)
+        # as many symbols as fit beside the position: the bytes that occur, in order
+        dense = np.cumsum(np.bincount(text, minlength=257) > 0) - 1
+        code, wide = dense.astype(_U64)[text], max(1, int(dense[-1]).bit_length())
+        span = (64 - BITS) // wide
         key = np.zeros(n, _U64)
-        for k in range(PACK):
-            key = key << _U64(9) | text[np.minimum(at + k, end)]
+        for k in range(span):
+            key <<= _U64(wide)
+            key |= code[np.minimum(at + k, end)]
         both = np.sort(key << bits | at.astype(_U64))
-        order = (both & _U64(BUCKET)).astype(np.int64)
+        order = (both & _U64(BUCKET)).astype(np.int32)
+        both >>= bits
         rank = np.empty(n, np.int32)
-        new = np.append(False, both[1:] >> bits != both[:-1] >> bits)
-        rank[order] = np.cumsum(new, dtype=np.int32)
-        levels, span = [(PACK, rank)], PACK
+        rank[order] = np.cumsum(np.append(False, both[1:] != both[:-1]), dtype=np.int32)
+        levels = [(span, rank)]
         while span < longest:
             ranked = rank[order]
-            same = np.append(False, ranked[1:] == ranked[:-1])
+            new = np.append(False, ranked[1:] != ranked[:-1])
+            same = ~new
+            same[0] = False
             same[:-1] |= same[1:].copy()
             rows = np.flatnonzero(same)  # only suffixes that share their rank
             if not len(rows):
                 break
             part = order[rows]
-            spot = part + span
+            spot = part + np.int32(span)
             after = np.where(spot <= end[part], rank[np.minimum(spot, n - 1)] + 1, 0)
-            both = np.sort(rank[part].astype(_U64) << _U64(2 * BITS) | after.astype(_U64) << bits | part.astype(_U64))
-            part = (both & _U64(BUCKET)).astype(np.int64)
-            order[rows] = part
-            new = np.append(False, ranked[1:] != ranked[:-1])
-            new[rows[1:]] |= both[1:] >> bits != both[:-1] >> bits
+            both = np.sort(ranked[rows].astype(_U64) << _U64(2 * BITS) | after.astype(_U64) << bits | part.astype(_U64))
+            order[rows] = (both & _U64(BUCKET)).astype(np.int32)
+            both >>= bits
+            new[rows[1:]] |= both[1:] != both[:-1]
             rank = np.empty(n, np.int32)
             rank[order] = np.cumsum(new, dtype=np.int32)
             span *= 2
@@ -168,14 +175,14 @@ class RunLengthIndex:
         """Length of the common prefix of the suffixes in two rows (0 outside the index)."""
         out = np.zeros(len(upper), np.int64)
         real = np.flatnonzero((upper >= 0) & (lower < self.size))
-        a, b = order[upper[real]], order[lower[real]]
+        a, b = order[upper[real]].astype(np.int64), order[lower[real]].astype(np.int64)
         most = np.minimum(end[a] - a, end[b] - b)
         got = np.zeros(len(a), np.int64)
         for span, rank in reversed(levels):  # equal ranks: equal for ``span`` symbols, or to the ends of both
             open_ = np.flatnonzero(got < most)
             x, y = a[open_] + got[open_], b[open_] + got[open_]
             got[open_] += np.where(rank[x] == rank[y], span, 0)
-        for _ in range(PACK):
+        for _ in range(levels[0][0]):
             open_ = np.flatnonzero(got < most)
             x, y = a[open_] + got[open_], b[open_] + got[open_]
             more = text[x] == text[y]
@@ -204,7 +211,7 @@ def _ranges(flags: np.ndarray) -> list[tuple[int, int]]:
 
 def _cut_texts(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
     """blocks() of all texts, a chunk or a segment of a long text at a time; rows count from the batch's first."""
-    for i, j in chunks(offsets):
+    for i, j in chunks(offsets, SEGMENT):
         part, at = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         if len(part) <= SEGMENT:
             owner, start, *rest = blocks(part, at, length, gram)
@@ -270,7 +277,7 @@ def _marks(contents: DataFrame, length: int) -> DataFrame:
                     continue  # the same block, fetched from equal rows
                 if held and held[-1][0] != row[0]:
                     same = len(held)
-                if size + len(row[3]) + 1 > BUCKET and same:
+                if same and size + len(row[3]) + 1 > FULL:
                     yield done(held[:same])
                     held, same = held[same:], 0
                     size = sum(len(r[3]) + 1 for r in held)
@@ -345,7 +352,9 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """doc_id, n_bytes, n_removed, spans (maximal removed runs of bytes) and kept (the bytes left) of every row."""
     texts = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     texts = texts.withColumns({"doc": F.coalesce("doc_id", F.lit(-(1 << 63))), "hash": F.xxhash64("text")})
-    cut_up = _all_blocks(texts.where(F.octet_length("text") >= length).select("doc", "hash", "text"), length)
+    path = run_dir(df.sparkSession, "blocks")  # hashes of all blocks, made once
+    _all_blocks(texts.where(F.octet_length("text") >= length).select("doc", "hash", "text"), length).write.parquet(path)
+    cut_up = df.sparkSession.read.parquet(path)
     twice = cut_up.groupBy("anchor").agg(F.count("*").alias("seen")).where("seen > 1").select("anchor")
     placed = cut(cut_up.join(twice, "anchor"))
     # one place to fetch each different block from

@@ -142,7 +142,7 @@ def test_line_dedup_of_edge_cases(edges, empty):
     assert got == want
     assert linedup.dedup_lines(empty).collect() == []
     with pytest.raises(ValueError):
-        linedup.near_lines(empty, threshold=3, min_chars=3)
+        linedup.dedup_lines(empty, threshold=3, min_chars=3)
 
 
 # ---------------------------------------------------------------- 2: repeated byte strings
@@ -196,7 +196,7 @@ def test_crowded_anchors_and_shuffled_joins(spark, monkeypatch):
     monkeypatch.setattr(rindex, "CROWD", 4)
     monkeypatch.setattr(rindex, "BROADCAST", 0)
     monkeypatch.setattr(rindex, "SEGMENT", 3000)
-    monkeypatch.setattr(rindex, "chunks", lambda offsets: iter([(i, i + 1) for i in range(len(offsets) - 1)]))
+    monkeypatch.setattr(rindex, "chunks", lambda offsets, most: iter([(i, i + 1) for i in range(len(offsets) - 1)]))
     phrase = sentences(40, 3, 12)[:190]
     rows = [(i, sentences(50 + i, 4) + phrase + sentences(90 + i, 4)) for i in range(25)]
     rows += [(100, rows[3][1]), (101, "ab" * 400), (102, rows[4][1][50:600] + "!"), (103, sentences(40, 60)), (104, "z" + sentences(40, 60)[700:])]
