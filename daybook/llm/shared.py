@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -47,8 +48,19 @@ def ship(spark: SparkSession) -> None:
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, not created yet."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, not created yet; it is removed when the application ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        context = spark.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+    except Exception:  # noqa: BLE001 - the gateway is already gone; only scratch stays behind
+        pass
 
 
 def cut(df: DataFrame) -> DataFrame:
