@@ -196,7 +196,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     listed = nodes.select("node", F.explode("bands").alias("bucket"))
     # an order of its own for each group of buckets
     one = F.struct(F.xxhash64("node", F.pmod("bucket", F.lit(GROUPS))).alias("rank"), F.col("node").alias("centre"))
-    buckets = listed.groupBy("bucket").agg(F.count("*").alias("n"), F.min(one).alias("best")).where("n > 1")
+    # cut off, as below, so that the join can split a bucket that very many nodes share
+    buckets = cut(listed.groupBy("bucket").agg(F.count("*").alias("n"), F.min(one).alias("best")).where("n > 1"))
     members = cut(listed.join(buckets, "bucket").select("bucket", "node", "n", "best"))
     # 1: links to centres
     pairs = members.groupBy("node", F.pmod("bucket", F.lit(GROUPS)).alias("g")).agg(F.min("best").alias("best")).select("node", F.col("best.centre").alias("centre")).where("node <> centre").distinct()
@@ -212,7 +213,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = components(links)
     known = members.select("bucket", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     parts = known.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    mixed = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("main")).where("parts > 1")
+    mixed = cut(parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("main")).where("parts > 1"))
     minor = F.col("component") != F.col("main.component")
     lefts, rights = F.ceil((F.col("n") - F.col("main.n")) / BLOCK), F.ceil(F.col("n") / BLOCK)
     left_open = known.join(mixed.select("bucket", "n", "main"), "bucket").select("node", F.struct("bucket", "component", minor.alias("minor"), lefts.alias("lefts"), rights.alias("rights")).alias("t"))
