@@ -29,6 +29,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.llm.shared import cut
+
 CHUNK = 256
 CONTEXT = ("system",)
 END = "<|end|>\n"
@@ -54,13 +56,15 @@ def rotate(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", spe
         "tie": F.md5(F.concat_ws("\x1f", F.coalesce("speaker", F.lit("")), "text")),
     })
     where = F.struct("conv", "chunk").alias("place")  # never null, so null keys join too
+    # both sides are cut off, so that the joins can split a dialogue that holds very many turns
     full = turns.groupBy(where).agg(F.count("*").alias("n")).where(F.col("n") > 4 * chunk).select("place", F.ceil(F.col("n") / chunk).alias("parts"))
+    full = cut(full)
     within = F.coalesce(F.col("turn") - F.col("chunk") * chunk, F.lit(0).cast("bigint"))
     hashed = F.conv(F.substring("tie", 1, 8), 16, 10).cast("bigint")
     placed = turns.withColumn("place", F.struct("conv", "chunk")).join(full, "place", "left")
     placed = placed.withColumn("part", F.coalesce(within * F.col("parts") + F.pmod(hashed, F.col("parts")), F.lit(0).cast("bigint"))).drop("place", "parts")
     people = turns.where(F.col("speaker").isNotNull() & ~F.col("speaker").isin(*context)).select("conv", "speaker").distinct()
-    people = people.groupBy("conv").agg(F.collect_list("speaker").alias("people"))
+    people = cut(people.groupBy("conv").agg(F.collect_list("speaker").alias("people")))
     seen = placed.join(people, "conv").withColumn("perspective", F.explode("people"))
     mine = F.coalesce(F.col("speaker") == F.col("perspective"), F.lit(False))
     head = (
