@@ -51,7 +51,7 @@ LENGTH = 200
 #: Sizes of anchors; the last is the string itself.
 GRAMS = (40, 160, 200)
 CROWD = 2048
-BROADCAST = 2_000_000
+BROADCAST = 500_000
 #: Symbols of an index at most: two ranks and a position share a 64-bit word.
 BITS = 21
 BUCKET = (1 << BITS) - 1
@@ -355,8 +355,9 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     path = run_dir(df.sparkSession, "blocks")  # hashes of all blocks, made once
     _all_blocks(texts.where(F.octet_length("text") >= length).select("doc", "hash", "text"), length).write.parquet(path)
     cut_up = df.sparkSession.read.parquet(path)
-    twice = cut_up.groupBy("anchor").agg(F.count("*").alias("seen")).where("seen > 1").select("anchor")
-    placed = cut(cut_up.join(twice, "anchor"))
+    # cut off, so that the join below can split an anchor that very many blocks share
+    twice = cut(cut_up.groupBy("anchor").agg(F.count("*").alias("seen")).where("seen > 1").select("anchor"))
+    placed = cut(cut_up.join(F.broadcast(twice) if twice.count() <= BROADCAST else twice, "anchor"))
     # one place to fetch each different block from
     where = F.min(F.struct("doc", "hash", "start", "n")).alias("w")
     distinct = placed.groupBy("anchor", "block").agg(F.count("*").alias("copies"), where)
