@@ -12,8 +12,11 @@ those places only. Index entries are (length, segment, hash of the segment).
 A pair is verified by edit distance on a band of 2 * threshold + 1 diagonals,
 one bit-parallel step for each character (the band slides down in one word).
 
-Scale: equal lines collapse first, by a 128-bit hash, before any pair is made.
-A segment that many different lines share never becomes all their pairs:
+Scale: lines are written once as hashes (a 128-bit one of the line, and those of
+its entries); everything up to the verification works on these. Equal lines
+collapse before any pair is made, and entries that only one line has end in one
+pre-aggregated shuffle. A segment that many different lines share never becomes
+all their pairs:
 
 1. each line is compared with the earliest line of each of its own index
    entries; one that is verified goes, and needs no other partner;
@@ -21,10 +24,10 @@ A segment that many different lines share never becomes all their pairs:
    leaves the join only if eight letter counts differ by at most
    2 * threshold in all, which an edit distance of threshold implies.
 
-Texts of lines never enter those joins, only hashes; the few lines of
-candidate pairs are fetched again, by a broadcast of their hashes if there
-are at most ``BROADCAST`` of them and by a shuffle otherwise. Equi-joins on a
-hot line or segment are split by adaptive execution.
+Texts never enter those joins; the few lines with a shared entry are fetched
+again for the letter counts and the verification. A side is broadcast if it has
+at most ``BROADCAST`` entries, and shuffled otherwise. Equi-joins on a hot line
+or segment are split by adaptive execution.
 
 Defined cases: a null text stays null; rows without an id come last in the
 order; rows that agree in id and text are one document; a text whose lines
@@ -37,7 +40,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.shared import cut
+from daybook.llm.shared import cut, run_dir
 
 THRESHOLD = 1
 MIN_CHARS = 24
@@ -81,25 +84,42 @@ def _let(value: str, name: str, body: str) -> str:
     return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
+def _shared(a: str, b: str, most: str, cut_of: str) -> str:
+    """SQL of how many leading (or trailing) characters two lines share, at most ``most``, by halving steps."""
+    part = {"head": "substring({0}, p + 1, shiftleft(1, k))", "tail": "substring({0}, char_length({0}) - p - shiftleft(1, k) + 1, shiftleft(1, k))"}[cut_of]
+    longer = f"if(p + shiftleft(1, k) <= {most} and {part.format(a)} = {part.format(b)}, p + shiftleft(1, k), p)"
+    steps = f"sequence(cast(floor(log2(greatest({most}, 1))) as int), 0, -1)"
+    return f"aggregate({steps}, 0, (p, k) -> {longer})"
+
+
 def within(a: str, b: str, threshold: int) -> Column:
-    """Whether two lines, both longer than the threshold, are within it: banded bit-parallel edit distance.
+    """Whether two lines are within the threshold: banded bit-parallel edit distance.
 
-    Bit t of a word stands for row i - threshold + t of column i: ``vp`` and
-    ``vn`` mark where the distance grows or falls from one row to the next.
+    What the lines share at their ends is left out, which does not change the
+    distance. Bit t of a word stands for row i - threshold + t of column i:
+    ``vp`` and ``vn`` mark where the distance grows or falls from one row to
+    the next.
     """
     k = threshold
     mask, top = (1 << (2 * k + 1)) - 1, 1 << (2 * k)
     first = mask & ~((1 << k) - 1)
     match = " | ".join(f"if(coalesce(get(s.a, i - {k} + {t}) = get(s.b, i), false), {1 << t}L, 0L)" for t in range(2 * k + 1))
+    place = f"cast({2 * k} - 1 - (i - (size(s.a) - {k})) as int)"
     dist = f"""s.d + if(i < size(s.a) - {k}, if((z.d0 & {top}L) = 0, 1, 0),
-        cast((shiftright(z.hp, cast({2 * k} - 1 - (i - (size(s.a) - {k})) as int)) & 1L) - (shiftright(z.hn, cast({2 * k} - 1 - (i - (size(s.a) - {k})) as int)) & 1L) as int))"""
+        cast((shiftright(z.hp, {place}) & 1L) - (shiftright(z.hn, {place}) & 1L) as int))"""
     end = f"""named_struct('a', s.a, 'b', s.b, 'vp', z.hn | (~(shiftright(z.d0, 1) | z.hp) & {mask}L), 'vn', shiftright(z.d0, 1) & z.hp, 'd', {dist})"""
     hori = f"named_struct('d0', y, 'hp', s.vn | (~(y | s.vp) & {mask}L), 'hn', y & s.vp)"
     d0 = f"(((((x & s.vp) + s.vp) ^ s.vp) | x | s.vn) & {mask}L)"
     step = _let(match, "x", _let(d0, "y", _let(hori, "z", end)))
-    start = f"named_struct('a', split({a}, ''), 'b', split({b}, ''), 'vp', {first}L, 'vn', 0L, 'd', {k})"
-    whole = f"aggregate(sequence(0, char_length({b}) - 1), {start}, (s, i) -> {step}, s -> s.d <= {k})"
-    return F.expr(f"abs(char_length({a}) - char_length({b})) <= {k} and {whole}")
+    # a band needs more rows than the threshold: both get the same end
+    start = f"named_struct('a', split(concat(m.a, '{'#' * (k + 1)}'), ''), 'b', split(concat(m.b, '{'#' * (k + 1)}'), ''), 'vp', {first}L, 'vn', 0L, 'd', {k})"
+    whole = f"aggregate(sequence(0, char_length(m.b) + {k}), {start}, (s, i) -> {step}, s -> s.d <= {k})"
+    near = f"abs(char_length(m.a) - char_length(m.b)) <= {k} and {whole}"
+    least = f"least(char_length({a}), char_length({b}))"
+    head = _shared(a, b, "n", "head")
+    tail = _shared(a, b, "(n - h)", "tail")
+    middle = f"named_struct('a', substring({a}, h + 1, char_length({a}) - h - t), 'b', substring({b}, h + 1, char_length({b}) - h - t))"
+    return F.expr(_let(least, "n", _let(head, "h", _let(tail, "t", _let(middle, "m", near)))))
 
 
 def _counts(line: str) -> str:
@@ -122,58 +142,76 @@ def lines_of(df: DataFrame) -> DataFrame:
     return worded.select("*", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
-def _texts(lines: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The lines that pairs (later, earlier) name."""
-    ids = cut(pairs.select(F.col("later").alias("h1")).union(pairs.select("earlier")).distinct())
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST else ids
-    return cut(lines.select("h1", "h2", "line").join(ids, "h1").groupBy("h1", "h2").agg(F.min("line").alias("line")).select("h1", "line"))
+def occurrences(df: DataFrame, threshold: int, min_chars: int) -> DataFrame:
+    """Every line of (doc_id, text) as hashes only, written once to the shared folder.
 
+    ``index`` are its index entries and ``probe`` the other entries it probes;
+    both are null for a line of fewer than ``min_chars`` characters.
+    """
+    spark = df.sparkSession
+    lines = lines_of(df).withColumn("n", F.char_length("line"))
+    keys = lines.withColumn("index", F.when(F.col("n") >= min_chars, index_keys(threshold)))
+    keys = keys.withColumn("probe", F.when(F.col("n") >= min_chars, F.array_except(probe_keys(threshold, min_chars), "index")))
+    path = run_dir(spark, "lines")
+    keys.select("doc", "doc_text", "place", "h1", "h2", "index", "probe").write.parquet(path)
+    return spark.read.parquet(path)
 
-def _verified(lines: DataFrame, pairs: DataFrame, threshold: int) -> DataFrame:
-    """h1 of the later line of each pair within the threshold."""
-    texts = _texts(lines, pairs)
-    both = pairs.join(texts.withColumnsRenamed({"h1": "later", "line": "x"}), "later").join(texts.withColumnsRenamed({"h1": "earlier", "line": "y"}), "earlier")
-    return both.where(within("x", "y", threshold)).select(F.col("later").alias("h1")).distinct()
 
+def _few(df: DataFrame) -> DataFrame:
+    """Broadcast a side only if its row count allows."""
+    return F.broadcast(df) if df.count() <= BROADCAST else df
 
-def near_lines(lines: DataFrame, threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
-    """h1 of every line that has an earlier, different line within the threshold."""
-    if min_chars <= threshold:
-        raise ValueError("min_chars must exceed the threshold")
-    long = lines.withColumn("n", F.char_length("line")).where(F.col("n") >= min_chars).withColumn("letters", F.expr(_counts("line")))
 
-    def entries(keys: Column) -> DataFrame:
-        exploded = long.select("h1", "letters", "doc", "place", F.explode(keys).alias("key"))
-        return exploded.groupBy("key", "h1", "letters").agg(F.min(F.struct("doc", "place")).alias("p")).select("key", "letters", F.struct("p.doc", "p.place", "h1").alias("at"))
+def _verified(texts: DataFrame, pairs: DataFrame, threshold: int) -> DataFrame:
+    """h1 of the later line of each pair (later, earlier) within the threshold."""
+    line = texts.select("h1", "line")
+    both = pairs.join(line.withColumnsRenamed({"h1": "later", "line": "x"}), "later").join(line.withColumnsRenamed({"h1": "earlier", "line": "y"}), "earlier")
+    return both.where(within("x", "y", threshold)).select(F.col("later").alias("h1")).distinct()
+
 
-    index = cut(entries(index_keys(threshold)))
-    # 1: the earliest line of each entry
-    earliest = index.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("at", "letters")).alias("e")).where("n > 1").select("key", "e")
+def near_lines(df: DataFrame, lines: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """h1 of every one of the ``lines`` (occurrences of df's) that has an earlier, different line within the threshold."""
+    at = F.struct("doc", "place")
+    entry = F.col("e.key").alias("key"), F.col("e.own").alias("own")
+    tagged = F.expr("concat(transform(index, k -> struct(k as key, true as own)), transform(probe, k -> struct(k as key, false as own)))")
+    entries = lines.where("index is not null").select("h1", at.alias("at"), F.explode(tagged).alias("e")).select("h1", "at", *entry)
+    # entries that different lines meet in; all others end here
+    shared = entries.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"), F.max("own").alias("own")).where("lo <> hi and own").select("key")
+    shared = cut(shared)
+    met = cut(entries.join(_few(shared), "key").groupBy("key", "own", "h1").agg(F.min("at").alias("at")))
+    wanted = cut(met.select("h1").distinct())
+    texts = lines_of(df).select("h1", "h2", "line").join(_few(wanted), "h1").groupBy("h1", "h2").agg(F.min("line").alias("line"))
+    texts = cut(texts.select("h1", "line", F.expr(_counts("line")).alias("letters")))
+    met = cut(met.join(texts.select("h1", "letters"), "h1").select("key", "own", "letters", F.struct("at.doc", "at.place", "h1").alias("at")))
+    # 1: each line against the earliest line of each of its own entries
+    index = met.where("own")
+    earliest = index.groupBy("key").agg(F.min(F.struct("at", "letters")).alias("e"))
     close = F.expr("at <> e.at and " + _near("letters", "e.letters", threshold))
-    pairs = cut(index.join(earliest, "key").where(close).select(F.col("at.h1").alias("later"), F.col("e.at.h1").alias("earlier")).distinct())
-    gone = cut(_verified(lines, pairs, threshold))
+    pairs = index.join(earliest, "key").where(close).select(F.col("at.h1").alias("later"), F.col("e.at.h1").alias("earlier"))
+    gone = cut(_verified(texts, cut(pairs.distinct()), threshold))
     # 2: lines still open against all entries that they probe, or that probe them
-    flag = F.broadcast(gone) if gone.count() <= BROADCAST else gone
-    flag = flag.select(F.col("h1").alias("gone_h1"), F.lit(True).alias("gone"))
-
-    def opened(df: DataFrame) -> DataFrame:
-        return df.join(flag, F.col("at.h1") == F.col("gone_h1"), "left").select("key", "letters", "at", F.col("gone").isNull().alias("open"))
-
-    a, b = opened(index).alias("a"), opened(entries(probe_keys(threshold, min_chars))).alias("b")
+    flag = gone.select(F.col("h1").alias("gone_h1"), F.lit(True).alias("gone"))
+    opened = met.join(_few(flag), F.col("at.h1") == F.col("gone_h1"), "left").select("key", "own", "letters", "at", F.col("gone").isNull().alias("open"))
     meet = F.expr(f"a.key = b.key and a.at.h1 <> b.at.h1 and if(a.at < b.at, b.open, a.open) and {_near('a.letters', 'b.letters', threshold)}")
-    pairs = a.join(b, meet).select(F.expr("if(a.at < b.at, b.at.h1, a.at.h1) as later"), F.expr("if(a.at < b.at, a.at.h1, b.at.h1) as earlier"))
-    return gone.union(_verified(lines, cut(pairs.distinct()), threshold)).distinct()
+    pairs = opened.where("own").alias("a").join(opened.alias("b"), meet).select(F.expr("if(a.at < b.at, b.at.h1, a.at.h1) as later"), F.expr("if(a.at < b.at, a.at.h1, b.at.h1) as earlier"))
+    return gone.union(_verified(texts, cut(pairs.distinct()), threshold)).distinct()
 
 
 def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
     """The input rows as ``row``, with n_lines (with a word), n_removed and the text that is left."""
-    lines = lines_of(df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")))
+    if min_chars <= threshold:
+        raise ValueError("min_chars must exceed the threshold")
+    texts = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    lines = occurrences(texts, threshold, min_chars)
     place = F.struct("doc", "place")
     groups = lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    near = near_lines(lines, threshold, min_chars).withColumn("near", F.lit(True))
+    near = cut(near_lines(texts, lines, threshold)).withColumn("near", F.lit(True))
     marked = groups.join(near, "h1", "left").where("near or first <> last").select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
+    marked = cut(marked)  # so that the join can split a line that very many documents share
     hits = lines.select("h1", "h2", "doc", "doc_text", "place").join(marked, ["h1", "h2"]).where(F.col("near") | (F.struct("doc", "place") != F.col("first")))
-    removed = hits.groupBy("doc", "doc_text").agg(F.collect_set("place").alias("removed"))
+    removed = cut(hits.groupBy("doc", "doc_text").agg(F.collect_set("place").alias("removed")))
+    total = removed.agg(F.sum(F.size("removed"))).first()[0] or 0
+    removed = F.broadcast(removed) if total <= BROADCAST else removed  # by all of its entries
     rows = df.select(F.struct("*").alias("row"), F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST)).alias("doc"), F.col(text_col).cast("string").alias("text")).withColumn("doc_text", F.xxhash64("text"))
     out = rows.join(removed, ["doc", "doc_text"], "left").withColumn("cells", F.split("text", "\n"))
     left = F.expr("array_join(transform(array_except(sequence(0, size(cells) - 1), removed), i -> get(cells, i)), '\n')")
