@@ -115,7 +115,7 @@ def run_bronze(
     names = spark.createDataFrame([(f["source_file"], f["modified"], f["seen"]) for f in files], "source_file string, modified timestamp, seen boolean")
     rows = flatten_landed(read_landed(spark, [f["source_file"] for f in files]))
     path = lambda c: F.regexp_replace(F.col(c), "^file:/+", "file:///")  # noqa: E731 - both spellings of a local URI
-    rows = rows.join(F.broadcast(names.select(path("source_file").alias("_f"), "seen")), path(SOURCE_FILE) == F.col("_f"), "left")
+    rows = rows.join(names.select(path("source_file").alias("_f"), "seen"), path(SOURCE_FILE) == F.col("_f"), "left")
     dated = parsed_date(spec.d).isNotNull()
     due = incremental_batch(rows, spec.d, as_of, watermark=wm, years_back=spec.years_back).where(dated)
     undated = rows.where(~dated & ~F.coalesce("seen", F.lit(False)))
