@@ -20,9 +20,8 @@ from daybook.sinks.tables import scratch_path  # noqa: E402
 from daybook.sources import incremental  # noqa: E402
 
 NOTES = {
-    "executive_summary": "dedup (partial max before the (key, date) shuffle, computed once: ReusedExchange), "
-    "one (key, year) exchange read by both the lag window and the per-(key, year) carry (ReusedExchange), "
-    "carry broadcast by size, one key aggregate (partial first); no join of result tables.",
+    "executive_summary": "dedup (partial max before the (key, date) shuffle), the lag per key, and one key aggregate "
+    "in the lag's own partitioning: two shuffles, no join.",
     "quality_report": "one scan of orders, one of customer; (key, date) aggregate, then rollup(key) with the "
     "expected keys unioned in; one generator emits all report rows.",
     "latest_per_key_supp": "partial + final max(struct) around one (key, date) shuffle.",
