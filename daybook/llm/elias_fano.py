@@ -161,10 +161,9 @@ def write_tokens(df: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id
         def coded() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
             batch = first
             while batch is not None:
-                if batch.num_rows:
-                    ids, offsets = coder.encode(batch.column("text").to_pylist())
+                for i, j, ids, offsets in coder.encoded(batch.column("text")):
                     out = np.insert(ids, offsets[1:], end_id)
-                    keys = batch.column("doc_id")
+                    keys = batch.column("doc_id").slice(i, j - i)
                     yield keys.fill_null(0).to_numpy(zero_copy_only=False), out, offsets[1:] + np.arange(1, len(offsets)), keys.null_count
                 batch = next(batches, None)
 

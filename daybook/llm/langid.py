@@ -52,7 +52,7 @@ PENALTY = 1e-3
 #: Weight of the averaged n-gram score against the lexicon's.
 GAIN = 6.0
 #: Bytes of text labelled at once.
-AT_ONCE = 4 << 20
+AT_ONCE = 2 << 20
 
 # letters lower-cased, bytes of longer characters kept, all else a space
 _LETTERS = np.full(256, 0x20, np.uint8)

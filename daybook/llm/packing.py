@@ -122,11 +122,11 @@ def pack(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str =
 
         def documents() -> Iterator[tuple[int | None, np.ndarray]]:
             for batch in batches:
-                ids, offsets = coder.encode(batch.column("text").to_pylist())
-                ids = np.insert(ids, offsets[1:], end_id)
-                ends = (offsets + np.arange(len(offsets))).tolist()
-                for doc, a, b in zip(batch.column("doc_id").to_pylist(), ends, ends[1:], strict=False):
-                    yield doc, ids[a:b]
+                for i, j, ids, offsets in coder.encoded(batch.column("text")):
+                    ids = np.insert(ids, offsets[1:], end_id)
+                    ends = (offsets + np.arange(len(offsets))).tolist()
+                    for doc, a, b in zip(batch.column("doc_id").slice(i, j - i).to_pylist(), ends, ends[1:], strict=False):
+                        yield doc, ids[a:b]
 
         rows: list[tuple] = []
         held = 0

@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session.
 
@@ -33,8 +36,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def ship(spark: SparkSession) -> None:
-    """Give executors this package, once for each application, where it is not installed on them."""
+    """Give executors this package, once for each application, where it is not installed on them.
+
+    Python workers hold a few Arrow batches of texts at a time; where the
+    session has the default of 64 MB a batch, it is lowered.
+    """
     context = spark.sparkContext
+    if spark.conf.get(BATCH_BYTES, "67108864b") == "67108864b":
+        spark.conf.set(BATCH_BYTES, "8m")
     if getattr(context, "_daybook_shipped", False):
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -11,16 +11,20 @@ ordinary text.
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 
 from daybook.llm.textbytes import mix, ragged
 
+#: Texts taken from an Arrow batch at once.
+ROWS = 512
 #: Characters encoded at once, and distinct pieces a worker remembers.
-CHARS = 2 << 20
-REMEMBERED = 1_200_000
+CHARS = 1 << 20
+REMEMBERED = 300_000
 
 _LETTER, _NUMBER, _SPACE, _OTHER, _END = 0, 1, 2, 3, 4
 _U64 = np.uint64
@@ -124,6 +128,12 @@ class Encoder:
         self.used += total
         self.known.update(zip(keys, range(n, n + len(ids)), strict=True))
 
+    def encoded(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """``encode`` for ``ROWS`` texts of an Arrow column at a time: first and last row, ids, offsets."""
+        for i in range(0, len(column), ROWS):
+            part = column.slice(i, ROWS)
+            yield i, i + len(part), *self.encode(part.to_pylist())
+
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts back to back (uint32) and the n + 1 offsets; a null is empty."""
         flat, offsets = [], [np.zeros(1, np.int64)]
