@@ -1,7 +1,18 @@
 """Secret scan with a random forest that removes false findings, DataFrame functions and Spark ML only.
 
-A finding is a run of at least ``MIN_CHARS`` characters of ``[A-Za-z0-9+/_@.-]``
-with a digit; every one in every line is a candidate. Its features: length;
+Candidates, in every line:
+
+* each run of at least ``MIN_CHARS`` characters of ``[A-Za-z0-9+/_@.-]`` with a
+  digit, and each word with one as a whole, whatever its characters;
+* each word of at least ``MIN_CHARS`` characters, digit or not, after an
+  assignment sign or up to three words after a credential word;
+* what is assigned to a credential word, at any length; in quotes it may be
+  several words (at most ``PHRASE``), put together with single blanks;
+* each run that starts with a known key prefix.
+
+A word is taken without a name and sign before it and without the brackets,
+quotes and ``, . ; :`` around it. A passphrase of several words without quotes
+is found word by word. The features of a finding: length;
 character statistics and transitions between character classes; the share
 covered by dictionary words; whether it looks like or stands in a path, an
 address or a number; the words around it (a credential word up to three words
@@ -11,14 +22,15 @@ secret; below ``THRESHOLD`` it is removed as false.
 
 Labels: ``train`` takes findings with a ``label`` column (1.0 secret, 0.0
 not). Where a corpus brings none, ``weak_labels`` labels the clear cases (a
-key id with its fixed prefix, a random string assigned to a credential word;
-against them plain numbers, addresses and dotted numbers) and leaves the rest
+key id with its fixed prefix, a random string or one with signs assigned to a
+credential word, a quoted string assigned to a password word; against them plain numbers, addresses, dotted numbers and
+ordinary words) and leaves the rest
 unlabelled for the forest. At most ``MAX_LABELLED`` findings train it, those
 with the least hashes. The dictionary is the ``WORDS`` most frequent words of
 3 to 8 letters in the whole corpus.
 
-Scale: lines without a digit are dropped inside the scan; findings are
-narrow rows scored in place. The only shuffles are the word counts, summed
+Scale: lines that cannot hold a candidate are dropped inside the scan; findings
+are narrow rows scored in place. The only shuffles are the word counts, summed
 before it, and the bounded training sample.
 
 Defined cases: null and empty texts have no findings; null ids are kept;
@@ -42,9 +54,14 @@ WORDS = 300
 MAX_LABELLED = 20_000
 TREES, DEPTH, SEED = 30, 6, 7
 THRESHOLD = 0.5
+#: Words of a quoted passphrase, at most.
+PHRASE = 32
 
 #: Words that announce a credential.
 CREDENTIAL = "(?i)(pass(word|wd|phrase)?|secret|token|api[_-]?key|key|auth|credential|bearer)"
+#: A credential word with its sign (three groups), and starts of keys of known services.
+ASSIGNED = CREDENTIAL + r"[\w.-]{0,40}[\"'`]?([=:]+>?)"
+PREFIXED = "(?<![A-Za-z0-9])(?:AKIA|ASIA|gh[pousr]_|github_pat_|xox[abprs]-|sk[-_]|AIza)[A-Za-z0-9_-]{7,}[A-Za-z0-9]"
 
 FEATURES = [
     "f_length", "f_digits", "f_upper", "f_lower", "f_hex", "f_distinct", "f_turns", "f_letter_digit", "f_case",
@@ -63,19 +80,44 @@ def _share(pattern: str, of: str = "finding") -> Column:
     return F.regexp_count(of, F.lit(pattern)) / F.char_length(of)
 
 
+def _trimmed(word: Column) -> Column:
+    return F.regexp_replace(word, "^[(\\[{<\"'`]+|[)\\]}>\"'`,.;:]+$", "")
+
+
+def _candidates() -> Column:
+    """Candidates of the word ``here``: the runs with a digit in their order (null for other runs), then the others."""
+    runs = F.transform(F.regexp_extract_all("here", F.lit(f"[A-Za-z0-9+/_@.-]{{{MIN_CHARS},}}"), F.lit(0)), lambda x: F.regexp_replace(x, "[.-]+$", ""))
+    runs = F.transform(runs, lambda x: F.when(x.rlike("[0-9]") & (F.char_length(x) >= MIN_CHARS), x))
+    body = F.when(F.col("given"), F.col("here")).otherwise(F.regexp_replace("here", "^[(\\[{<\"'`]*[A-Za-z_][\\w.-]{0,60}[\"'`]?[=:]+>?(?!/)", ""))
+    whole = _trimmed(body)
+    wanted = F.col("given") | ((F.char_length(whole) >= MIN_CHARS) & (whole.rlike("[0-9]") | F.col("called") | (body != F.col("here"))))
+    assigned = F.transform(F.regexp_extract_all("here", F.lit(ASSIGNED + "(\"[^\"]+|'[^']+|`[^`]+|[^\"'`]+)"), F.lit(4)), _trimmed)
+    # quoted: in this word after its sign, or as a whole after the sign before it; may end in a later word
+    opened = F.concat(F.when(F.col("given"), "key=").otherwise(""), F.when(F.col("here").rlike("[\"'`]"), F.col("rest")).otherwise(""))
+    quoted = F.regexp_extract(opened, "^\\S*?" + ASSIGNED + "[(\\[{]*([\"'`])(.*?)\\4", 5)
+    others = F.concat(F.array(F.when(wanted, whole), quoted), assigned, F.regexp_extract_all("here", F.lit(PREFIXED), F.lit(0)))
+    return F.concat(runs, F.array_except(F.filter(others, lambda x: x.rlike("[^=:>]")), runs))
+
+
 def findings(df: DataFrame, words: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, line, word (numbers from 0), part (of the word), finding and the features of every candidate."""
-    lines = source(df, id_col, text_col).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "content")).where(F.col("content").rlike("[0-9]"))
+    lines = source(df, id_col, text_col).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "content"))
+    lines = lines.where(F.col("content").rlike("[0-9=:]") | F.col("content").rlike(CREDENTIAL) | F.col("content").rlike(PREFIXED))
     split = lines.select("doc_id", "line", F.split("content", r"[\x20\x09-\x0D]+").alias("w"))
-    each = split.select("doc_id", "line", "w", F.posexplode("w").alias("word", "here")).where(F.col("here").rlike("[0-9]"))
+    each = split.select("doc_id", "line", "w", F.posexplode("w").alias("word", "here")).where("here <> ''")
     near = each.select(
         "doc_id", "line", "word", "here", F.expr("coalesce(get(w, word - 1), '')").alias("b1"), F.expr("coalesce(get(w, word - 2), '')").alias("b2"),
-        F.expr("coalesce(get(w, word - 3), '')").alias("b3"), F.expr("coalesce(get(w, word + 1), '')").alias("a1"),
+        F.expr("coalesce(get(w, word - 3), '')").alias("b3"), F.expr("coalesce(get(w, word + 1), '')").alias("a1"), F.expr(f"array_join(slice(w, word + 1, {PHRASE}), ' ')").alias("rest"),
     )
-    runs = near.withColumn("runs", F.expr(f"transform(regexp_extract_all(here, '[A-Za-z0-9+/_@.-]{{{MIN_CHARS},}}', 0), x -> regexp_replace(x, '[.-]+$', ''))"))
-    each = runs.select("*", F.posexplode("runs").alias("part", "finding")).where(F.col("finding").rlike("[0-9]") & (F.char_length("finding") >= MIN_CHARS)).drop("runs")
-    left = F.expr("substring(here, 1, cast(instr(here, finding) as int) - 1)")
-    right = F.expr("substring(here, cast(instr(here, finding) as int) + char_length(finding), 8)")
+    after = F.concat_ws(" ", "b3", "b2", "b1").rlike(CREDENTIAL)
+    near = near.where(F.col("here").rlike("[0-9=:]") | F.col("b1").rlike("[=:]>?$") | after | F.col("here").rlike(PREFIXED))
+    given = F.col("b1").rlike(ASSIGNED + "$") | (F.col("b1").rlike("^[=:]+>?$") & F.col("b2").rlike(CREDENTIAL))
+    near = near.withColumns({"given": given, "called": F.col("b1").rlike("[=:]>?$") | after})
+    runs = near.withColumn("runs", _candidates())
+    each = runs.select("*", F.posexplode("runs").alias("part", "finding")).where("finding is not null").drop("runs", "rest")
+    head = F.substring_index("finding", " ", 1)  # of a passphrase, the word that stands here
+    left = F.substring("here", F.lit(1), F.instr("here", head) - 1)
+    right = F.when(F.col("finding").contains(" "), "'").otherwise(F.substring("here", F.instr("here", head) + F.char_length("finding"), F.lit(8)))
     covered = F.regexp_replace(F.lower("finding"), "(" + "|".join(sorted(words, key=lambda x: (-len(x), x))) + ")", "") if words else F.col("finding")
     flag = lambda c: c.cast("double")
     word = "^[^0-9=:\"'#$&*%]+$"
@@ -95,8 +137,14 @@ def findings(df: DataFrame, words: list[str], id_col: str = "doc_id", text_col:
 def weak_labels(found: DataFrame) -> DataFrame:
     """The clear cases with their label."""
     random = F.col("finding").rlike("^(?=.*[0-9])(?=.*[A-Za-z])[A-Za-z0-9+/_-]{16,}$")
-    secret = F.col("finding").rlike("^AKIA[A-Z0-9]{16}$") | (random & (F.col("f_credential") == 1) & (F.col("f_assigned") == 1))
-    clean = (F.col("f_credential") == 0) & (F.col("f_assigned") == 0) & ((F.col("f_number") == 1) | (F.col("f_address") == 1) | (F.col("f_path") == 1) | (F.col("f_dictionary") > 0.5))
+    signs = F.col("finding").rlike("^(?=.*[0-9])(?=.*[A-Za-z])(?=.*[!$%&*#^?~])[^$%&*#][^\\s()\\[\\]{}<>\"'`;,]{7,}$")
+    secret = F.col("finding").rlike("^AKIA[A-Z0-9]{16}$") | ((random | signs) & (F.col("f_credential") == 1) & (F.col("f_assigned") == 1))
+    literal = F.concat_ws(" ", "b2", "b1", "left").rlike("(?i)pass(word|wd|phrase)[\\w.-]*[\"'`]?\\s*[=:]+>?\\s*[(\\[{]*[\"'`]$") & (F.col("f_quoted") == 1) & (F.col("f_length") >= MIN_CHARS)
+    secret = secret | literal
+    # ordinary words: without a credential word, or amid a sentence that has one
+    amid = (F.col("f_assigned") == 0) & (F.col("f_quoted") == 0) & (F.col("f_before_word") == 1) & (F.col("f_after_word") == 1) & ~F.col("b1").rlike("(?i)^(is|was|are|be)$")
+    plain = F.col("finding").rlike("^\\p{L}\\p{Ll}+$") & ((F.col("f_credential") == 0) | amid)
+    clean = (F.col("f_credential") == 0) & (F.col("f_assigned") == 0) & ((F.col("f_number") == 1) | (F.col("f_address") == 1) | (F.col("f_path") == 1) | (F.col("f_dictionary") > 0.5)) | plain
     return found.withColumn("label", F.when(secret, 1.0).when(clean, 0.0)).where("label is not null")
 
 
