@@ -25,8 +25,9 @@ not). Where a corpus brings none, ``weak_labels`` labels the clear cases (a
 key id with its fixed prefix, a random string or one with signs assigned to a
 credential word, a quoted string assigned to a password word; against them plain numbers, addresses, dotted numbers and
 ordinary words) and leaves the rest
-unlabelled for the forest. At most ``MAX_LABELLED`` findings train it, those
-with the least hashes. The dictionary is the ``WORDS`` most frequent words of
+unlabelled for the forest. At most ``MAX_LABELLED`` findings train it, up to half
+of them of each label, those with the least hashes; both labels weigh the same
+in all, so rare secrets train it however many clear negatives stand beside them. The dictionary is the ``WORDS`` most frequent words of
 3 to 8 letters in the whole corpus.
 
 Scale: lines that cannot hold a candidate are dropped inside the scan; findings
@@ -149,13 +150,17 @@ def weak_labels(found: DataFrame) -> DataFrame:
 
 
 def train(labelled: DataFrame, most: int = MAX_LABELLED) -> RandomForestClassificationModel | float:
-    """The forest, or the share of secrets where the labels are of one kind."""
-    sample = cut(labelled.select("label", *FEATURES, F.xxhash64("finding", "doc_id", "line", "word", "part").alias("order")).orderBy("order").limit(most))
+    """The forest, or the share of secrets where all labels are of one kind."""
+    rows = labelled.select("label", *FEATURES, F.xxhash64("finding", "doc_id", "line", "word", "part").alias("order"))
+    least = [rows.where(F.col("label") == label).orderBy("order").limit(most // 2) for label in (0.0, 1.0)]
+    sample = cut(least[0].union(least[1]))
+    # a label with any row has rows in the sample, so this holds for the whole set
     counts = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(counts) < 2:
         return max(counts, default=0.5)
-    forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, labelCol="label", featuresCol="features")
-    return forest.fit(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(sample.orderBy("order")))
+    even = F.when(F.col("label") == 1, max(counts.values()) / counts[1.0]).otherwise(max(counts.values()) / counts[0.0])
+    forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, labelCol="label", featuresCol="features", weightCol="weight")
+    return forest.fit(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(sample.withColumn("weight", even).orderBy("order")))
 
 
 def score(found: DataFrame, model: RandomForestClassificationModel | float) -> DataFrame:

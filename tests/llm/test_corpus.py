@@ -316,6 +316,18 @@ def test_the_forest_keeps_secrets_without_a_digit(spark):
     assert by == {(0, True): 60, (1, True): 60, (2, True): 60, (3, False): 120, (4, False): 60}
 
 
+def test_rare_secrets_train_the_forest(spark):
+    rare = F.col("id") % 4000 == 7  # 5 of 20,000
+    features = [F.when(rare, 1.0).otherwise((F.col("id") % (7 + i)) / 100).alias(c) for i, c in enumerate(secrets.FEATURES)]
+    labelled = spark.range(20_000).select(
+        F.when(rare, 1.0).otherwise(0.0).alias("label"), F.col("id").cast("string").alias("finding"), F.col("id").alias("doc_id"),
+        F.lit(0).alias("line"), F.lit(0).alias("word"), F.lit(0).alias("part"), *features,
+    )
+    out = secrets.score(labelled, secrets.train(labelled, most=200)).groupBy("label", (F.col("score") >= 0.5).alias("is_secret")).count()
+    assert {tuple(r) for r in out.collect()} == {(1.0, True, 5), (0.0, False, 19_995)}
+    assert secrets.train(labelled.where("label = 0"), most=200) == 0.0
+
+
 # ---------------------------------------------------------------- queries
 
 
