@@ -4,13 +4,17 @@ The tokenizers library encodes every distinct piece of text once for each
 Python worker; numpy splits the texts into those pieces (the vocabulary's
 published pattern: contractions, letters, numbers, other signs, white space)
 and puts the ids together. ``tests/llm`` holds the ids against the library's
-own encoding of the whole texts. Strings of special tokens in a text are
-ordinary text.
+own encoding of the whole texts. ``encoder`` gives the ids of the library's
+``encode(text, add_special_tokens=False)`` with its default settings: a string
+of one of the file's added tokens in a text is that token. Letters and numbers
+are those of the library's own patterns. Files whose tokens or steps are not of
+the plain kind are left to the library as a whole.
 """
 
 from __future__ import annotations
 
-import unicodedata
+import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -38,9 +42,16 @@ CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 
 @lru_cache(1)
 def _tables() -> tuple[np.ndarray, np.ndarray]:
-    """Class and hash value of each code point."""
+    """Class (by the library's patterns) and hash value of each code point."""
+    from tokenizers import Regex, pre_tokenizers
+
     kinds = np.full(0x110000, _OTHER, np.uint8)
-    kinds[:] = [{"L": _LETTER, "N": _NUMBER}.get(unicodedata.category(chr(c))[0], _OTHER) for c in range(0x110000)]
+    # no surrogates, and none of the planes that Unicode leaves empty or private
+    points = np.concatenate([np.arange(0xD800), np.arange(0xE000, 0x40000), np.arange(0xE0000, 0xF0000)])
+    every = points.astype("<u4").tobytes().decode("utf-32-le")
+    for kind, name in ((_LETTER, r"\p{L}+"), (_NUMBER, r"\p{N}+")):
+        for _, (i, j) in pre_tokenizers.Split(Regex(name), "removed", invert=True).pre_tokenize_str(every):
+            kinds[points[i:j]] = kind
     kinds[WHITE_SPACE] = _SPACE
     return kinds, mix(np.arange(1, 0x110001, dtype=_U64) * _U64(0xD1342543DE82EF95))
 
@@ -97,13 +108,26 @@ def pieces(joined: str, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nd
 
 
 class Encoder:
-    """Texts to ids with a tokenizers file of byte-level BPE."""
+    """Texts to ids with a tokenizers file of byte-level BPE.
+
+    With ``added``, strings of the file's added tokens are those tokens;
+    without it they are ordinary text.
+    """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         from tokenizers import Tokenizer
 
         whole = Tokenizer.from_file(path)
         self.model, self.size = whole.model, whole.get_vocab_size()
+        tokens = whole.get_added_tokens_decoder() if added else {}
+        self.added = {t.content: i for i, t in tokens.items()}
+        # the longest of those that start at the same place
+        self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if tokens else None
+        file = json.loads(whole.to_str())
+        before = file["pre_tokenizer"] or {}
+        plain = file["normalizer"] is None and before.get("type") == "ByteLevel" and not before["add_prefix_space"] and before.get("use_regex", True)
+        plain = plain and not any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in tokens.values())
+        self.library = whole if added and not plain else None
         self._forget()
 
     def _forget(self) -> None:
@@ -136,6 +160,20 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts back to back (uint32) and the n + 1 offsets; a null is empty."""
+        if self.library is not None:
+            ids = [np.array(self.library.encode(x or "", add_special_tokens=False).ids, np.uint32) for x in texts]
+            return np.concatenate([np.empty(0, np.uint32), *ids]), np.cumsum([0, *map(len, ids)])
+        if not any(t in x for x in texts if x for t in self.added):
+            return self._plain(texts)
+        parts = [self.split.split(x or "") for x in texts]  # text, token, text, ... text
+        ids, ends = self._plain([x for p in parts for x in p[::2]])
+        many = np.fromiter((len(p) // 2 for p in parts), np.int64, len(parts))
+        last = np.cumsum(many + 1)
+        tokens = [self.added[t] for p in parts for t in p[1::2]]
+        ids = np.insert(ids, np.delete(ends, np.append(0, last)), np.array(tokens, np.uint32))
+        return ids, np.append(0, ends[last] + np.cumsum(many))
+
+    def _plain(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         flat, offsets = [], [np.zeros(1, np.int64)]
         i, at = 0, 0
         while i < len(texts):
@@ -179,5 +217,5 @@ class Encoder:
 
 @lru_cache(2)
 def encoder(path: str) -> Encoder:
-    """One encoder for each file and Python worker."""
-    return Encoder(path)
+    """One encoder for each file and Python worker, with the file's added tokens."""
+    return Encoder(path, added=True)

@@ -12,7 +12,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import AddedToken, Tokenizer
 
 from daybook.llm import decontam, elias_fano, langid, packing, quality, textbytes, tokens
 from tests.conftest import SF001, SF01
@@ -57,6 +57,36 @@ def test_a_full_memory_and_special_strings_change_nothing(library, monkeypatch):
         assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:], strict=False)] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+SPECIAL = ["see <|endoftext|> here", "<|endoftext|>", " <|endoftext|><|endoftext|>\n x", None, "", "<|endoftext| <|endoftext|>'s", "plain", "ab\u1c89cd \ua7cb 1\U00010d40 x"]
+
+
+def test_added_tokens_and_classes_are_those_of_the_library():
+    library = Tokenizer.from_file(BPE)  # with its default settings
+    for texts in (SPECIAL, SPECIAL[:1], SPECIAL[3:5], ["a" + chr(c) + "1" + chr(c) + " " for c in [*range(0xA600, 0xAC00), *range(0x1C80, 0x1D00), *range(0x10D00, 0x10E00)]]):
+        ids, ends = tokens.encoder(BPE).encode(texts)
+        want = [e.ids for e in library.encode_batch([x or "" for x in texts], add_special_tokens=False)]
+        assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:], strict=False)] == want
+    assert tokens.encoder(BPE).encode(SPECIAL[:1])[0].tolist() == [3826, 220, 50256, 994]
+
+
+def test_a_file_of_another_kind_is_left_to_the_library(tmp_path):
+    library = Tokenizer.from_file(BPE)
+    library.add_tokens([AddedToken("stone", single_word=True, lstrip=True)])
+    library.save(str(tmp_path / "file.json"))
+    ids, ends = tokens.encoder(str(tmp_path / "file.json")).encode(["a stone, stones", None, *SPECIAL[:3]])
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:], strict=False)] == [library.encode(x, add_special_tokens=False).ids for x in ["a stone, stones", "", *SPECIAL[:3]]]
+
+
+def test_token_files_and_packing_take_added_tokens(spark):
+    library = Tokenizer.from_file(BPE)
+    df = spark.createDataFrame(list(enumerate(SPECIAL)), "doc_id bigint, text string")
+    want = {d: library.encode(t or "", add_special_tokens=False).ids for d, t in enumerate(SPECIAL)}
+    got = {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in elias_fano.round_trip(df, BPE, end_id=2).collect()}
+    assert got == {d: [*ids, 2] for d, ids in want.items()}
+    packed = {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in packing.pack(df, BPE, window=2048, end_id=1).where("length = doc_tokens").collect()}
+    assert packed and packed == {d: [*want[d], 1] for d in packed}
+
+
 # ---------------------------------------------------------------- 3: token files
 
 
