@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import decontam, elias_fano, langid, linedup, minmax, packing, perspective, quality, rindex, secrets
+from daybook.llm import decontam, divergence, elias_fano, langid, licenses, linedup, minmax, packing, perspective, quality, rindex, secrets, whitening
 from daybook.llm.shared import ship
 
 
@@ -69,6 +69,18 @@ def op10_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("places")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_run_length_index": op2_run_length_index,
@@ -80,6 +92,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_perspective": op9_perspective,
     "op10_secret_forest": op10_secret_forest,
+    "op11_whitening": op11_whitening,
+    "op12_divergence": op12_divergence,
+    "op13_license_scan": op13_license_scan,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_line_edit_join": linedup.SQL, "op9_perspective": perspective.SQL}
+ORACLE_SQL: dict[str, str] = {"op5_line_edit_join": linedup.SQL, "op9_perspective": perspective.SQL, "op12_divergence": divergence.SQL}
