@@ -1,33 +1,46 @@
 """Line dedup by a segment-partition edit join, with DataFrame functions only.
 
-A line goes if an equal line, or one within ``threshold`` edits of it, stands
-earlier in the corpus (by doc_id, then line number). Lines of fewer than
-``min_chars`` characters must be equal; lines without a word are left alone.
-
-Edit join: a line of m characters is cut into threshold + 1 segments of equal
-length (give or take one). Within ``threshold`` edits one of them survives, at
-a place that the lengths bound, so a line of n >= m characters probes the
-index of lines of each length m in n - threshold .. n with its substrings at
-those places only. Index entries are (length, segment, hash of the segment).
-A pair is verified by edit distance on a band of 2 * threshold + 1 diagonals,
-one bit-parallel step for each character (the band slides down in one word).
+A line goes if an equal line, or one within a few edits of it, stands earlier
+in the corpus (by doc_id, then line number). How many edits are allowed grows
+with the shorter line's length (``LEVELS``: 1 from 24 characters on, 2 from 64,
+3 from 256). Lines shorter than the first level must be equal; lines without a
+word are left alone.
+
+Edit join: a line of m characters with t edits allowed is cut into t + 1
+segments of equal length (give or take one). Within t edits one of them
+survives, at a place that the lengths bound, so a line of n >= m characters
+probes the index of lines of each length m with its substrings at those places
+only. Index entries are (length, segment, hash of the segment). A pair is
+verified by edit distance on a band of 2t + 1 diagonals, one bit-parallel step
+for each character (the band slides down in one word).
 
 Scale: lines are written once as hashes (a 128-bit one of the line, and those of
 its entries); everything up to the verification works on these. Equal lines
 collapse before any pair is made, and entries that only one line has end in one
-pre-aggregated shuffle. A segment that many different lines share never becomes
-all their pairs:
+pre-aggregated shuffle. A segment that many different lines share does not
+become all their pairs:
 
 1. each line is compared with the earliest line of each of its own index
    entries; one that is verified goes, and needs no other partner;
-2. only lines still open are compared with every entry they probe, and a pair
-   leaves the join only if eight letter counts differ by at most
-   2 * threshold in all, which an edit distance of threshold implies.
-
-Texts never enter those joins; the few lines with a shared entry are fetched
-again for the letter counts and the verification. A side is broadcast if it has
-at most ``BROADCAST`` entries, and shuffled otherwise. Equi-joins on a hot line
-or segment are split by adaptive execution.
+2. lines still open meet the other lines of their entries only where an entry
+   has at most ``CROWD`` lines;
+3. lines of crowded entries (lines of a template, say) get finer keys: the
+   shorter line is cut into segments of ``FINE`` characters and indexed by the
+   t + 1 *rarest* of them. At most t of these are lost to t edits, so the longer
+   line, which probes every segment at every place it can have, still meets
+   it. What a template's lines have in common is frequent and therefore no key;
+   a key that is crowded again is cut once more, into the next size.
+
+A pair leaves a join only if the counts of eight letters and eight digits
+differ by at most 2t in all, which t edits imply. No pair is lost in any step.
+Lines of one template meet in pairs only as far as their differing part is
+shorter than about t + 1 segments of the last size (2t + 2 characters); those lie
+within few edits of one another.
+
+Texts never enter the joins of entries; the few lines with a shared entry are
+fetched again for the counts, the finer keys and the verification. A side is
+broadcast if it has at most ``BROADCAST`` entries, and shuffled otherwise.
+Equi-joins on a hot line or segment are split by adaptive execution.
 
 Defined cases: a null text stays null; rows without an id come last in the
 order; rows that agree in id and text are one document; a text whose lines
@@ -42,11 +55,15 @@ from pyspark.sql import functions as F
 
 from daybook.llm.shared import cut, run_dir
 
-THRESHOLD = 1
-MIN_CHARS = 24
+#: Edits allowed for a pair whose shorter line has at least so many characters.
+LEVELS = ((24, 1), (64, 2), (256, 3))
 BROADCAST = 1_000_000
-#: Letters whose counts a candidate pair must nearly share.
-LETTERS = "etaoinhr"
+#: An entry with more lines than this is crowded.
+CROWD = 64
+#: Characters of the finer segments, one size after the other.
+FINE = (8, 2)
+#: Signs whose counts a candidate pair must nearly share, eight to a number.
+SIGNS = ("etaoinhr", "01234567")
 LAST = (1 << 63) - 1
 
 
@@ -62,22 +79,72 @@ def _key(line: str, length: str, i: int, start: str, size: str) -> str:
     return f"xxhash64({length}, {i}, substring({line}, cast({start} + 1 as int), cast({size} as int)))"
 
 
-def index_keys(threshold: int, line: str = "line", length: str = "n") -> Column:
-    """Index entries of a line."""
-    return F.expr("array(" + ", ".join(_key(line, length, i, start, size) for i, (start, size) in enumerate(segments(length, threshold))) + ")")
+Levels = tuple[tuple[int, int], ...]
+
+
+def allowed(length: str, levels: Levels) -> str:
+    """SQL of the edits allowed for a shorter line of this length; 0 below the first level."""
+    return "case " + " ".join(f"when {length} >= {least} then {k}" for least, k in sorted(levels, reverse=True)) + " else 0 end"
 
 
-def probe_keys(threshold: int, min_chars: int, line: str = "line", length: str = "n") -> Column:
-    """Entries that lines within the threshold, and not longer, may have."""
-    keys = []
-    for less in range(threshold + 1):
+def _shifts(less: int, threshold: int) -> list[int]:
+    """By how much a piece of a line can move in one that is ``less`` longer, within the threshold."""
+    return [s for s in range(-threshold, threshold + 1) if abs(s) + abs(less - s) <= threshold]
+
+
+def _case(length: str, levels: Levels, of: dict[int, str]) -> str:
+    """SQL that takes the array of the level that a length belongs to."""
+    ordered = sorted(levels)
+    parts = []
+    for (least, k), nxt in zip(ordered, [*ordered[1:], None], strict=True):
+        if k in of:
+            parts.append(f"when {length} >= {least}" + (f" and {length} < {nxt[0]}" if nxt else "") + f" then array({of[k]})")
+    return f"case {' '.join(parts)} else cast(array() as array<bigint>) end" if parts else "cast(array() as array<bigint>)"
+
+
+def index_keys(levels: Levels, line: str = "line", length: str = "n") -> Column:
+    """Index entries of a line."""
+    return F.expr(_case(length, levels, {k: ", ".join(_key(line, length, i, start, size) for i, (start, size) in enumerate(segments(length, k))) for _, k in levels}))
+
+
+def probe_keys(levels: Levels, line: str = "line", length: str = "n") -> Column:
+    """Entries that lines near this one, and not longer, may have."""
+    arrays = []
+    for less in range(max(k for _, k in levels) + 1):
+        m, of = f"({length} - {less})", {}
+        for _, k in levels:
+            keys = []
+            for i, (start, size) in enumerate(segments(m, k)) if less <= k else ():
+                # at most i edits lie before segment i and at most k - i after it
+                for shift in range(max(-i, less - (k - i)), min(i, less + k - i) + 1):
+                    place = f"({start} + {shift})"
+                    keys.append(f"if({place} >= 0 and {place} + {size} <= {length}, {_key(line, m, i, place, size)}, null)")
+            if keys:
+                of[k] = ", ".join(keys)
+        arrays.append(_case(m, levels, of))
+    return F.expr(f"array_distinct(array_compact(concat({', '.join(arrays)})))")
+
+
+def _fine(size: int, levels: Levels, line: str, length: str, place: str) -> str:
+    """SQL of the keys of every segment of about ``size`` characters (at least t + 1 segments) of a line of ``length``, read at ``place``."""
+    k = f"cast(greatest(({length}) div {size}, {allowed(length, levels)} + 1) as int)"
+    start, end = f"cast(({length}) * j div {k} as int)", f"cast(({length}) * (j + 1) div {k} as int)"
+    spot = f"({start} + {place})"
+    key = f"xxhash64({length}, {size}, j, substring({line}, {spot} + 1, {end} - {start}))"
+    return f"transform(sequence(0, {k} - 1), j -> if({spot} >= 0 and {end} + {place} <= char_length({line}), {key}, null))"
+
+
+def fine_index(size: int, levels: Levels, line: str = "line", length: str = "n") -> Column:
+    return F.expr(_fine(size, levels, line, length, "0"))
+
+
+def fine_probe(size: int, levels: Levels, line: str = "line", length: str = "n") -> Column:
+    arrays = []
+    for less in range(max(k for _, k in levels) + 1):
         m = f"({length} - {less})"
-        for i, (start, size) in enumerate(segments(m, threshold)):
-            # at most i edits lie before segment i and at most threshold - i after it
-            for shift in range(max(-i, less - (threshold - i)), min(i, less + threshold - i) + 1):
-                place = f"({start} + {shift})"
-                keys.append(f"if({m} >= {min_chars} and {place} >= 0 and {place} + {size} <= {length}, {_key(line, m, i, place, size)}, null)")
-    return F.expr(f"array_distinct(array_compact(array({', '.join(keys)})))")
+        for shift in sorted({s for _, k in levels for s in _shifts(less, k)}):
+            arrays.append(f"if({abs(shift) + abs(less - shift)} <= {allowed(m, levels)} and {m} >= {min(x for x, _ in levels)}, {_fine(size, levels, line, m, str(shift))}, cast(array() as array<bigint>))")
+    return F.expr(f"array_distinct(array_compact(concat({', '.join(arrays)})))")
 
 
 def _let(value: str, name: str, body: str) -> str:
@@ -122,17 +189,20 @@ def within(a: str, b: str, threshold: int) -> Column:
     return F.expr(_let(least, "n", _let(head, "h", _let(tail, "t", _let(middle, "m", near)))))
 
 
-def _counts(line: str) -> str:
-    """Counts of the letters, eight bits each."""
-    return " | ".join(f"shiftleft(cast((char_length({line}) - char_length(replace({line}, '{c}', ''))) % 256 as bigint), {8 * i})" for i, c in enumerate(LETTERS))
+def _counts(line: str, signs: str) -> str:
+    """Counts of the signs, eight bits each."""
+    return " | ".join(f"shiftleft(cast((char_length({line}) - char_length(replace({line}, '{c}', ''))) % 256 as bigint), {8 * i})" for i, c in enumerate(signs))
 
 
-def _near(a: str, b: str, threshold: int) -> str:
+def _near(a: str, b: str, levels: Levels) -> str:
+    """Whether two lines (struct of n and counts) may be near each other."""
     parts = []
-    for i in range(len(LETTERS)):
-        gap = f"((shiftright({a}, {8 * i}) & 255L) - (shiftright({b}, {8 * i}) & 255L))"
-        parts.append(f"least(pmod({gap}, 256L), pmod(-{gap}, 256L))")
-    return f"({' + '.join(parts)}) <= {2 * threshold}"
+    for counts, signs in zip(("letters", "digits"), SIGNS, strict=True):
+        for i in range(len(signs)):
+            gap = f"((shiftright({a}.{counts}, {8 * i}) & 255L) - (shiftright({b}.{counts}, {8 * i}) & 255L))"
+            parts.append(f"least(pmod({gap}, 256L), pmod(-{gap}, 256L))")
+    most = allowed(f"least({a}.n, {b}.n)", levels)
+    return f"abs({a}.n - {b}.n) <= {most} and ({' + '.join(parts)}) <= 2 * {most}"
 
 
 def lines_of(df: DataFrame) -> DataFrame:
@@ -142,16 +212,17 @@ def lines_of(df: DataFrame) -> DataFrame:
     return worded.select("*", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
-def occurrences(df: DataFrame, threshold: int, min_chars: int) -> DataFrame:
+def occurrences(df: DataFrame, levels: Levels) -> DataFrame:
     """Every line of (doc_id, text) as hashes only, written once to the shared folder.
 
     ``index`` are its index entries and ``probe`` the other entries it probes;
-    both are null for a line of fewer than ``min_chars`` characters.
+    both are null for a line below the first level.
     """
     spark = df.sparkSession
+    least = min(x for x, _ in levels)
     lines = lines_of(df).withColumn("n", F.char_length("line"))
-    keys = lines.withColumn("index", F.when(F.col("n") >= min_chars, index_keys(threshold)))
-    keys = keys.withColumn("probe", F.when(F.col("n") >= min_chars, F.array_except(probe_keys(threshold, min_chars), "index")))
+    keys = lines.withColumn("index", F.when(F.col("n") >= least, index_keys(levels)))
+    keys = keys.withColumn("probe", F.when(F.col("n") >= least, F.array_except(probe_keys(levels), "index")))
     path = run_dir(spark, "lines")
     keys.select("doc", "doc_text", "place", "h1", "h2", "index", "probe").write.parquet(path)
     return spark.read.parquet(path)
@@ -162,15 +233,51 @@ def _few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST else df
 
 
-def _verified(texts: DataFrame, pairs: DataFrame, threshold: int) -> DataFrame:
-    """h1 of the later line of each pair (later, earlier) within the threshold."""
+def _verified(texts: DataFrame, pairs: DataFrame, levels: Levels) -> DataFrame:
+    """h1 of the later line of each pair (later, earlier) that is near enough."""
     line = texts.select("h1", "line")
     both = pairs.join(line.withColumnsRenamed({"h1": "later", "line": "x"}), "later").join(line.withColumnsRenamed({"h1": "earlier", "line": "y"}), "earlier")
-    return both.where(within("x", "y", threshold)).select(F.col("later").alias("h1")).distinct()
-
-
-def near_lines(df: DataFrame, lines: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """h1 of every one of the ``lines`` (occurrences of df's) that has an earlier, different line within the threshold."""
+    both = both.withColumn("most", F.expr(allowed("least(char_length(x), char_length(y))", levels)))
+    near = F.lit(False)
+    for k in sorted({k for _, k in levels}):
+        near = near | ((F.col("most") == k) & within("x", "y", k))
+    return both.where(near).select(F.col("later").alias("h1")).distinct()
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    """(later, earlier) of pairs of lines a and b."""
+    return pairs.select(F.expr("if(a.at < b.at, b.at.h1, a.at.h1) as later"), F.expr("if(a.at < b.at, a.at.h1, b.at.h1) as earlier"))
+
+
+def _meet(levels: Levels) -> Column:
+    """Different lines a and b that may be near each other, the later one still open."""
+    return F.expr(f"a.key = b.key and a.at.h1 <> b.at.h1 and if(a.at < b.at, b.open, a.open) and {_near('a', 'b', levels)}")
+
+
+def _fine_pairs(lines: DataFrame, size: int, levels: Levels, last: bool) -> tuple[DataFrame, DataFrame | None]:
+    """Pairs of lines (at, n, line, counts, open, indexed) by finer keys, and the lines of keys that are crowded again."""
+    own = ("at", "n", "letters", "digits", "open")
+    keyed = cut(lines.where("indexed").select("at", "n", F.explode(F.array_distinct(fine_index(size, levels))).alias("key")))
+    often = cut(keyed.groupBy("key").agg(F.count("*").alias("often")))
+    rated = keyed.join(often, "key").groupBy("at", "n").agg(F.sort_array(F.collect_list(F.struct("often", "key"))).alias("keys"))
+    rarest = F.expr(f"transform(slice(keys, 1, {allowed('n', levels)} + 1), x -> x.key)")  # a line has size(line) / size keys at most
+    index = rated.select("at", F.explode(rarest).alias("key")).join(lines.select(*own), "at")
+    probes = lines.select(*own, F.explode(fine_probe(size, levels)).alias("key"))
+    index = cut(index.select("key", *own))
+    wanted = cut(index.groupBy("key").agg(F.count("*").alias("held")))
+    probes = cut(probes.join(_few(wanted), "key"))
+    crowded = wanted.where(F.col("held") > (CROWD if not last else LAST)).select("key", F.lit(True).alias("crowded"))
+    index, probes = (x.join(_few(crowded), "key", "left") for x in (index, probes))
+    pairs = _ordered(index.where("crowded is null").alias("a").join(probes.where("crowded is null").alias("b"), _meet(levels)))
+    if last:
+        return pairs, None
+    again = index.where("crowded").select("at", F.lit(True).alias("indexed")).union(probes.where("crowded").select("at", F.lit(False)))
+    again = again.groupBy("at").agg(F.max("indexed").alias("indexed"))
+    return pairs, cut(lines.drop("indexed").join(again, "at"))
+
+
+def near_lines(df: DataFrame, lines: DataFrame, levels: Levels = LEVELS) -> DataFrame:
+    """h1 of every one of the ``lines`` (occurrences of df's) that has an earlier, different line near it."""
     at = F.struct("doc", "place")
     entry = F.col("e.key").alias("key"), F.col("e.own").alias("own")
     tagged = F.expr("concat(transform(index, k -> struct(k as key, true as own)), transform(probe, k -> struct(k as key, false as own)))")
@@ -181,31 +288,47 @@ def near_lines(df: DataFrame, lines: DataFrame, threshold: int = THRESHOLD) -> D
     met = cut(entries.join(_few(shared), "key").groupBy("key", "own", "h1").agg(F.min("at").alias("at")))
     wanted = cut(met.select("h1").distinct())
     texts = lines_of(df).select("h1", "h2", "line").join(_few(wanted), "h1").groupBy("h1", "h2").agg(F.min("line").alias("line"))
-    texts = cut(texts.select("h1", "line", F.expr(_counts("line")).alias("letters")))
-    met = cut(met.join(texts.select("h1", "letters"), "h1").select("key", "own", "letters", F.struct("at.doc", "at.place", "h1").alias("at")))
+    texts = cut(texts.select("h1", "line", F.char_length("line").alias("n"), F.expr(_counts("line", SIGNS[0])).alias("letters"), F.expr(_counts("line", SIGNS[1])).alias("digits")))
+    own = ("n", "letters", "digits")
+    met = cut(met.join(texts.select("h1", *own), "h1").select("key", "own", *own, F.struct("at.doc", "at.place", "h1").alias("at")))
     # 1: each line against the earliest line of each of its own entries
-    index = met.where("own")
-    earliest = index.groupBy("key").agg(F.min(F.struct("at", "letters")).alias("e"))
-    close = F.expr("at <> e.at and " + _near("letters", "e.letters", threshold))
-    pairs = index.join(earliest, "key").where(close).select(F.col("at.h1").alias("later"), F.col("e.at.h1").alias("earlier"))
-    gone = cut(_verified(texts, cut(pairs.distinct()), threshold))
-    # 2: lines still open against all entries that they probe, or that probe them
+    index = met.where("own").alias("a")
+    earliest = cut(met.where("own").groupBy("key").agg(F.min(F.struct("at", *own)).alias("b"))).select("key", "b.*")
+    close = F.expr("a.key = b.key and a.at <> b.at and " + _near("a", "b", levels))
+    pairs = index.join(earliest.alias("b"), close).select(F.expr("a.at.h1 as later"), F.expr("b.at.h1 as earlier"))
+    gone = cut(_verified(texts, cut(pairs.distinct()), levels))
+    # 2: lines still open against all entries that they probe, or that probe them, where these are not crowded
     flag = gone.select(F.col("h1").alias("gone_h1"), F.lit(True).alias("gone"))
-    opened = met.join(_few(flag), F.col("at.h1") == F.col("gone_h1"), "left").select("key", "own", "letters", "at", F.col("gone").isNull().alias("open"))
-    meet = F.expr(f"a.key = b.key and a.at.h1 <> b.at.h1 and if(a.at < b.at, b.open, a.open) and {_near('a.letters', 'b.letters', threshold)}")
-    pairs = opened.where("own").alias("a").join(opened.alias("b"), meet).select(F.expr("if(a.at < b.at, b.at.h1, a.at.h1) as later"), F.expr("if(a.at < b.at, a.at.h1, b.at.h1) as earlier"))
-    return gone.union(_verified(texts, cut(pairs.distinct()), threshold)).distinct()
-
-
-def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, min_chars: int = MIN_CHARS) -> DataFrame:
-    """The input rows as ``row``, with n_lines (with a word), n_removed and the text that is left."""
-    if min_chars <= threshold:
-        raise ValueError("min_chars must exceed the threshold")
+    opened = met.join(_few(flag), F.col("at.h1") == F.col("gone_h1"), "left").select("key", "own", *own, "at", F.col("gone").isNull().alias("open"))
+    crowded = cut(met.groupBy("key").agg(F.count("*").alias("held")).where(F.col("held") > CROWD).select("key", F.lit(True).alias("crowded")))
+    opened = cut(opened.join(_few(crowded), "key", "left"))
+    few = opened.where("crowded is null")
+    pairs = _ordered(few.where("own").alias("a").join(few.alias("b"), _meet(levels)))
+    # 3: lines of crowded entries by finer keys
+    rest = opened.where("crowded").groupBy("at", *own, "open").agg(F.max("own").alias("indexed"))
+    rest = cut(rest.withColumn("h1", F.col("at.h1")).join(texts.select("h1", "line"), "h1").drop("h1"))
+    for size in FINE:
+        if rest.isEmpty():
+            break
+        more, rest = _fine_pairs(rest, size, levels, last=size == FINE[-1])
+        pairs = pairs.union(more)
+    return gone.union(_verified(texts, cut(pairs.distinct()), levels)).distinct()
+
+
+def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int | None = None, min_chars: int | None = None, levels: Levels = LEVELS) -> DataFrame:
+    """The input rows as ``row``, with n_lines (with a word), n_removed and the text that is left.
+
+    ``threshold`` and ``min_chars`` allow the same edits at every length, instead of ``levels``.
+    """
+    if threshold is not None:
+        levels = ((min(x for x, _ in LEVELS) if min_chars is None else min_chars, threshold),)
+    if any(least <= k for least, k in levels):
+        raise ValueError("a line must be longer than the edits allowed")
     texts = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    lines = occurrences(texts, threshold, min_chars)
+    lines = occurrences(texts, levels)
     place = F.struct("doc", "place")
     groups = lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    near = cut(near_lines(texts, lines, threshold)).withColumn("near", F.lit(True))
+    near = cut(near_lines(texts, lines, levels)).withColumn("near", F.lit(True))
     marked = groups.join(near, "h1", "left").where("near or first <> last").select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
     marked = cut(marked)  # so that the join can split a line that very many documents share
     hits = lines.select("h1", "h2", "doc", "doc_text", "place").join(marked, ["h1", "h2"]).where(F.col("near") | (F.struct("doc", "place") != F.col("first")))
@@ -222,19 +345,18 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     )
 
 
-#: The same rows by halves: one edit leaves the first or the second half as it is.
+#: The same rows by the distance of all lines of nearly equal length.
 SQL = r"""
 WITH l AS (
   SELECT doc_id, place - 1 AS place, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place FROM documents)),
 w AS (SELECT * FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 g AS (SELECT line, length(line) AS n, min((doc_id, place)) AS first FROM w GROUP BY line),
-h AS (SELECT *, left(line, n // 2) AS head, right(line, n - n // 2) AS tail FROM g WHERE n >= 24),
+h AS (SELECT *, CASE WHEN n >= 256 THEN 3 WHEN n >= 64 THEN 2 ELSE 1 END AS most FROM g WHERE n >= 24),
+d AS (SELECT unnest([0, 1, 2, 3]) AS d),
 p AS (
-  SELECT a.line AS x, b.line AS y, a.first AS fx, b.first AS fy FROM h a JOIN h b ON a.n = b.n AND a.head = b.head AND a.line < b.line
-  UNION SELECT a.line, b.line, a.first, b.first FROM h a JOIN h b ON a.n = b.n AND a.tail = b.tail AND a.line < b.line
-  UNION SELECT a.line, b.line, a.first, b.first FROM h a JOIN h b ON b.n = a.n + 1 AND a.head = left(b.line, a.n // 2)
-  UNION SELECT a.line, b.line, a.first, b.first FROM h a JOIN h b ON b.n = a.n + 1 AND a.tail = right(b.line, a.n - a.n // 2)),
-near AS (SELECT DISTINCT CASE WHEN fx < fy THEN y ELSE x END AS line FROM p WHERE levenshtein(x, y) <= 1),
+  SELECT a.line AS x, b.line AS y, a.first AS fx, b.first AS fy, a.most
+  FROM h a JOIN d ON d.d <= a.most JOIN h b ON b.n = a.n + d.d AND a.line <> b.line),
+near AS (SELECT DISTINCT CASE WHEN fx < fy THEN y ELSE x END AS line FROM p WHERE levenshtein(x, y) <= most),
 m AS (
   SELECT l.doc_id, l.place, l.line, w.line IS NOT NULL AS worded,
          w.line IS NOT NULL AND ((l.doc_id, l.place) <> g.first OR near.line IS NOT NULL) AS gone

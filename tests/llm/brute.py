@@ -85,8 +85,10 @@ def edits(a: str, b: str, most: int) -> int:
     return row[-1]
 
 
-def dedup_lines(docs: list[tuple[int | None, str | None]], threshold: int, min_chars: int) -> list[tuple[int, int, str | None]]:
-    """(lines with a word, removed, text left) of every row."""
+def dedup_lines(docs: list[tuple[int | None, str | None]], threshold: int | tuple[tuple[int, int], ...], min_chars: int = 0) -> list[tuple[int, int, str | None]]:
+    """(lines with a word, removed, text left) of every row; the threshold is one number or (least characters of the shorter line, edits)."""
+    levels = ((min_chars, threshold),) if isinstance(threshold, int) else threshold
+    most, min_chars = max(k for _, k in levels), min(n for n, _ in levels)
     first: dict[str, tuple] = {}
     for d, t in docs:
         for k, line in enumerate((t or "").split("\n")):
@@ -102,9 +104,10 @@ def dedup_lines(docs: list[tuple[int | None, str | None]], threshold: int, min_c
     near = set()
     for n, lines in by_length.items():
         for x in lines:
-            for m in range(n - threshold, n + threshold + 1):
+            for m in range(n - most, n + most + 1):
+                k = max((k for least, k in levels if least <= min(n, m)), default=-1)
                 for y in by_length.get(m, ()):
-                    if first[y] < first[x] and edits(x, y, threshold) <= threshold:
+                    if abs(n - m) <= k and first[y] < first[x] and edits(x, y, k) <= k:
                         near.add(x)
     out = []
     for d, t in docs:

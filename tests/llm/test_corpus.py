@@ -138,13 +138,55 @@ def test_line_dedup_of_edge_cases(edges, empty):
     assert out.columns == [*edges.columns, "n_lines", "n_removed", "text_left"]
     got = sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["n_lines"], r["n_removed"], r["text_left"] or "", r["text_left"] is None) for r in out.collect())
     rows = edge_texts()
-    want = sorted((d is not None, d or 0, n, gone, left or "", left is None) for (d, _), (n, gone, left) in zip(rows, brute.dedup_lines(rows, 1, 24), strict=True))
+    want = sorted((d is not None, d or 0, n, gone, left or "", left is None) for (d, _), (n, gone, left) in zip(rows, brute.dedup_lines(rows, linedup.LEVELS), strict=True))
     assert got == want
     assert linedup.dedup_lines(empty).collect() == []
     with pytest.raises(ValueError):
         linedup.dedup_lines(empty, threshold=3, min_chars=3)
 
 
+def _templates(seed: int, families: int, each: int) -> list[tuple[int, str]]:
+    """Lines that share long parts and differ in a few places or in a random part, some of them near copies."""
+    r, rows = random.Random(seed), []
+    for f in range(families):
+        head, tail = sentences(f, 1, 3 + 4 * f), sentences(50 + f, 1, 2 + 6 * f)
+        for k in range(each):
+            part = "".join(r.choice("0123456789") for _ in range((3, 9, 36)[f % 3]))
+            line = list(f"{head} {part} {tail}")
+            for _ in range(r.choice((0, 0, 1, 2, 3))):
+                p = r.randrange(len(line) + 1)
+                line[p : p + r.randint(0, 1)] = r.choice(["", "x", "7"])
+            rows.append((f * each + k, "".join(line)))
+    rows += [(1000 + i, rows[r.randrange(len(rows))][1].replace("o", "0", 1)) for i in range(20)]
+    return rows
+
+
+@pytest.mark.parametrize(("crowd", "broadcast"), [(3, 10**6), (0, 0)])
+def test_crowded_entries_lose_no_pair(spark, monkeypatch, crowd, broadcast):
+    monkeypatch.setattr(linedup, "CROWD", crowd)
+    monkeypatch.setattr(linedup, "BROADCAST", broadcast)
+    rows = _templates(3, 6, 22)
+    levels = ((12, 1), (60, 2), (150, 3))
+    got = {r["row"]["doc_id"]: (r["n_lines"], r["n_removed"], r["text_left"]) for r in linedup.dedup_lines(texts_frame(spark, rows), levels=levels).collect()}
+    want = dict(zip((d for d, _ in rows), brute.dedup_lines(rows, levels), strict=True))
+    assert got == want and 10 < sum(w[1] for w in want.values()) < len(rows) - 40
+
+
+def test_pairs_of_template_lines_grow_with_the_lines(spark, monkeypatch):
+    """Lines of one template with random numbers: few pairs to verify, and in proportion to the lines."""
+    counted, real = [], linedup._verified
+    monkeypatch.setattr(linedup, "_verified", lambda texts, pairs, levels: counted.append(pairs.count()) or real(texts, pairs, levels))
+    for n in (200, 800):
+        counted.append(0)
+        r = random.Random(n)
+        rows = [(i, "Your order was shipped today, thank you very much; the tracking number is " + "".join(r.choice("0123456789") for _ in range(36)) + " and it will arrive soon.") for i in range(n)]
+        rows.append((n, rows[n // 2][1].replace("soon", "sonn")))
+        marks = len(counted)
+        out = linedup.dedup_lines(texts_frame(spark, rows)).where("n_removed > 0").collect()
+        assert [x["row"]["doc_id"] for x in out] == [n]
+        assert sum(counted[marks:]) <= 2 * n
+
+
 # ---------------------------------------------------------------- 2: repeated byte strings
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline as pipeline
 from daybook.llm import quality
 from tests.conftest import SF001
+from daybook.llm.linedup import LEVELS
 from tests.llm import brute
 
 
@@ -30,7 +31,7 @@ def judged(spark, rows, docs):
 
 def lines(spark, rows, docs):
     out = []
-    for r, (n, gone, left) in zip(rows, brute.dedup_lines([(r["doc_id"], r["text"]) for r in rows], 1, 24), strict=True):
+    for r, (n, gone, left) in zip(rows, brute.dedup_lines([(r["doc_id"], r["text"]) for r in rows], LEVELS), strict=True):
         if n == 0 or gone < n:
             out.append({**r, "text": left, "n_chars": None if left is None else len(left)})
     return out
