@@ -11,11 +11,15 @@ their end marker.
 
 A dialogue can hold any number of turns, so it is rendered in chunks of
 ``CHUNK`` turn numbers, one row each, in order of ``chunk`` and ``part``;
-positions count from the start of a chunk. Where very many rows share turn
-numbers (over ``4 * CHUNK`` rows in a chunk), the chunk is dealt over parts by
-turn and by the hash that also orders equal turns. So no group grows with a
-dialogue, and the join that gives each turn its participants is an equi-join
-whose hot keys Spark splits.
+positions count from the start of a chunk. Where rows share turn numbers, a
+chunk can hold more than ``CHUNK`` rows; it is then cut into parts of neighbouring
+turns: a turn with ``before`` rows ahead of it in the chunk goes to part
+before div CHUNK, so n rows make at most ceil(n / CHUNK) parts, each with its
+context. Only a single turn number with more than ``CHUNK`` rows of its own is
+dealt over several parts, by the hash that also orders equal turns. The rule is
+the same at every size. So no group grows with a dialogue, and the joins that
+give a turn its place and its participants are equi-joins whose hot keys Spark
+splits.
 
 Defined cases: a null speaker is a user named ``unknown`` and no participant;
 a null text is empty; null turns come last; equal turns are ordered by the
@@ -26,7 +30,7 @@ no rows; other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.llm.shared import cut
@@ -55,14 +59,15 @@ def rotate(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", spe
         "chunk": F.floor(F.col("turn") / chunk).cast("bigint"),
         "tie": F.md5(F.concat_ws("\x1f", F.coalesce("speaker", F.lit("")), "text")),
     })
-    where = F.struct("conv", "chunk").alias("place")  # never null, so null keys join too
+    where = F.struct("conv", "chunk", "turn").alias("place")  # never null, so null keys join too
     # both sides are cut off, so that the joins can split a dialogue that holds very many turns
-    full = turns.groupBy(where).agg(F.count("*").alias("n")).where(F.col("n") > 4 * chunk).select("place", F.ceil(F.col("n") / chunk).alias("parts"))
-    full = cut(full)
-    within = F.coalesce(F.col("turn") - F.col("chunk") * chunk, F.lit(0).cast("bigint"))
+    ahead = Window.partitionBy("conv", "chunk").orderBy("turn")  # a row for each turn number, CHUNK at most
+    sizes = turns.groupBy("conv", "chunk", "turn").agg(F.count("*").alias("n"))
+    sizes = sizes.withColumn("total", F.sum("n").over(Window.partitionBy("conv", "chunk"))).withColumn("before", F.sum("n").over(ahead) - F.col("n"))
+    full = cut(sizes.where(F.col("total") > chunk).select(where, F.floor(F.col("before") / chunk).alias("first"), F.ceil(F.col("n") / chunk).alias("parts")))
     hashed = F.conv(F.substring("tie", 1, 8), 16, 10).cast("bigint")
-    placed = turns.withColumn("place", F.struct("conv", "chunk")).join(full, "place", "left")
-    placed = placed.withColumn("part", F.coalesce(within * F.col("parts") + F.pmod(hashed, F.col("parts")), F.lit(0).cast("bigint"))).drop("place", "parts")
+    placed = turns.withColumn("place", where).join(full, "place", "left")
+    placed = placed.withColumn("part", F.coalesce(F.col("first") + F.pmod(hashed, F.col("parts")), F.lit(0).cast("bigint"))).drop("place", "first", "parts")
     people = turns.where(F.col("speaker").isNotNull() & ~F.col("speaker").isin(*context)).select("conv", "speaker").distinct()
     people = cut(people.groupBy("conv").agg(F.collect_list("speaker").alias("people")))
     seen = placed.join(people, "conv").withColumn("perspective", F.explode("people"))
@@ -91,11 +96,13 @@ WITH t AS (
   SELECT conv_id, turn, role, coalesce(text, '') AS text, CAST(floor(turn / 256) AS BIGINT) AS chunk,
          md5(coalesce(role, '') || chr(31) || coalesce(text, '')) AS tie
   FROM conversations),
-n AS (SELECT *, count(*) OVER (PARTITION BY conv_id, chunk) AS n FROM t),
+c AS (SELECT conv_id, chunk, turn, count(*) AS c FROM t GROUP BY ALL),
+b AS (
+  SELECT *, coalesce(sum(c) OVER (PARTITION BY conv_id, chunk ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM c),
 p AS (
-  SELECT *, CASE WHEN n > 1024 THEN coalesce(turn - chunk * 256, 0) * CAST(ceil(n / 256) AS BIGINT)
-              + CAST('0x' || substr(tie, 1, 8) AS BIGINT) % CAST(ceil(n / 256) AS BIGINT) ELSE 0 END AS part
-  FROM n),
+  SELECT t.*, CAST(before AS BIGINT) // 256 + CAST('0x' || substr(tie, 1, 8) AS BIGINT) % CAST(ceil(c / 256) AS BIGINT) AS part
+  FROM t JOIN b ON t.conv_id IS NOT DISTINCT FROM b.conv_id AND t.chunk IS NOT DISTINCT FROM b.chunk AND t.turn IS NOT DISTINCT FROM b.turn),
 who AS (SELECT DISTINCT conv_id, role AS perspective FROM t WHERE role IS NOT NULL AND role <> 'system'),
 r AS (
   SELECT p.conv_id, perspective, chunk, part, turn, tie, role, coalesce(role = perspective, false) AS mine,

@@ -105,13 +105,16 @@ def findings(df: DataFrame, words: list[str], id_col: str = "doc_id", text_col:
     lines = source(df, id_col, text_col).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "content"))
     lines = lines.where(F.col("content").rlike("[0-9=:]") | F.col("content").rlike(CREDENTIAL) | F.col("content").rlike(PREFIXED))
     split = lines.select("doc_id", "line", F.split("content", r"[\x20\x09-\x0D]+").alias("w"))
-    each = split.select("doc_id", "line", "w", F.posexplode("w").alias("word", "here")).where("here <> ''")
-    near = each.select(
-        "doc_id", "line", "word", "here", F.expr("coalesce(get(w, word - 1), '')").alias("b1"), F.expr("coalesce(get(w, word - 2), '')").alias("b2"),
-        F.expr("coalesce(get(w, word - 3), '')").alias("b3"), F.expr("coalesce(get(w, word + 1), '')").alias("a1"), F.expr(f"array_join(slice(w, word + 1, {PHRASE}), ' ')").alias("rest"),
-    )
+    # each word with its neighbours is made, and dropped, inside the line's array, so that no row of a word holds the line
+    at = lambda i: F.coalesce(F.get("w", i), F.lit(""))
+    words_of = F.transform("w", lambda x, i: F.struct(i.alias("word"), x.alias("here"), at(i - 1).alias("b1"), at(i - 2).alias("b2"), at(i - 3).alias("b3"), at(i + 1).alias("a1")))
+    some = lambda x: (x["here"] != "") & (
+        x["here"].rlike("[0-9=:]") | x["b1"].rlike("[=:]>?$") | F.concat_ws(" ", x["b3"], x["b2"], x["b1"]).rlike(CREDENTIAL) | x["here"].rlike(PREFIXED)
+    )
+    rest = lambda x: F.array_join(F.slice("w", x["word"] + 1, PHRASE), " ")
+    kept = F.transform(F.filter(words_of, some), lambda x: F.struct(x.alias("x"), rest(x).alias("rest")))
+    near = split.select("doc_id", "line", F.explode(kept).alias("k")).select("doc_id", "line", "k.x.*", "k.rest")
     after = F.concat_ws(" ", "b3", "b2", "b1").rlike(CREDENTIAL)
-    near = near.where(F.col("here").rlike("[0-9=:]") | F.col("b1").rlike("[=:]>?$") | after | F.col("here").rlike(PREFIXED))
     given = F.col("b1").rlike(ASSIGNED + "$") | (F.col("b1").rlike("^[=:]+>?$") & F.col("b2").rlike(CREDENTIAL))
     near = near.withColumns({"given": given, "called": F.col("b1").rlike("[=:]>?$") | after})
     runs = near.withColumn("runs", _candidates())
