@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.minmax import sets_of
-from daybook.llm.shared import source
+from daybook.llm.shared import lean, source
 from daybook.llm.textbytes import ragged
 
 SIZE = 5
@@ -157,7 +157,7 @@ def find(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str
                         ["doc_id", "item_id", "item_shingles", "shared"],
                     )
 
-        part = texts.mapInArrow(run, FOUND)
+        part = texts.mapInArrow(lean(run), FOUND)
         out = part if out is None else out.union(part)
     return out if out is not None else df.sparkSession.createDataFrame([], FOUND)
 
@@ -174,5 +174,5 @@ def keep(df: DataFrame, items: DataFrame, text_col: str = "text", size: int = SI
                 clean[[f[0] for f in held.value.found(batch.column(at))]] = False
                 yield batch.filter(pa.array(clean))
 
-        df = df.mapInArrow(run, df.schema)
+        df = df.mapInArrow(lean(run), df.schema)
     return df

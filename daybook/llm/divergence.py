@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.llm.runs import LETTERS, runs
-from daybook.llm.shared import cut
+from daybook.llm.shared import cut, lean
 from daybook.llm.textbytes import LOWER, texts_of
 
 MIN_DOCS = 3
@@ -86,7 +86,7 @@ def term_counts(rows: DataFrame) -> DataFrame:
                 ["lang", "source", "term", "n", "docs"],
             )
 
-    parts = rows.mapInArrow(run, "lang string, source string, term string, n bigint, docs bigint")
+    parts = rows.mapInArrow(lean(run), "lang string, source string, term string, n bigint, docs bigint")
     return parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.runs import LOWER_OR_DIGIT, runs
-from daybook.llm.shared import source
+from daybook.llm.shared import lean, source
 from daybook.llm.textbytes import LOWER, chunks, texts_of
 
 
@@ -188,7 +188,7 @@ def places(df: DataFrame, notices: Sequence[Notice] = (*PHRASES, *NOTICES), id_c
                     })
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i), pa.array(np.diff(at), pa.int64()), pa.array(spans, pa.list_(_SPAN))], ["doc_id", "n_words", "places"])
 
-    return source(df, id_col, text_col).mapInArrow(run, f"doc_id bigint, n_words bigint, places {_SPANS}")
+    return source(df, id_col, text_col).mapInArrow(lean(run), f"doc_id bigint, n_words bigint, places {_SPANS}")
 
 
 def scan(df: DataFrame, notices: Sequence[Notice] = (*PHRASES, *NOTICES), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

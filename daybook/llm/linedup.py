@@ -3,7 +3,7 @@
 A line goes if an equal line, or one within a few edits of it, stands earlier
 in the corpus (by doc_id, then line number). How many edits are allowed grows
 with the shorter line's length (``LEVELS``: 1 from 24 characters on, 2 from 64,
-3 from 256). Lines shorter than the first level must be equal; lines without a
+3 from 512). Lines shorter than the first level must be equal; lines without a
 word are left alone.
 
 Edit join: a line of m characters with t edits allowed is cut into t + 1
@@ -56,10 +56,12 @@ from pyspark.sql import functions as F
 from daybook.llm.shared import cut, run_dir
 
 #: Edits allowed for a pair whose shorter line has at least so many characters.
-LEVELS = ((24, 1), (64, 2), (256, 3))
+LEVELS = ((24, 1), (64, 2), (512, 3))
 BROADCAST = 1_000_000
 #: An entry with more lines than this is crowded.
 CROWD = 64
+#: Lines up to this length read the places of their entries from a table, longer ones work them out.
+TABLED = 4096
 #: Characters of the finer segments, one size after the other.
 FINE = (8, 2)
 #: Signs whose counts a candidate pair must nearly share, eight to a number.
@@ -67,18 +69,6 @@ SIGNS = ("etaoinhr", "01234567")
 LAST = (1 << 63) - 1
 
 
-def segments(length: str, threshold: int) -> list[tuple[str, str]]:
-    """SQL of each segment's first place (0 at the line's start) and length, for a line of ``length`` characters."""
-    k = threshold + 1
-    short, longer = f"(({length}) div {k})", f"(({length}) % {k})"
-    # the last ``longer`` segments have one more character
-    return [(f"({i} * {short} + greatest(0, {i} - ({k} - {longer})))", f"({short} + if({i} >= {k} - {longer}, 1, 0))") for i in range(k)]
-
-
-def _key(line: str, length: str, i: int, start: str, size: str) -> str:
-    return f"xxhash64({length}, {i}, substring({line}, cast({start} + 1 as int), cast({size} as int)))"
-
-
 Levels = tuple[tuple[int, int], ...]
 
 
@@ -92,46 +82,50 @@ def _shifts(less: int, threshold: int) -> list[int]:
     return [s for s in range(-threshold, threshold + 1) if abs(s) + abs(less - s) <= threshold]
 
 
-def _case(length: str, levels: Levels, of: dict[int, str]) -> str:
-    """SQL that takes the array of the level that a length belongs to."""
-    ordered = sorted(levels)
-    parts = []
-    for (least, k), nxt in zip(ordered, [*ordered[1:], None], strict=True):
-        if k in of:
-            parts.append(f"when {length} >= {least}" + (f" and {length} < {nxt[0]}" if nxt else "") + f" then array({of[k]})")
-    return f"case {' '.join(parts)} else cast(array() as array<bigint>) end" if parts else "cast(array() as array<bigint>)"
+def _let(value: str, name: str, body: str) -> str:
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def _segment(shift: str) -> str:
+    """SQL of segment i of a line of m characters with t edits allowed, and where it is read, ``shift`` places on.
 
+    The m characters make t + 1 segments; the last m % (t + 1) of them are one longer.
+    """
+    size = "cast(m div (t + 1) + if(i > t - m % (t + 1), 1, 0) as int)"
+    start = f"cast(i * (m div (t + 1)) + greatest(0, i - (t + 1 - m % (t + 1))) + {shift} as int)"
+    return f"struct(cast(m as int) as m, i as i, {start} + 1 as at, {size} as size)"
 
-def index_keys(levels: Levels, line: str = "line", length: str = "n") -> Column:
-    """Index entries of a line."""
-    return F.expr(_case(length, levels, {k: ", ".join(_key(line, length, i, start, size) for i, (start, size) in enumerate(segments(length, k))) for _, k in levels}))
 
+def index_places(levels: Levels, length: str = "n") -> str:
+    """SQL of a line's own segments."""
+    return _let(length, "m", _let(allowed("m", levels), "t", f"transform(sequence(0, t), i -> {_segment('0')})"))
 
-def probe_keys(levels: Levels, line: str = "line", length: str = "n") -> Column:
-    """Entries that lines near this one, and not longer, may have."""
-    arrays = []
-    for less in range(max(k for _, k in levels) + 1):
-        m, of = f"({length} - {less})", {}
-        for _, k in levels:
-            keys = []
-            for i, (start, size) in enumerate(segments(m, k)) if less <= k else ():
-                # at most i edits lie before segment i and at most k - i after it
-                for shift in range(max(-i, less - (k - i)), min(i, less + k - i) + 1):
-                    place = f"({start} + {shift})"
-                    keys.append(f"if({place} >= 0 and {place} + {size} <= {length}, {_key(line, m, i, place, size)}, null)")
-            if keys:
-                of[k] = ", ".join(keys)
-        arrays.append(_case(m, levels, of))
-    return F.expr(f"array_distinct(array_compact(concat({', '.join(arrays)})))")
+
+def probe_places(levels: Levels, length: str = "n") -> str:
+    """SQL of the places where a line can hold a segment of another one that is near it, and not longer.
+
+    For a line shorter by d with t edits, at most i edits lie before segment i
+    and at most t - i after it, which bounds the segment's shift. The loops are
+    over arrays: unrolled, the expression is too long for the JVM to compile.
+    """
+    most = max(k for _, k in levels)
+    shifts = f"transform(filter(sequence(greatest(-i, d - (t - i)), least(i, d + t - i)), s -> d <> 0 or s <> 0), s -> {_segment('s')})"
+    none = "cast(array() as array<struct<m: int, i: int, at: int, size: int>>)"
+    each = f"if(d <= t and m >= {min(x for x, _ in levels)}, flatten(transform(sequence(0, t), i -> {shifts})), {none})"
+    return f"flatten(transform(sequence(0, {most}), d -> {_let(f'{length} - d', 'm', _let(allowed('m', levels), 't', each))}))"
+
+
+def _keys(places: str, line: str = "line") -> Column:
+    return F.expr(f"transform({places}, p -> xxhash64(p.m, p.i, substring({line}, p.at, p.size)))")
 
 
 def _fine(size: int, levels: Levels, line: str, length: str, place: str) -> str:
     """SQL of the keys of every segment of about ``size`` characters (at least t + 1 segments) of a line of ``length``, read at ``place``."""
-    k = f"cast(greatest(({length}) div {size}, {allowed(length, levels)} + 1) as int)"
-    start, end = f"cast(({length}) * j div {k} as int)", f"cast(({length}) * (j + 1) div {k} as int)"
-    spot = f"({start} + {place})"
-    key = f"xxhash64({length}, {size}, j, substring({line}, {spot} + 1, {end} - {start}))"
-    return f"transform(sequence(0, {k} - 1), j -> if({spot} >= 0 and {end} + {place} <= char_length({line}), {key}, null))"
+    spot = f"cast({length} * j div k + {place} as int)"
+    end = f"cast({length} * (j + 1) div k + {place} as int)"
+    key = f"xxhash64({length}, {size}, j, substring({line}, {spot} + 1, {end} - {spot}))"
+    each = f"transform(sequence(0, cast(k as int) - 1), j -> if({spot} >= 0 and {end} <= char_length({line}), {key}, null))"
+    return _let(f"greatest({length} div {size}, {allowed(length, levels)} + 1)", "k", each)
 
 
 def fine_index(size: int, levels: Levels, line: str = "line", length: str = "n") -> Column:
@@ -147,8 +141,17 @@ def fine_probe(size: int, levels: Levels, line: str = "line", length: str = "n")
     return F.expr(f"array_distinct(array_compact(concat({', '.join(arrays)})))")
 
 
-def _let(value: str, name: str, body: str) -> str:
-    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+def pieces_shared(a: str, b: str, threshold: int) -> Column:
+    """Whether line b holds all but ``threshold`` of the pieces of line a, each at most ``threshold`` places off.
+
+    So many edits lose that many pieces at most: a pair that fails here is not
+    within the threshold. It takes a few comparisons of substrings.
+    """
+    n = 4 * (threshold + 1)
+    start, size = f"cast(n * j div {n} as int)", f"cast(n * (j + 1) div {n} as int) - cast(n * j div {n} as int)"
+    there = f"exists(sequence({-threshold}, {threshold}), s -> z.at + s >= 0 and substring({b}, z.at + s + 1, z.size) = substring({a}, z.at + 1, z.size))"
+    found = _let(f"named_struct('at', {start}, 'size', {size})", "z", there)
+    return F.expr(_let(f"char_length({a})", "n", f"size(filter(sequence(0, {n - 1}), j -> {found})) >= {n - threshold}"))
 
 
 def _shared(a: str, b: str, most: str, cut_of: str) -> str:
@@ -190,19 +193,21 @@ def within(a: str, b: str, threshold: int) -> Column:
 
 
 def _counts(line: str, signs: str) -> str:
-    """Counts of the signs, eight bits each."""
-    return " | ".join(f"shiftleft(cast((char_length({line}) - char_length(replace({line}, '{c}', ''))) % 256 as bigint), {8 * i})" for i, c in enumerate(signs))
+    """Counts of the signs (mod 16), eight bits each, so coded that counts differ by at least as much as their bits.
+
+    Sixteen eight-bit words in a ring, neighbours one bit apart: ones come in
+    from the right until all are set, then they leave from the right.
+    """
+    count = lambda c: f"(char_length({line}) - char_length(replace({line}, '{c}', ''))) % 16"
+    code = "if(c <= 8, shiftleft(1, c) - 1, 255 & ~(shiftleft(1, c - 8) - 1))"
+    return " | ".join(f"shiftleft(cast({_let(count(x), 'c', code)} as bigint), {8 * i})" for i, x in enumerate(signs))
 
 
 def _near(a: str, b: str, levels: Levels) -> str:
-    """Whether two lines (struct of n and counts) may be near each other."""
-    parts = []
-    for counts, signs in zip(("letters", "digits"), SIGNS, strict=True):
-        for i in range(len(signs)):
-            gap = f"((shiftright({a}.{counts}, {8 * i}) & 255L) - (shiftright({b}.{counts}, {8 * i}) & 255L))"
-            parts.append(f"least(pmod({gap}, 256L), pmod(-{gap}, 256L))")
+    """Whether two lines (struct of n and counts) may be near each other: an edit changes two counts by one at most."""
     most = allowed(f"least({a}.n, {b}.n)", levels)
-    return f"abs({a}.n - {b}.n) <= {most} and ({' + '.join(parts)}) <= 2 * {most}"
+    bits = " + ".join(f"bit_count({a}.{c} ^ {b}.{c})" for c in ("letters", "digits"))
+    return f"abs({a}.n - {b}.n) <= {most} and {bits} <= 2 * {most}"
 
 
 def lines_of(df: DataFrame) -> DataFrame:
@@ -220,9 +225,11 @@ def occurrences(df: DataFrame, levels: Levels) -> DataFrame:
     """
     spark = df.sparkSession
     least = min(x for x, _ in levels)
-    lines = lines_of(df).withColumn("n", F.char_length("line"))
-    keys = lines.withColumn("index", F.when(F.col("n") >= least, index_keys(levels)))
-    keys = keys.withColumn("probe", F.when(F.col("n") >= least, F.array_except(probe_keys(levels), "index")))
+    places = spark.range(least, TABLED + 1).select(F.col("id").cast("int").alias("n")).select("n", F.expr(index_places(levels)).alias("own"), F.expr(probe_places(levels)).alias("other"))
+    lines = lines_of(df).withColumn("n", F.char_length("line")).join(F.broadcast(places), "n", "left")  # TABLED rows
+    some = F.col("n") >= least
+    lines = lines.withColumns({"own": F.when(some, F.coalesce("own", F.expr(index_places(levels)))), "other": F.when(some, F.coalesce("other", F.expr(probe_places(levels))))})
+    keys = lines.withColumns({"index": _keys("own"), "probe": _keys("other")})
     path = run_dir(spark, "lines")
     keys.select("doc", "doc_text", "place", "h1", "h2", "index", "probe").write.parquet(path)
     return spark.read.parquet(path)
@@ -240,7 +247,7 @@ def _verified(texts: DataFrame, pairs: DataFrame, levels: Levels) -> DataFrame:
     both = both.withColumn("most", F.expr(allowed("least(char_length(x), char_length(y))", levels)))
     near = F.lit(False)
     for k in sorted({k for _, k in levels}):
-        near = near | ((F.col("most") == k) & within("x", "y", k))
+        near = near | ((F.col("most") == k) & pieces_shared("x", "y", k) & within("x", "y", k))
     return both.where(near).select(F.col("later").alias("h1")).distinct()
 
 
@@ -351,7 +358,7 @@ WITH l AS (
   SELECT doc_id, place - 1 AS place, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place FROM documents)),
 w AS (SELECT * FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 g AS (SELECT line, length(line) AS n, min((doc_id, place)) AS first FROM w GROUP BY line),
-h AS (SELECT *, CASE WHEN n >= 256 THEN 3 WHEN n >= 64 THEN 2 ELSE 1 END AS most FROM g WHERE n >= 24),
+h AS (SELECT *, CASE WHEN n >= 512 THEN 3 WHEN n >= 64 THEN 2 ELSE 1 END AS most FROM g WHERE n >= 24),
 d AS (SELECT unnest([0, 1, 2, 3]) AS d),
 p AS (
   SELECT a.line AS x, b.line AS y, a.first AS fx, b.first AS fy, a.most

@@ -17,8 +17,8 @@ its pairs:
    ``GROUPS`` different random orders) among the buckets that it shares;
 2. components of the confirmed links settle most buckets. In a bucket that
    still holds several components, only the nodes outside its largest
-   component are compared with the others, in blocks of at most ``BLOCK`` by
-   ``BLOCK`` nodes, and only across components. Two nodes that share a bucket
+   component are compared with the others, in blocks of about ``BLOCK`` by
+   ``BLOCK`` nodes and ``BLOCK_BYTES`` of sets, and only across components. Two nodes that share a bucket
    and are not yet connected are always compared, so no link between
    different texts is lost.
 
@@ -42,13 +42,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.components import components
-from daybook.llm.shared import cut, source
+from daybook.llm.shared import cut, lean, source
 from daybook.llm.textbytes import LOWER, chunks, hashes, mix, prefix, shingles, texts_of, words
 
 BANDS, ROWS = 48, 6
 PERMUTATIONS = BANDS * ROWS // 2
 GROUPS = 8
 BLOCK = 512
+BLOCK_BYTES = 4 << 20
 BROADCAST = 400_000
 
 _U64 = np.uint64
@@ -114,7 +115,7 @@ def _described(texts: DataFrame, size: int) -> DataFrame:
                     ["doc_id", "n_shingles", "key", "bands"],
                 )
 
-    return texts.mapInArrow(run, "doc_id bigint, n_shingles bigint, key binary, bands array<bigint>")
+    return texts.mapInArrow(lean(run), "doc_id bigint, n_shingles bigint, key binary, bands array<bigint>")
 
 
 def _small(wanted: DataFrame) -> DataFrame:
@@ -134,7 +135,7 @@ def _with_sets(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column("node").slice(i, j - i), batch.column("tags").slice(i, j - i), pa.array(raw, pa.binary())], ["node", "tags", "shingles"])
 
     rows = texts.withColumnRenamed("doc_id", "node").join(_small(wanted), "node").select("node", "tags", "text")
-    return rows.mapInArrow(run, f"node bigint, tags {schema}, shingles binary")
+    return rows.mapInArrow(lean(run), f"node bigint, tags {schema}, shingles binary")
 
 
 def _set(raw: bytes) -> np.ndarray:
@@ -158,7 +159,7 @@ def _confirmed(pairs: DataFrame, percent: int) -> DataFrame:
                 keep.append(_linked(n, m, min(n, m), percent) and _linked(n, m, len(np.intersect1d(_set(left), _set(right), assume_unique=True)), percent))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.select("a", "b", "left", "right").mapInArrow(run, "a bigint, b bigint")
+    return pairs.select("a", "b", "left", "right").mapInArrow(lean(run), "a bigint, b bigint")
 
 
 def _blocks(rows: DataFrame, percent: int) -> DataFrame:
@@ -171,14 +172,20 @@ def _blocks(rows: DataFrame, percent: int) -> DataFrame:
         size = np.array([len(x) for x in sets])
         if not len(sets):
             return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        flat, at = np.concatenate(sets), np.concatenate(([0], np.cumsum(size)[:-1]))
+        at = np.concatenate(([0], np.cumsum(size)[:-1]))
+        values, place = np.unique(np.concatenate(sets), return_inverse=True)
+        del sets
+        mine = np.zeros(len(values), np.int32)  # 1 at the values of one left set
         node, comp = right["node"].to_numpy(), right["component"].to_numpy()
         out = []
         for a, c, raw in zip(*(pdf.loc[pdf["left"], k] for k in ("node", "component", "shingles")), strict=True):
-            mine = _set(raw)
-            where = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
-            both = np.add.reduceat((mine[where] == flat).astype(np.int64), at)
-            hit = np.flatnonzero((comp != c) & (100 * both >= percent * (size + len(mine) - both)))
+            own = _set(raw)
+            spot = np.minimum(np.searchsorted(values, own), len(values) - 1)
+            spot = spot[values[spot] == own]
+            mine[spot] = 1
+            both = np.add.reduceat(mine[place], at)
+            mine[spot] = 0
+            hit = np.flatnonzero((comp != c) & (100 * both >= percent * (size + len(own) - both)))
             _, one = np.unique(comp[hit], return_index=True)  # one link to each other component
             out += [(a, b) for b in node[hit[one]].tolist()]
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
@@ -192,13 +199,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = cut(_described(texts, shingle))
     # one node for each distinct set
     sets = rows.where("key is not null and doc_id is not null")
-    nodes = cut(sets.groupBy("key").agg(F.min("doc_id").alias("node"), F.min("bands").alias("bands")))
-    listed = nodes.select("node", F.explode("bands").alias("bucket"))
+    nodes = cut(sets.groupBy("key").agg(F.min("doc_id").alias("node"), F.min("n_shingles").alias("size"), F.min("bands").alias("bands")))
+    listed = nodes.select("node", "size", F.explode("bands").alias("bucket"))
     # an order of its own for each group of buckets
     one = F.struct(F.xxhash64("node", F.pmod("bucket", F.lit(GROUPS))).alias("rank"), F.col("node").alias("centre"))
     # cut off, as below, so that the join can split a bucket that very many nodes share
     buckets = cut(listed.groupBy("bucket").agg(F.count("*").alias("n"), F.min(one).alias("best")).where("n > 1"))
-    members = cut(listed.join(buckets, "bucket").select("bucket", "node", "n", "best"))
+    members = cut(listed.join(buckets, "bucket").select("bucket", "node", "size", "n", "best"))
     # 1: links to centres
     pairs = members.groupBy("node", F.pmod("bucket", F.lit(GROUPS)).alias("g")).agg(F.min("best").alias("best")).select("node", F.col("best.centre").alias("centre")).where("node <> centre").distinct()
     none = F.expr("cast(array() as array<bigint>)")
@@ -211,12 +218,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     links = cut(_confirmed(left.join(right, "centre").withColumnRenamed("centre", "b"), percent).distinct())
     # 2: buckets that still hold several components
     found = components(links)
-    known = members.select("bucket", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    parts = known.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    mixed = cut(parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("main")).where("parts > 1"))
+    known = members.select("bucket", "node", "size").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    parts = known.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    mixed = cut(parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("n").alias("n"), F.sum("size").alias("size"), F.max(F.struct("n", "component", "size")).alias("main")).where("parts > 1"))
     minor = F.col("component") != F.col("main.component")
-    lefts, rights = F.ceil((F.col("n") - F.col("main.n")) / BLOCK), F.ceil(F.col("n") / BLOCK)
-    left_open = known.join(mixed.select("bucket", "n", "main"), "bucket").select("node", F.struct("bucket", "component", minor.alias("minor"), lefts.alias("lefts"), rights.alias("rights")).alias("t"))
+    bytes_of = 6 / BLOCK_BYTES  # of one shingle, in blocks
+    lefts = F.ceil(F.greatest((F.col("n") - F.col("main.n")) / BLOCK, (F.col("all_size") - F.col("main.size")) * bytes_of))
+    rights = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("all_size") * bytes_of))
+    left_open = known.join(mixed.select("bucket", "n", F.col("size").alias("all_size"), "main"), "bucket").select("node", F.struct("bucket", "component", minor.alias("minor"), lefts.alias("lefts"), rights.alias("rights")).alias("t"))
     tags = cut(left_open.groupBy("node").agg(F.collect_list("t").alias("tags")))  # a node has at most BANDS buckets
     tagged = _with_sets(texts, tags, shingle).select("node", "shingles", F.explode("tags").alias("t")).select("node", "shingles", "t.*")
     # a minor node meets every block of the others, and every node every block of the minor ones

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from daybook.llm.shared import source
+from daybook.llm.shared import lean, source
 from daybook.llm.tokens import encoder
 
 PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary"
@@ -142,7 +142,7 @@ def pack(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str =
         if rows:
             yield _batch(rows)
 
-    return source(df, id_col, text_col).mapInArrow(run, PIECES)
+    return source(df, id_col, text_col).mapInArrow(lean(run), PIECES)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:

@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.llm.shared import lean
 from daybook.llm.textbytes import chunks, hashes, mix, prefix, shingles, texts_of, words
 
 #: Length of an n-gram in bytes, and bits of its hash.
@@ -133,7 +134,7 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
         yield pa.RecordBatch.from_pydict({"gram": some, "raw": raw[some], "target": target[some]})
 
     texts = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    table = texts.mapInArrow(count, "gram bigint, raw bigint, target bigint").groupBy("gram").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
+    table = texts.mapInArrow(lean(count), "gram bigint, raw bigint, target bigint").groupBy("gram").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
     raw, target = np.ones(1 << BITS), np.ones(1 << BITS)
     for gram, a, b in table.collect():  # at most 2 ** BITS rows
         raw[gram] += a
@@ -167,7 +168,7 @@ def judge(df: DataFrame, ratio: np.ndarray, id_col: str = "doc_id", text_col: st
             if batch.num_rows:
                 yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), **_judged(batch.column(1), ratio, threshold)})
 
-    return df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"doc_id bigint, {COUNTS}")
+    return df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(lean(run), f"doc_id bigint, {COUNTS}")
 
 
 def keep(df: DataFrame, ratio: np.ndarray, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -179,4 +180,4 @@ def keep(df: DataFrame, ratio: np.ndarray, text_col: str = "text", threshold: fl
             if batch.num_rows:
                 yield batch.filter(pa.array(_judged(batch.column(at), ratio, threshold)["kept"]))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(lean(run), df.schema)

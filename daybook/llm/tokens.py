@@ -27,8 +27,8 @@ from daybook.llm.textbytes import mix, ragged
 #: Texts taken from an Arrow batch at once.
 ROWS = 512
 #: Characters encoded at once, and distinct pieces a worker remembers.
-CHARS = 1 << 20
-REMEMBERED = 300_000
+CHARS = 1 << 18
+REMEMBERED = 100_000
 
 _LETTER, _NUMBER, _SPACE, _OTHER, _END = 0, 1, 2, 3, 4
 _U64 = np.uint64
