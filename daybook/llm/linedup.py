@@ -203,11 +203,14 @@ def _counts(line: str, signs: str) -> str:
     return " | ".join(f"shiftleft(cast({_let(count(x), 'c', code)} as bigint), {8 * i})" for i, x in enumerate(signs))
 
 
+def _bits(a: str, b: str) -> str:
+    return " + ".join(f"bit_count({a}.{c} ^ {b}.{c})" for c in ("letters", "digits"))
+
+
 def _near(a: str, b: str, levels: Levels) -> str:
     """Whether two lines (struct of n and counts) may be near each other: an edit changes two counts by one at most."""
     most = allowed(f"least({a}.n, {b}.n)", levels)
-    bits = " + ".join(f"bit_count({a}.{c} ^ {b}.{c})" for c in ("letters", "digits"))
-    return f"abs({a}.n - {b}.n) <= {most} and {bits} <= 2 * {most}"
+    return f"abs({a}.n - {b}.n) <= {most} and {_bits(a, b)} <= 2 * {most}"
 
 
 def lines_of(df: DataFrame) -> DataFrame:
@@ -240,7 +243,7 @@ def _few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST else df
 
 
-def _verified(texts: DataFrame, pairs: DataFrame, levels: Levels) -> DataFrame:
+def _near_enough(texts: DataFrame, pairs: DataFrame, levels: Levels) -> DataFrame:
     """h1 of the later line of each pair (later, earlier) that is near enough."""
     line = texts.select("h1", "line")
     both = pairs.join(line.withColumnsRenamed({"h1": "later", "line": "x"}), "later").join(line.withColumnsRenamed({"h1": "earlier", "line": "y"}), "earlier")
@@ -251,9 +254,23 @@ def _verified(texts: DataFrame, pairs: DataFrame, levels: Levels) -> DataFrame:
     return both.where(near).select(F.col("later").alias("h1")).distinct()
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    """(later, earlier) of pairs of lines a and b."""
-    return pairs.select(F.expr("if(a.at < b.at, b.at.h1, a.at.h1) as later"), F.expr("if(a.at < b.at, a.at.h1, b.at.h1) as earlier"))
+def _verified(texts: DataFrame, pairs: DataFrame, levels: Levels) -> DataFrame:
+    """h1 of every line with a partner (later, earlier, gap) that is near enough.
+
+    One partner suffices, so each line is compared with its likeliest first (the
+    least gap), and only lines that fail there with their others.
+    """
+    pairs = cut(pairs.groupBy("later", "earlier").agg(F.min("gap").alias("gap")))
+    best = cut(pairs.groupBy("later").agg(F.min(F.struct("gap", "earlier")).alias("best")).select("later", F.col("best.earlier").alias("earlier")))
+    first = cut(_near_enough(texts, best, levels))
+    rest = pairs.select("later", "earlier").join(best, ["later", "earlier"], "left_anti").join(first.select(F.col("h1").alias("later")), "later", "left_anti")
+    return first.union(_near_enough(texts, rest, levels))
+
+
+def _pairs(joined: DataFrame) -> DataFrame:
+    """(later, earlier, gap) of joined lines a and b."""
+    gap = F.expr(f"{_bits('a', 'b')} + abs(a.n - b.n)")
+    return joined.select(F.expr("if(a.at < b.at, b.at.h1, a.at.h1) as later"), F.expr("if(a.at < b.at, a.at.h1, b.at.h1) as earlier"), gap.alias("gap"))
 
 
 def _meet(levels: Levels) -> Column:
@@ -275,7 +292,7 @@ def _fine_pairs(lines: DataFrame, size: int, levels: Levels, last: bool) -> tupl
     probes = cut(probes.join(_few(wanted), "key"))
     crowded = wanted.where(F.col("held") > (CROWD if not last else LAST)).select("key", F.lit(True).alias("crowded"))
     index, probes = (x.join(_few(crowded), "key", "left") for x in (index, probes))
-    pairs = _ordered(index.where("crowded is null").alias("a").join(probes.where("crowded is null").alias("b"), _meet(levels)))
+    pairs = _pairs(index.where("crowded is null").alias("a").join(probes.where("crowded is null").alias("b"), _meet(levels)))
     if last:
         return pairs, None
     again = index.where("crowded").select("at", F.lit(True).alias("indexed")).union(probes.where("crowded").select("at", F.lit(False)))
@@ -302,15 +319,15 @@ def near_lines(df: DataFrame, lines: DataFrame, levels: Levels = LEVELS) -> Data
     index = met.where("own").alias("a")
     earliest = cut(met.where("own").groupBy("key").agg(F.min(F.struct("at", *own)).alias("b"))).select("key", "b.*")
     close = F.expr("a.key = b.key and a.at <> b.at and " + _near("a", "b", levels))
-    pairs = index.join(earliest.alias("b"), close).select(F.expr("a.at.h1 as later"), F.expr("b.at.h1 as earlier"))
-    gone = cut(_verified(texts, cut(pairs.distinct()), levels))
+    pairs = _pairs(index.join(earliest.alias("b"), close))
+    gone = cut(_verified(texts, pairs, levels))
     # 2: lines still open against all entries that they probe, or that probe them, where these are not crowded
     flag = gone.select(F.col("h1").alias("gone_h1"), F.lit(True).alias("gone"))
     opened = met.join(_few(flag), F.col("at.h1") == F.col("gone_h1"), "left").select("key", "own", *own, "at", F.col("gone").isNull().alias("open"))
     crowded = cut(met.groupBy("key").agg(F.count("*").alias("held")).where(F.col("held") > CROWD).select("key", F.lit(True).alias("crowded")))
     opened = cut(opened.join(_few(crowded), "key", "left"))
     few = opened.where("crowded is null")
-    pairs = _ordered(few.where("own").alias("a").join(few.alias("b"), _meet(levels)))
+    pairs = _pairs(few.where("own").alias("a").join(few.alias("b"), _meet(levels)))
     # 3: lines of crowded entries by finer keys
     rest = opened.where("crowded").groupBy("at", *own, "open").agg(F.max("own").alias("indexed"))
     rest = cut(rest.withColumn("h1", F.col("at.h1")).join(texts.select("h1", "line"), "h1").drop("h1"))
@@ -319,7 +336,7 @@ def near_lines(df: DataFrame, lines: DataFrame, levels: Levels = LEVELS) -> Data
             break
         more, rest = _fine_pairs(rest, size, levels, last=size == FINE[-1])
         pairs = pairs.union(more)
-    return gone.union(_verified(texts, cut(pairs.distinct()), levels)).distinct()
+    return gone.union(_verified(texts, pairs, levels)).distinct()
 
 
 def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int | None = None, min_chars: int | None = None, levels: Levels = LEVELS) -> DataFrame:

@@ -176,8 +176,8 @@ def test_crowded_entries_lose_no_pair(spark, monkeypatch, crowd, broadcast):
 
 def test_pairs_of_template_lines_grow_with_the_lines(spark, monkeypatch):
     """Lines of one template with random numbers: few pairs to verify, and in proportion to the lines."""
-    counted, real = [], linedup._verified
-    monkeypatch.setattr(linedup, "_verified", lambda texts, pairs, levels: counted.append(pairs.count()) or real(texts, pairs, levels))
+    counted, real = [], linedup._near_enough
+    monkeypatch.setattr(linedup, "_near_enough", lambda texts, pairs, levels: counted.append(pairs.count()) or real(texts, pairs, levels))
     for n in (200, 800):
         counted.append(0)
         r = random.Random(n)
