@@ -7,12 +7,19 @@ partition has its own one-permutation MinHash: the number of bins is four to
 eight times the partition's sizes, so whatever its length a document keeps the
 least hash of nearly every one of its shingles' bins, and a shingle of an item
 that the document holds is such a least hash with probability over 0.88. Items
-are probed against these signatures; an item is a candidate of a document if a
-quarter of the shared shingles that containment requires are found (its miss
-probability is below 1e-9 from 9 shingles on). Items of up to ``TINY``
-shingles form a partition in which the signature is the whole set, so none is
-missed. Every candidate is verified on the words themselves: the share of the
-item's shingles that the document holds must reach ``percent``.
+are probed against these signatures by their rarer shingles: of n shingles, of
+which containment requires ``needed``, the n - needed + ``SPARE`` that the fewest
+items share are indexed. A document that contains the item has ``SPARE`` of them
+at least, and it is a candidate if two are found (its miss probability is below
+1e-9: SPARE = 12 with 0.88 each). So a passage that very many items have in
+common (an instruction's beginning, say) is hardly ever a key. Items of up to
+``TINY`` shingles form a partition in which the signature is the whole set, so
+none is missed: n - needed + 1 rarest shingles are indexed, and one is enough.
+Every candidate is verified on the words themselves: the share of the item's
+shingles that the document holds must reach ``percent``.
+
+An item of fewer than five words is one shingle of its own length, and is looked
+for as such in every text: exactly, wherever it stands.
 
 Scale: the items are a stated query set. They are taken in blocks of at most
 ``ITEMS`` items and about ``SHINGLES`` shingles, each broadcast as one small
@@ -20,8 +27,9 @@ index, and each block streams over the documents without a shuffle; a
 document is read as a whole by one task.
 
 Defined cases: null or empty texts (of items or documents) have no shingles
-and are never found; a text of fewer than five words is one shingle, its
-whole sequence; equal benchmark rows are reported each; empty tables give no
+and are never found; an item of fewer than five words is its whole sequence of
+words, and ``keep`` overlooks it unless it has ``KEEP_WORDS`` (an item of one or
+two words stands in clean documents); equal benchmark rows are reported each; empty tables give no
 rows; extra columns are ignored by ``find`` and passed through by ``keep``.
 """
 
@@ -41,7 +49,11 @@ from daybook.llm.textbytes import ragged
 
 SIZE = 5
 PERCENT = 80
-TINY = 8
+TINY = 16
+#: Indexed shingles that a containing document has at least, for larger items.
+SPARE = 12
+#: Words an item needs for ``keep`` to act on it.
+KEEP_WORDS = 3
 ITEMS = 100_000
 SHINGLES = 2_000_000
 
@@ -73,11 +85,18 @@ class Index:
             owners.append(np.repeat(np.arange(i, j), np.diff(first)))
         flat, owner = np.concatenate([np.empty(0, _U64), *values]), np.concatenate([np.empty(0, np.int64), *owners])
         self.sizes = sizes
-        # at least this many shared shingles are needed, and this many must be seen in a signature
-        self.needed = -(-percent * sizes // 100)
-        self.seen = np.where(sizes <= TINY, self.needed, np.maximum(1, self.needed // 4))
+        # at least this many shared shingles are needed; of the rarest ones this many are indexed, and must be seen
+        needed = -(-percent * sizes // 100)
+        tiny = sizes <= TINY
+        indexed, self.seen = sizes - needed + np.where(tiny, 1, SPARE), np.where(tiny, 1, 2)
+        _, code, often = np.unique(flat, return_inverse=True, return_counts=True)
+        order = np.lexsort((flat, often[code], owner))  # each item's shingles, the rarest first
+        flat, owner = flat[order], owner[order]
+        rank = np.arange(len(owner)) - (np.cumsum(sizes) - sizes)[owner]
+        chosen = rank < indexed[owner]
+        flat, owner = flat[chosen], owner[chosen]
         self.tables = []
-        for part in (sizes[owner] > TINY, sizes[owner] <= TINY):
+        for part in (~tiny[owner], tiny[owner]):
             order = np.lexsort((owner[part], flat[part]))
             keys, begin = np.unique(flat[part][order], return_index=True)
             spot = np.zeros(_SPOTS, np.bool_)
@@ -125,19 +144,23 @@ class Index:
                     yield i + row, item, len(mine), shared
 
 
-def indexes(items: DataFrame, item_id: str = "item_id", item_text: str = "text", size: int = SIZE, percent: int = PERCENT) -> Iterator[Index]:
-    """The items in blocks of a bounded size."""
-    block: list[tuple[int | None, str | None]] = []
-    held = 0
+def indexes(items: DataFrame, item_id: str = "item_id", item_text: str = "text", size: int = SIZE, percent: int = PERCENT, least: int = 1) -> Iterator[Index]:
+    """The items of at least ``least`` words in blocks of a bounded size, those of fewer than ``size`` words by their own length."""
+    blocks: dict[int, list[tuple[int | None, str | None]]] = {}
+    held: dict[int, int] = {}
     for row in items.select(F.col(item_id).cast("bigint"), F.col(item_text).cast("string")).toLocalIterator():
-        words = (row[1] or "").count(" ") + 1
-        if block and (len(block) >= ITEMS or held + words > SHINGLES):
-            yield Index(block, size, percent)
-            block, held = [], 0
-        block.append((row[0], row[1]))
-        held += words
-    if block:
-        yield Index(block, size, percent)
+        words = len(_WORD.findall(row[1] or ""))
+        if words < max(least, 1):
+            continue
+        own = min(words, size)
+        if blocks.get(own) and (len(blocks[own]) >= ITEMS or held[own] + words > SHINGLES):
+            yield Index(blocks.pop(own), own, percent)
+        if not blocks.get(own):
+            blocks[own], held[own] = [], 0
+        blocks[own].append((row[0], row[1]))
+        held[own] += words
+    for own, block in sorted(blocks.items()):
+        yield Index(block, own, percent)
 
 
 def find(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
@@ -165,7 +188,7 @@ def find(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str
 def keep(df: DataFrame, items: DataFrame, text_col: str = "text", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """The rows that contain no item, all columns as they are."""
     at = df.columns.index(text_col)
-    for index in indexes(items, size=size, percent=percent):
+    for index in indexes(items, size=size, percent=percent, least=KEEP_WORDS):
         held = df.sparkSession.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,9 @@ sequence. An Elias-Fano sequence of n non-decreasing values below u stores
 the low ``l = floor(log2(u / n))`` bits of each value as they are and the high
 parts in unary in one bit vector, about ``2 + log2(u / n)`` bits a value; the
 position of every 256th one is sampled (32 bits each), so ``select`` unpacks
-one block and no table of 64-bit offsets exists anywhere.
+one block. Readers take a block of documents at a time (``between``), or one
+document by two selects (``document_at``): a file's offsets are never unpacked
+into a table.
 
 Scale: documents are dealt by ranges of (doc_id, hash of the text) - the hash
 splits a doc_id that many rows share - sorted inside a task and streamed to
@@ -26,6 +28,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -85,6 +88,14 @@ class EliasFano:
     def select(self, i: int) -> int:
         return int(self.block(i // BLOCK)[i % BLOCK])
 
+    def between(self, i: int, j: int) -> np.ndarray:
+        """Values i up to j, unpacking only the blocks that hold them."""
+        if i >= j:
+            return np.empty(0, np.uint64)
+        first = i // BLOCK
+        some = np.concatenate([self.block(k) for k in range(first, (j - 1) // BLOCK + 1)])
+        return some[i - first * BLOCK : j - first * BLOCK]
+
     def all(self) -> np.ndarray:
         return np.concatenate([np.empty(0, np.uint64), *(self.block(k) for k in range(len(self.samples)))])
 
@@ -122,29 +133,65 @@ def write_file(path: str, batches: Iterator[tuple[np.ndarray, np.ndarray, np.nda
     return len(doc_ids), total
 
 
+@dataclass(frozen=True)
+class Footer:
+    """What a reader keeps of a file: both sequences as they are stored."""
+
+    id_bytes: int
+    nulls: int
+    least: int
+    bounds: EliasFano
+    docs: EliasFano
+
+    def doc_ids(self, i: int, j: int) -> list[int | None]:
+        """doc_ids of documents i up to j; null ones come first."""
+        none = max(0, min(j, self.nulls) - i)
+        real = self.docs.between(max(i - self.nulls, 0), max(j - self.nulls, 0)) + np.uint64(self.least & 0xFFFFFFFFFFFFFFFF)
+        return [None] * none + real.astype(np.int64).tolist()
+
+
+def _footer(file: pa.NativeFile, path: str) -> Footer:
+    size = file.size()
+    tail = file.read_at(12, size - 12)
+    if tail[4:] != MAGIC:
+        raise ValueError(f"{path} is not a token file")
+    n = int.from_bytes(tail[:4], "little")
+    head = json.loads(file.read_at(n, size - 12 - n))
+    one, two = (sum(head[k]["bytes"]) for k in ("bounds", "docs"))
+    start = size - 12 - n - one - two
+    bounds, docs = EliasFano.load(head["bounds"], file.read_at(one, start)), EliasFano.load(head["docs"], file.read_at(two, start + one))
+    return Footer(head["id_bytes"], head["nulls"], head["least"], bounds, docs)
+
+
+def _ids(file: pa.NativeFile, footer: Footer, start: int, stop: int) -> np.ndarray:
+    width = footer.id_bytes
+    return np.frombuffer(file.read_at((stop - start) * width, start * width), f"<u{width}")
+
+
+def document_at(path: str, k: int) -> tuple[int | None, int, np.ndarray]:
+    """doc_id, first position and ids of the file's document number k, by selects."""
+    store, at = _open(path)
+    with store.open_input_file(at) as file:
+        footer = _footer(file, path)
+        start, stop = footer.bounds.select(k), footer.bounds.select(k + 1)
+        return footer.doc_ids(k, k + 1)[0], start, _ids(file, footer, start, stop)
+
+
 def read_file(path: str) -> Iterator[tuple[list[int | None], np.ndarray, np.ndarray]]:
-    """Runs of documents: doc_ids, their first positions (one more) and their ids."""
+    """Runs of documents: doc_ids, their first positions (one more) and their ids; one block of bounds at a time."""
     store, at = _open(path)
     with store.open_input_file(at) as file:
-        size = file.size()
-        tail = file.read_at(12, size - 12)
-        if tail[4:] != MAGIC:
-            raise ValueError(f"{path} is not a token file")
-        n = int.from_bytes(tail[:4], "little")
-        head = json.loads(file.read_at(n, size - 12 - n))
-        one, two = (sum(head[k]["bytes"]) for k in ("bounds", "docs"))
-        start = size - 12 - n - one - two
-        bounds = EliasFano.load(head["bounds"], file.read_at(one, start)).all().astype(np.int64)
-        shifted = EliasFano.load(head["docs"], file.read_at(two, start + one)).all()
-        docs = (shifted + np.uint64(head["least"] & 0xFFFFFFFFFFFFFFFF)).astype(np.int64)
-        doc_ids = [None] * head["nulls"] + docs.tolist()
-        width, i = head["id_bytes"], 0
-        while i < len(doc_ids):
-            j = max(i + 1, int(np.searchsorted(bounds, bounds[i] + READ // 4, "right")) - 1)
-            j = min(j, len(doc_ids))
-            raw = file.read_at(int(bounds[j] - bounds[i]) * width, int(bounds[i]) * width)
-            yield doc_ids[i:j], bounds[i : j + 1], np.frombuffer(raw, f"<u{width}")
-            i = j
+        footer = _footer(file, path)
+        n = footer.bounds.n - 1
+        for first in range(0, n, BLOCK):
+            last = min(first + BLOCK, n)
+            bounds = footer.bounds.between(first, last + 1).astype(np.int64)
+            doc_ids, i = footer.doc_ids(first, last), 0
+            while i < last - first:
+                j = max(i + 1, int(np.searchsorted(bounds, bounds[i] + READ // 4, "right")) - 1)
+                j = min(j, last - first)
+                yield doc_ids[i:j], bounds[i : j + 1], _ids(file, footer, int(bounds[i]), int(bounds[j]))
+                i = j
 
 
 def write_tokens(df: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2) -> list[dict]:

@@ -15,7 +15,10 @@ document's language. Every ``MIX``-th chain is joined with the next chain of
 another language, so that switches occur. The objective is the conditional
 log-likelihood with an L2 penalty, climbed by ``STEPS`` AdaGrad steps over the
 whole sample. The sample is bounded: about ``MAX_DOCS`` documents of each
-language, those with the least hashes of their ids. The hash table and the
+language, those with the least hashes of id and text, of at most ``MAX_CHARS``
+characters each (a longer one is labelled like any other, but not learned from;
+a language with longer ones only is not learned); equal rows count once. The
+sample is all that reaches the driver. The hash table and the
 ``LEXICON`` most frequent words bound the model, which is broadcast.
 
 Scale: one pass to count languages, one to fetch the sample, one to label;
@@ -42,6 +45,7 @@ from pyspark.sql import functions as F
 from daybook.llm.textbytes import chunks, hashes, prefix, ragged, texts_of, words
 
 MAX_DOCS = 150
+MAX_CHARS = 200_000
 LEXICON = 4000
 BITS = 16
 GRAMS = (2, 3, 4)
@@ -209,15 +213,15 @@ def train(texts: list[str], langs: list[str]) -> Model:
 def fit(df: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_docs: int = MAX_DOCS) -> Model:
     """Train on about ``max_docs`` documents of each language among the rows that ``may_learn`` allows."""
     rows = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), may_learn.alias("may"))
-    rows = rows.where("may and lang is not null and text is not null")
+    rows = rows.where("may and lang is not null and text is not null").where(F.char_length("text") <= MAX_CHARS)
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return train([], [])
-    spot = F.pmod(F.xxhash64("doc_id", "lang"), F.lit(1 << 30))
+    spot = F.pmod(F.xxhash64("doc_id", "lang", "text"), F.lit(1 << 30))
     chosen = F.lit(False)
     for lang, n in sorted(counts.items()):
         chosen = chosen | ((F.col("lang") == lang) & (spot < int(min(1.0, max_docs / n) * (1 << 30))))
-    sample = sorted((r["doc_id"] or 0, r["lang"], r["text"]) for r in rows.where(chosen).select("doc_id", "lang", "text").collect())
+    sample = sorted((r["doc_id"] or 0, r["lang"], r["text"]) for r in rows.where(chosen).select("doc_id", "lang", "text").distinct().collect())
     return train([r[2] for r in sample], [r[1] for r in sample])
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import itertools
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -99,6 +99,7 @@ def test_elias_fano_returns_its_values(values):
     assert again.all().tolist() == values.tolist()
     for i in range(0, len(values), 97):
         assert again.select(i) == int(values[i])
+        assert again.between(i, min(i + 300, len(values))).tolist() == values[i : i + 300].tolist()
 
 
 def test_elias_fano_is_near_minimal():
@@ -119,6 +120,23 @@ def test_token_files_of_edge_cases(edges, library):
     assert sorted((r["doc_id"] is not None, r["doc_id"] or 0, np.frombuffer(r["ids"], "<u4").tolist()) for r in rows) == want
 
 
+def test_documents_of_the_table_by_select(spark, documents, library, tmp_path):
+    """Every document of the whole table, read one by one and in blocks, against the library; no sequence is unpacked whole."""
+    texts = {r["doc_id"]: r["text"] for r in documents.select("doc_id", "text").collect()}
+    path = f"file://{tmp_path}/tokens"
+    files = elias_fano.write_tokens(documents.select("doc_id", "text"), path, BPE)
+    want = {d: library.encode(t or "", add_special_tokens=False).ids + [2] for d, t in texts.items()}
+    seen = {}
+    for f in files:
+        for k in range(0, f["n_docs"], 7):
+            doc, start, ids = elias_fano.document_at(f"{path}/{f['file']}", k)
+            assert ids.tolist() == want[doc]
+            seen[doc] = f["start"] + start
+    rows = elias_fano.read_tokens(spark, path).collect()
+    assert {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in rows} == want
+    assert all(r["start"] == seen[r["doc_id"]] for r in rows if r["doc_id"] in seen) and seen
+
+
 def test_token_files_of_an_empty_table(empty):
     assert elias_fano.round_trip(empty, BPE).collect() == []
 
@@ -126,6 +144,26 @@ def test_token_files_of_an_empty_table(empty):
 # ---------------------------------------------------------------- 4: packing
 
 
+def test_most_ids_stay_where_the_rule_placed_them():
+    """Ids cut anew at a task's end: few, also for a task of few documents; nothing is padded."""
+    rng = np.random.default_rng(7)
+    for docs, most in ((300, 0.25), (3000, 0.1)):
+        bins = packing.SumOfSquares(2048)
+        sizes = np.minimum(rng.lognormal(6, 1.2, docs).astype(int) + 1, 20_000)
+        out, total = [], 0
+        for d, n in enumerate(sizes.tolist()):
+            rest = n % 2048
+            total += n
+            if rest and (full := bins.place((d, n - rest, n, np.arange(rest)))):
+                out.append(full)
+        out += list(bins.drain())
+        lengths = [sum(len(p[3]) for p in s) for s in out]
+        assert sum(lengths) == int((sizes % 2048).sum()) and all(x == 2048 or x & (x - 1) == 0 for x in lengths)
+        assert sum(x < 2048 for x in lengths) <= 11 and bins.cut <= most * total
+        ids = Counter((p[0], p[1] + k) for s in out for p in s for k in range(len(p[3])))
+        assert set(ids.values()) == {1}
+
+
 def test_a_placement_keeps_the_sum_of_squares_least():
     rng = np.random.default_rng(3)
     bins = packing.SumOfSquares(24)
@@ -307,9 +345,10 @@ def test_language_of_edge_cases(spark, edges, empty):
 def _contained(docs, items):
     out = []
     for i, t in items:
-        x = brute.shingles(t, 5)
+        size = min(5, max(1, len(brute.WORD.findall(t or ""))))  # a short item has shingles of its own length
+        x = brute.shingles(t, size)
         for d, u in docs:
-            both = len(x & brute.shingles(u, 5))
+            both = len(x & brute.shingles(u, size))
             if both and 100 * both >= 80 * len(x):
                 out.append((d is None, d or 0, i is None, i or 0, len(x), both))
     return sorted(out)
@@ -326,6 +365,7 @@ def test_containment_of_edge_cases(spark, edges, empty, monkeypatch):
     items = [
         (1, " ".join(words[900:940])), (2, " ".join(words[5000:5009]).upper()), (3, None), (4, ""), (5, "one two three four"), (6, "no such passage is in any text of these"),
         (None, " ".join(words[10:60])), (7, " ".join(words[10:60])), (7, " ".join(words[10:60])), (8, " ".join(words[100:130] + ["changed"] + words[131:145])), (9, " ".join(words[200:206])),
+        (10, " ".join(words[300:304])), (11, " ".join(words[400:402])), (12, words[7]), (13, " ".join(words[600:612])), (14, " ".join(words[700:712] + ["off"] + words[712:716])),
     ]
     frame = spark.createDataFrame(items, "item_id bigint, text string")
     want = _contained(texts, items)
@@ -334,10 +374,27 @@ def test_containment_of_edge_cases(spark, edges, empty, monkeypatch):
     monkeypatch.setattr(decontam, "ITEMS", 3)  # several blocks
     assert _found(edges, frame) == want
     kept = decontam.keep(edges, frame)
-    assert kept.columns == edges.columns and kept.count() == len(texts) - sum((d is None, d or 0) in {w[:2] for w in want} for d, _ in texts)
+    acts = _contained(texts, [(i, t) for i, t in items if len((t or "").split()) >= decontam.KEEP_WORDS])
+    assert kept.columns == edges.columns and kept.count() == len(texts) - sum((d is None, d or 0) in {w[:2] for w in acts} for d, _ in texts)
     assert decontam.find(empty, frame).collect() == [] and decontam.find(edges, frame.where("false")).collect() == []
 
 
+def test_items_that_share_their_beginning_are_found_by_the_rest(spark):
+    """Shingles that very many items share are no keys; every item is still found, with nine words in ten as well."""
+    rng = np.random.default_rng(5)
+    word = lambda: "w" + str(rng.integers(10**6))
+    head = " ".join(word() for _ in range(30))
+    items = [(i, head + " " + " ".join(word() for _ in range(25))) for i in range(300)]
+    some = [items[i][1].split() for i in (3, 77)]
+    some[1][40] = "other"
+    docs = [(0, " ".join(word() for _ in range(3000))), (1, " ".join([word() for _ in range(2000)] + some[0] + [word() for _ in range(900)])), (2, " ".join(some[1])), (3, head)]
+    index = decontam.Index(items, 5, 80)
+    keys, begin, _, _ = index.tables[0]
+    assert np.diff(begin).max() == 1  # the head's shingles are left out
+    got = _found(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert got == _contained(docs, items) and {(g[1], g[3]) for g in got} == {(1, 3), (2, 77)}
+
+
 def test_containment_on_the_tables(spark):
     docs, items = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "benchmark"))
     want = _contained([tuple(r) for r in docs.select("doc_id", "text").collect()], [tuple(r) for r in items.select("item_id", "text").collect()])
