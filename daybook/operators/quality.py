@@ -295,6 +295,13 @@ def malformed_row(spark, malformed: int, records: int) -> DataFrame:
     return spark.createDataFrame([row], REPORT_SCHEMA)
 
 
+def outside_window_row(spark, outside: int, records: int) -> DataFrame:
+    """A report row for dated records that a load left out, being before its window."""
+    share = outside / records * 100.0 if records else 0.0
+    row = ("load_window", "records before the window", outside, share, "warning" if outside else "ok", None)
+    return spark.createDataFrame([row], REPORT_SCHEMA)
+
+
 def silver_verdict(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     """The silver gate's checks; any NULL or duplicate is an error."""
     k, d, v = spec.k, spec.d, spec.v

@@ -28,10 +28,11 @@ from daybook.sinks.tables import (
     discard,
     overwrite_table,
     path_exists,
+    quarantine_path,
     read_table,
     stage,
 )
-from daybook.sources.incremental import incremental_batch, watermark_value
+from daybook.sources.incremental import batch_bounds, incremental_batch, watermark_value
 from daybook.sources.payload import (
     BRONZE_SCHEMA,
     BRONZE_TABLE_SCHEMA,
@@ -54,11 +55,7 @@ class BronzeResult:
     report: DataFrame | None
     written: DataFrame | None
     quarantined: int = 0
-
-
-def quarantine_path(bronze_path: str) -> str:
-    """Records that were not accepted, with reason and source file."""
-    return f"{bronze_path.rstrip('/')}.__quarantine"
+    outside_window: int = 0  # dated records before the load window, left out
 
 
 def _ledger_path(bronze_path: str) -> str:
@@ -77,7 +74,8 @@ def _landed_files(spark: SparkSession, landing: str, bronze_path: str) -> DataFr
     file that was written anew is a new file.
     """
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(landing)
-    files = listed.select(F.col("path").alias("source_file"), F.col("modificationTime").alias("modified"))
+    # the same spelling of a path as in the records read from it
+    files = listed.select(F.col("_metadata.file_path").alias("source_file"), F.col("modificationTime").alias("modified"))
     ledger = _ledger_path(bronze_path)
     if not path_exists(spark, ledger):
         return files.withColumn("seen", F.lit(False))
@@ -102,23 +100,27 @@ def run_bronze(
     is checked, whatever its date; records that do not meet the declared schema
     (malformed payloads, NULLs in its columns) go to the quarantine table with
     reason and source file, the others are appended. The report covers both.
-    In strict mode an error row stops the run before anything is published;
-    its files stay unread for the next run.
+    Rates dated before the load window (at or before the watermark, or older
+    than ``years_back``) are left out, as A4 asks; the report and the result
+    count them. In strict mode an error row stops the run before anything is
+    published; its files stay unread for the next run.
+
+    The list of files stays a table: it is joined with the records, and only its
+    earliest modification time comes to the driver, to skip older files unread.
     """
     exists = path_exists(spark, bronze_path)
     wm = watermark_value(read_table(spark, bronze_path, BRONZE_TABLE_SCHEMA), spec.d) if exists else None
     if wm is not None and wm >= as_of:
         return BronzeResult("up_to_date", True, None, None)
-    files = _landed_files(spark, landing, bronze_path).collect()  # the names of this run's files
-    if not files:
+    names = _landed_files(spark, landing, bronze_path).checkpoint(eager=True)  # this run's files
+    earliest = names.agg(F.date_format(F.min("modified") - F.expr("interval 1 second"), "yyyy-MM-dd'T'HH:mm:ss").alias("t")).first()["t"]
+    if earliest is None:
         return BronzeResult("empty", True, None, None)
-    names = spark.createDataFrame([(f["source_file"], f["modified"], f["seen"]) for f in files], "source_file string, modified timestamp, seen boolean")
-    rows = flatten_landed(read_landed(spark, [f["source_file"] for f in files]))
-    path = lambda c: F.regexp_replace(F.col(c), "^file:/+", "file:///")  # noqa: E731 - both spellings of a local URI
-    rows = rows.join(names.select(path("source_file").alias("_f"), "seen"), path(SOURCE_FILE) == F.col("_f"), "left")
+    landed = read_landed(spark, landing, modified_after=earliest)
+    rows = flatten_landed(landed).join(names.select(SOURCE_FILE, "seen"), SOURCE_FILE)
     dated = parsed_date(spec.d).isNotNull()
     due = incremental_batch(rows, spec.d, as_of, watermark=wm, years_back=spec.years_back).where(dated)
-    undated = rows.where(~dated & ~F.coalesce("seen", F.lit(False)))
+    undated = rows.where(~dated & ~F.col("seen"))
     tagged = due.unionByName(undated).withColumn("quarantine_reason", quarantine_reason(BRONZE_SCHEMA.names))
     batch = tagged.select(*BRONZE_SCHEMA.names, CORRUPT, SOURCE_FILE, "quarantine_reason")
     # parsed once, into staging beside the table; the report and the split read the staged files
@@ -126,11 +128,18 @@ def run_bronze(
     try:
         checked = read_table(spark, staged)
         counts = checked.agg(F.count(F.lit(1)).alias("n"), F.count("quarantine_reason").alias("bad"), F.count(CORRUPT).alias("malformed")).first()
+        # per file: dates that a later run takes, and those that no run will
+        low, _, inclusive = batch_bounds(as_of, wm, spec.years_back)
+        before = (F.col(spec.d) < low) if inclusive else (F.col(spec.d) <= low)
+        by_file = rows.where(dated).groupBy(SOURCE_FILE).agg(F.count_if(F.col(spec.d) > F.lit(as_of)).alias("later"), F.count_if(before & ~F.col("seen")).alias("before"))
+        by_file = by_file.checkpoint(eager=True)
+        outside = by_file.agg(F.coalesce(F.sum("before"), F.lit(0)).alias("n")).first()["n"]
         report = None
         valid = True
         if run_quality_checks and counts["n"]:
             report = quality.quality_report(checked.where(F.col(CORRUPT).isNull()), spec, expected=expected)
             report = report.unionByName(quality.malformed_row(spark, counts["malformed"], counts["n"]))
+            report = report.unionByName(quality.outside_window_row(spark, outside, outside + counts["n"]))
             # kept in the shared folder: the files it reads are removed below
             report = report.checkpoint(eager=True)
             valid = quality.enforce(report, strict=spec.thresholds.strict_mode)
@@ -142,13 +151,12 @@ def run_bronze(
             written = read_table(spark, bronze_path, BRONZE_TABLE_SCHEMA).agg(
                 F.lit(counts["n"] - counts["bad"]).cast("long").alias("written"), F.count(F.lit(1)).alias("table_total")
             )
-        later = rows.where(dated & (F.col(spec.d) > F.lit(as_of))).select(F.col("_f")).distinct()
-        taken = names.join(later, path("source_file") == F.col("_f"), "left").select("source_file", "modified", F.col("_f").isNull().alias("done"))
+        taken = names.join(by_file, SOURCE_FILE, "left").select(SOURCE_FILE, "modified", (F.coalesce("later", F.lit(0)) == 0).alias("done"))
         append_table(taken.coalesce(1), _ledger_path(bronze_path))
     finally:
         discard(spark, staged)
     mode = "empty" if not counts["n"] else "incremental" if wm is not None else "full"
-    return BronzeResult(mode, valid, report, written, counts["bad"])
+    return BronzeResult(mode, valid, report, written, counts["bad"], outside)
 
 
 def run_silver(spark: SparkSession, bronze_path: str, silver_path: str, spec: SeriesSpec = RATE_SPEC) -> DataFrame:

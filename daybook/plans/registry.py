@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from daybook.operators import gold, marts, quality, silver
 from daybook.plans import bindings as B
+from daybook.plans import mechanisms
 from daybook.sinks import tables as sinks
 from daybook.sources import incremental, payload
 from daybook.spec import SeriesSpec, Thresholds
@@ -390,3 +391,6 @@ QUERIES: dict[str, Query] = {
     "create_or_replace_view": q_create_or_replace_view,
     "write_verification": q_write_verification,
 }
+
+# the mechanisms beyond the inventory: joins in time, merged tables, incremental gold
+QUERIES.update(mechanisms.QUERIES)

@@ -9,6 +9,11 @@ session without a checkpoint folder is an error.
 
 An appended batch is one directory below the table (``batch-<id>``), published
 by a single rename: a reader sees all of it or nothing.
+
+A replace renames the old table aside and the new one in. Where the process ends
+between the two, the table is only there under its name aside: ``read_table``
+reads it there, and the next write puts it back first (``recover``). A table has
+one writer at a time.
 """
 
 from __future__ import annotations
@@ -62,13 +67,50 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def quarantine_path(bronze_path: str) -> str:
+    """Records of a bronze table that were not accepted, with reason and source file."""
+    return f"{bronze_path.rstrip('/')}.__quarantine"
+
+
+def report_path(bronze_path: str) -> str:
+    """Quality reports of a bronze table's streamed batches."""
+    return f"{bronze_path.rstrip('/')}.__reports"
+
+
+def _set_aside(spark: SparkSession, path: str) -> list:
+    """Old versions of a table that a replace left under their names aside, newest first."""
+    fs, p = _fs(spark, path)
+    found = fs.globStatus(_path(spark, f"{path.rstrip('/')}.__replaced-*"))
+    return sorted(found or [], key=lambda f: f.getModificationTime(), reverse=True)
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Put back a table whose replace was interrupted; True if there was one.
+
+    Old versions left behind by a replace that did happen are deleted. Writers
+    call it before they touch a table.
+    """
+    fs, target = _fs(spark, path)
+    aside = _set_aside(spark, path)
+    back = bool(aside) and not fs.exists(target)
+    if back:
+        _move(fs, aside.pop(0).getPath(), target, "put the old table back")
+    for f in aside:
+        fs.delete(f.getPath(), True)
+    return back
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None, merge: bool = False) -> DataFrame:
     """Read a table written by these sinks, all of its batches.
 
     Pass ``schema`` where the columns are known (no footer is read, and a table
     without files reads as empty), or ``merge`` for a table whose appended
-    batches added columns (NULL for older batches; reads every footer).
+    batches added columns (NULL for older batches; reads every footer). A table
+    that an interrupted replace left aside is read there.
     """
+    if not path_exists(spark, path):
+        aside = _set_aside(spark, path)
+        path = aside[0].getPath().toString() if aside else path
     reader = spark.read.option("recursiveFileLookup", "true")
     if schema is not None:
         return reader.schema(schema).parquet(path)
@@ -92,6 +134,7 @@ def append_table(df: DataFrame, path: str) -> None:
 def append_staged(spark: SparkSession, staged: str, path: str) -> str:
     """Publish a staged write as one batch directory of ``path``: one rename,
     whatever the number of files; no row is read or copied again."""
+    recover(spark, path)
     fs, target = _fs(spark, path)
     fs.mkdirs(target)
     batch = f"{path.rstrip('/')}/batch-{uuid.uuid4().hex[:12]}"
@@ -124,7 +167,9 @@ def stage(df: DataFrame, path: str, observation: Observation | None = None) -> s
 def publish_staged(spark: SparkSession, staged: str, path: str) -> DataFrame:
     """Swap a staged directory in as ``path``: the old table is renamed aside,
     the new one renamed in, and only then the old one deleted. If the second
-    rename fails the old table is put back."""
+    rename fails the old table is put back; if the process ends before it, the
+    next read or write finds the old table aside."""
+    recover(spark, path)
     fs, target = _fs(spark, path)
     src, aside = _path(spark, staged), None
     if fs.exists(target):
@@ -163,16 +208,67 @@ def _location(spark: SparkSession, name: str) -> str | None:
     return rows[0]["data_type"] if rows else None
 
 
+def _note(spark: SparkSession, base: str, text: str | None) -> str | None:
+    """Write (or, without a text, read) the version that a replacement is about to point the table to."""
+    fs, p = _fs(spark, f"{base.rstrip('/')}/_pending")
+    if text is None:
+        if not fs.exists(p):
+            return None
+        stream = fs.open(p)
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+    stream = fs.create(p, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    return text
+
+
+def _drop_note(spark: SparkSession, base: str) -> None:
+    fs, p = _fs(spark, f"{base.rstrip('/')}/_pending")
+    fs.delete(p, False)
+
+
+def _versions(spark: SparkSession, name: str, path: str | None) -> str:
+    return path or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}.__versions"
+
+
+def open_table(spark: SparkSession, name: str, path: str | None = None) -> DataFrame:
+    """The table, after completing a replacement that was interrupted between its drop and its creation."""
+    base = _versions(spark, name, path)
+    pending = _note(spark, base, None)
+    if pending is not None:
+        if not spark.catalog.tableExists(name):
+            _create(spark, name, pending)
+        elif _location(spark, name).rstrip("/").rsplit("/", 1)[-1] != pending.rsplit("/", 1)[-1]:
+            discard(spark, pending)  # the drop never happened: the old version stays
+        _drop_note(spark, base)
+    return spark.table(name)
+
+
+def _create(spark: SparkSession, name: str, version: str) -> None:
+    spark.catalog.createTable(name, path=version, source="parquet")
+
+
 def create_or_replace_table_as(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """``CREATE OR REPLACE TABLE name AS`` - replaces rows and columns.
 
     The data is written once, to a version directory of its own (below
     ``path``, or below the warehouse), and the table is then pointed there, so
-    a query that reads ``name`` itself can replace it. The version it replaces
-    is deleted last; a failed write leaves the table as it was.
+    a query that reads ``name`` itself can replace it. Where the columns stay
+    the same this is one change of the table's location. Otherwise the table
+    is dropped and created anew; the new version is noted first, so that
+    ``open_table`` or the next replacement completes one that was interrupted.
+    The version it replaces is deleted last; a failed write leaves the table as
+    it was.
     """
     spark = df.sparkSession
-    base = path or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}.__versions"
+    base = _versions(spark, name, path)
+    if _note(spark, base, None) is not None:
+        open_table(spark, name, path)
     version = f"{base.rstrip('/')}/version-{uuid.uuid4().hex[:12]}"
     try:
         df.write.parquet(version)
@@ -180,9 +276,16 @@ def create_or_replace_table_as(df: DataFrame, name: str, path: str | None = None
         discard(spark, version)
         raise
     old = _location(spark, name)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=version, source="parquet")
-    if old and "/version-" in old:
+    ours = bool(old) and "/version-" in old
+    if ours and spark.table(name).dtypes == df.dtypes:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
+        spark.catalog.refreshTable(name)
+    else:
+        _note(spark, base, version)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        _create(spark, name, version)
+        _drop_note(spark, base)
+    if ours:
         discard(spark, old)
     return spark.table(name)
 

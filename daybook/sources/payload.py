@@ -63,15 +63,26 @@ def read_payloads(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.read.schema(PAYLOAD_SCHEMA).json(path if isinstance(path, str) else list(path))
 
 
-def read_landed(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """``read_payloads`` with the text of malformed records (``_corrupt_record``)
-    and the file of every record (``source_file``)."""
+def landed_reader(reader):
+    """A batch or stream reader that keeps the text of malformed records."""
     full = T.StructType([*PAYLOAD_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
-    reader = spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-    rows = reader.json(path if isinstance(path, str) else list(path))
+    return reader.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+
+
+def with_source_file(rows: DataFrame) -> DataFrame:
     return rows.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
 
 
+def read_landed(spark: SparkSession, path: str | Sequence[str], modified_after: str | None = None) -> DataFrame:
+    """``read_payloads`` with the text of malformed records (``_corrupt_record``)
+    and the file of every record (``source_file``); optionally only files
+    modified after a time (``yyyy-MM-ddTHH:mm:ss``, session time zone)."""
+    reader = landed_reader(spark.read).option("recursiveFileLookup", "true")
+    if modified_after is not None:
+        reader = reader.option("modifiedAfter", modified_after)
+    return with_source_file(reader.json(path if isinstance(path, str) else list(path)))
+
+
 def flatten_landed(landed: DataFrame) -> DataFrame:
     """A1 on ``read_landed`` rows: one row per rate, and one for every malformed
     record (all columns NULL but its text and file), so none is lost."""

@@ -285,3 +285,124 @@ def test_scratch_needs_a_shared_folder():
 
     with pytest.raises(ValueError):
         sinks.shared_dir(Unset)
+
+
+def test_bronze_counts_records_before_the_load_window(spark, tmp_dir):
+    landing, bronze = f"{tmp_dir}/landing", f"{tmp_dir}/bronze"
+    _landing(spark, landing, [_payload("USD", ["2015-01-02", "2024-01-02", "2024-01-09"])])
+    first = pipeline.run_bronze(spark, landing, bronze, "2024-01-03", RATE)
+    assert (first.outside_window, first.written.first()["written"]) == (1, 1)  # 2015 is older than the years back
+    row = first.report.where("check = 'load_window'").first()
+    assert row[2] == 1 and row["severity"] == "warning"
+    # a file of old days in an incremental run; the first file's later day is taken, its old ones not counted again
+    _landing(spark, f"{landing}/below", [_payload("EUR", ["2023-12-31", "2024-01-02", "2024-01-04"])])
+    second = pipeline.run_bronze(spark, landing, bronze, "2024-01-10", RATE)
+    assert (second.outside_window, second.written.first()["written"]) == (2, 2)
+    assert pipeline.run_bronze(spark, landing, bronze, "2024-02-10", RATE).mode == "empty"
+
+
+def test_stream_keeps_what_it_cannot_accept(spark, tmp_dir):
+    """Malformed lines and NULL values end in quarantine, across a restart, with the report."""
+    landing, bronze = f"{tmp_dir}/landing", f"{tmp_dir}/bronze"
+    null_mid = _payload("USD", ["2024-01-02", "2024-01-03"])
+    null_mid["rates"][1]["mid"] = None
+    _lines(spark, landing, [json.dumps(null_mid), '{"code": "EUR", "rates": [{"no": "E1", "effectiveDate": "2024-0'])
+    reports = {}
+    start_bronze_ingest(spark, landing, bronze, RATE, on_report=lambda e, r: reports.update({e: r.where("check = 'malformed_check'").first()[2]})).awaitTermination(120)
+    _lines(spark, landing, ["not json at all", json.dumps(_payload("GBP", ["2024-01-02"]))])
+    start_bronze_ingest(spark, landing, bronze, RATE).awaitTermination(120)
+    assert rows_of(sinks.read_table(spark, bronze), "currency_code", "effectiveDate") == [("GBP", "2024-01-02"), ("USD", "2024-01-02")]
+    kept = sinks.read_table(spark, sinks.quarantine_path(bronze))
+    assert rows_of(kept, "quarantine_reason") == [("malformed",), ("malformed",), ("null:mid",)]
+    assert kept.where("source_file is null or (quarantine_reason = 'malformed' and _corrupt_record is null)").count() == 0
+    assert kept.where("_corrupt_record = 'not json at all'").count() == 1
+    assert list(reports.values()) == [1]
+    stored = sinks.read_table(spark, sinks.report_path(bronze)).where("check = 'malformed_check'")
+    assert stored.count() == 2 and stored.where("severity = 'error'").count() == 2
+    # nothing has landed: nothing is written twice
+    start_bronze_ingest(spark, landing, bronze, RATE).awaitTermination(120)
+    assert sinks.read_table(spark, bronze).count() == 2 and kept.count() == 3
+
+
+def test_stream_can_set_a_bad_batch_aside(spark, tmp_dir):
+    landing, bronze = f"{tmp_dir}/landing", f"{tmp_dir}/bronze"
+    bad = _payload("USD", ["2024-01-02"])
+    bad["rates"][0]["mid"] = -1.0
+    _landing(spark, landing, [bad])
+    strict = SeriesSpec(thresholds=Thresholds(strict_mode=True, min_expected_records=1))
+    with pytest.raises(Exception):
+        start_bronze_ingest(spark, landing, bronze, strict).awaitTermination(120)
+    _landing(spark, landing, [_payload("EUR", ["2024-01-02"])])
+    start_bronze_ingest(spark, landing, bronze, strict, on_gate="quarantine").awaitTermination(120)  # judges the first batch again
+    assert rows_of(sinks.read_table(spark, bronze), "currency_code") == [("EUR",)]
+    assert rows_of(sinks.read_table(spark, sinks.quarantine_path(bronze)), "currency_code", "quarantine_reason") == [("USD", "gate")]
+    with pytest.raises(ValueError):
+        start_bronze_ingest(spark, landing, bronze, strict, on_gate="ignore")
+
+
+class _Ended(BaseException):
+    """The process ends here: no handler of the library runs."""
+
+
+def _ending(monkeypatch, name, after=0):
+    calls, real = [], getattr(sinks, name)
+
+    def step(*a):
+        calls.append(a)
+        if len(calls) > after:
+            raise _Ended
+        return real(*a)
+
+    monkeypatch.setattr(sinks, name, step)
+
+
+def test_an_interrupted_replace_is_read_and_put_back(spark, tmp_dir, monkeypatch):
+    sinks.overwrite_table(series(spark, [("a", "2024-01-01", 1.0)]), tmp_dir)
+    with monkeypatch.context() as m:
+        _ending(m, "_move", after=1)  # between the two renames
+        with pytest.raises(_Ended):
+            sinks.overwrite_table(series(spark, [("b", "2024-01-01", 1.0)]), tmp_dir)
+    assert not sinks.path_exists(spark, tmp_dir)
+    assert rows_of(sinks.read_table(spark, tmp_dir), "k") == [("a",)]  # readable at once
+    sinks.append_table(series(spark, [("c", "2024-01-01", 1.0)]), tmp_dir)  # a write puts it back first
+    assert rows_of(sinks.read_table(spark, tmp_dir), "k") == [("a",), ("c",)]
+    out = sinks.overwrite_table(series(spark, [("d", "2024-01-01", 1.0)]), tmp_dir)
+    assert rows_of(out, "k") == [("d",)] and not sinks._set_aside(spark, tmp_dir)
+
+
+def test_a_replace_that_ended_before_its_clean_up(spark, tmp_dir, monkeypatch):
+    sinks.overwrite_table(series(spark, [("a", "2024-01-01", 1.0)]), tmp_dir)
+    with monkeypatch.context() as m:
+        _ending(m, "_move", after=1)
+        with pytest.raises(_Ended):
+            sinks.overwrite_table(series(spark, [("b", "2024-01-01", 1.0)]), tmp_dir)
+    series(spark, [("new", "2024-01-01", 1.0)]).write.parquet(tmp_dir)  # as if the second rename had happened
+    assert sinks.recover(spark, tmp_dir) is False and not sinks._set_aside(spark, tmp_dir)
+    assert rows_of(sinks.read_table(spark, tmp_dir), "k") == [("new",)]
+
+
+def test_an_interrupted_ctas_is_completed(spark, tmp_dir, monkeypatch):
+    name, path = "t_end_" + tmp_dir.rsplit("-", 1)[-1], f"{tmp_dir}/ctas"
+    try:
+        sinks.create_or_replace_table_as(series(spark, [("a", "2024-01-01", 1.0)]), name, path)
+        with monkeypatch.context() as m:
+            _ending(m, "_create")  # other columns: dropped, not yet created
+            with pytest.raises(_Ended):
+                sinks.create_or_replace_table_as(series(spark, [("b", "2024-01-01", 2.0)]).select("k"), name, path)
+        assert not spark.catalog.tableExists(name)
+        assert rows_of(sinks.open_table(spark, name, path)) == [("b",)]
+        with monkeypatch.context() as m:
+            _ending(m, "_create")
+            with pytest.raises(_Ended):
+                sinks.create_or_replace_table_as(series(spark, [("c", "2024-01-01", 2.0)]).select("v"), name, path)
+        t = sinks.create_or_replace_table_as(series(spark, [("d", "2024-01-01", 2.0)]).select("k"), name, path)  # completes it first
+        assert rows_of(t) == [("d",)]
+        # the same columns: one change of the location, the table is there at every moment
+        dropped = []
+        real = spark.sql
+        with monkeypatch.context() as m:
+            m.setattr(type(spark), "sql", lambda self, q, *a, **k: dropped.append(q) or real(q, *a, **k))
+            t = sinks.create_or_replace_table_as(spark.table(name).select(F.upper("k").alias("k")), name, path)
+        assert rows_of(t) == [("D",)] and not [q for q in dropped if q.startswith("DROP")]
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
