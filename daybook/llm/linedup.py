@@ -141,19 +141,6 @@ def fine_probe(size: int, levels: Levels, line: str = "line", length: str = "n")
     return F.expr(f"array_distinct(array_compact(concat({', '.join(arrays)})))")
 
 
-def pieces_shared(a: str, b: str, threshold: int) -> Column:
-    """Whether line b holds all but ``threshold`` of the pieces of line a, each at most ``threshold`` places off.
-
-    So many edits lose that many pieces at most: a pair that fails here is not
-    within the threshold. It takes a few comparisons of substrings.
-    """
-    n = 4 * (threshold + 1)
-    start, size = f"cast(n * j div {n} as int)", f"cast(n * (j + 1) div {n} as int) - cast(n * j div {n} as int)"
-    there = f"exists(sequence({-threshold}, {threshold}), s -> z.at + s >= 0 and substring({b}, z.at + s + 1, z.size) = substring({a}, z.at + 1, z.size))"
-    found = _let(f"named_struct('at', {start}, 'size', {size})", "z", there)
-    return F.expr(_let(f"char_length({a})", "n", f"size(filter(sequence(0, {n - 1}), j -> {found})) >= {n - threshold}"))
-
-
 def _shared(a: str, b: str, most: str, cut_of: str) -> str:
     """SQL of how many leading (or trailing) characters two lines share, at most ``most``, by halving steps."""
     part = {"head": "substring({0}, p + 1, shiftleft(1, k))", "tail": "substring({0}, char_length({0}) - p - shiftleft(1, k) + 1, shiftleft(1, k))"}[cut_of]
@@ -162,6 +149,28 @@ def _shared(a: str, b: str, most: str, cut_of: str) -> str:
     return f"aggregate({steps}, 0, (p, k) -> {longer})"
 
 
+def reaches(a: str, b: str, threshold: int) -> Column:
+    """Whether ``threshold`` edits can lead from the start of both lines to their ends.
+
+    For each number of edits and each diagonal, the furthest place reached: one
+    edit on, then as far as both lines agree, found by halving steps. A few
+    dozen comparisons of substrings, so that a pair which shares long parts but
+    has too many edits costs no pass over its characters.
+    """
+    k = threshold
+    same = "substring(u.a, c + p + 1, shiftleft(1, h)) = substring(u.b, c + g + p + 1, shiftleft(1, h))"
+    most = "least(u.n - c, u.m - c - g)"
+    agree = f"aggregate(sequence(cast(floor(log2(greatest({most}, 1))) as int), 0, -1), 0, (p, h) -> if(p + shiftleft(1, h) <= {most} and {same}, p + shiftleft(1, h), p))"
+    onward = lambda place: _let(place, "c", f"if(c is null, cast(null as int), c + {agree})")
+    begin = f"transform(sequence({-k}, {k}), g -> {onward('if(g = 0, 0, cast(null as int))')})"
+    before = f"get(far, g + {k}), get(far, g + {k - 1}), get(far, g + {k + 1})"  # null: not reached
+    furthest = f"least(greatest(get(far, g + {k}) + 1, get(far, g + {k - 1}), get(far, g + {k + 1}) + 1), u.n, u.m - g)"
+    step = onward(f"if(coalesce({before}) is null, cast(null as int), {furthest})")
+    whole = f"aggregate(sequence(1, {k}), {begin}, (far, e) -> transform(sequence({-k}, {k}), g -> {step}), far -> coalesce(get(far, u.m - u.n + {k}) >= u.n, false))"
+    pair = f"named_struct('a', {a}, 'b', {b}, 'n', char_length({a}), 'm', char_length({b}))"
+    return F.expr(_let(pair, "u", f"abs(u.n - u.m) <= {k} and {whole}"))
+
+
 def within(a: str, b: str, threshold: int) -> Column:
     """Whether two lines are within the threshold: banded bit-parallel edit distance.
 
@@ -250,7 +259,7 @@ def _near_enough(texts: DataFrame, pairs: DataFrame, levels: Levels) -> DataFram
     both = both.withColumn("most", F.expr(allowed("least(char_length(x), char_length(y))", levels)))
     near = F.lit(False)
     for k in sorted({k for _, k in levels}):
-        near = near | ((F.col("most") == k) & pieces_shared("x", "y", k) & within("x", "y", k))
+        near = near | ((F.col("most") == k) & reaches("x", "y", k) & within("x", "y", k))
     return both.where(near).select(F.col("later").alias("h1")).distinct()
 
 
