@@ -22,20 +22,21 @@ become all their pairs:
 
 1. each line is compared with the earliest line of each of its own index
    entries; one that is verified goes, and needs no other partner;
-2. lines still open meet the other lines of their entries only where an entry
-   has at most ``CROWD`` lines;
-3. lines of crowded entries (lines of a template, say) get finer keys: the
+2. in an entry with more than ``CROWD`` lines, its open lines are compared with
+   the earliest ``PIVOTS`` lines, then with the earliest that are still open; near
+   copies of one line, however many, are settled here, in steps linear in them;
+3. lines still open meet the other lines of their entries where these are not
+   crowded;
+4. lines of crowded entries (lines of a template, say) get finer keys: the
    shorter line is cut into segments of ``FINE`` characters and indexed by the
    t + 1 *rarest* of them. At most t of these are lost to t edits, so the longer
    line, which probes every segment at every place it can have, still meets
-   it. What a template's lines have in common is frequent and therefore no key;
-   a key that is crowded again is cut once more, into the next size.
+   it. What a template's lines have in common is frequent and therefore no key.
 
-A pair leaves a join only if the counts of eight letters and eight digits
+A pair leaves a join only if the counts of 24 letters and eight digits
 differ by at most 2t in all, which t edits imply. No pair is lost in any step.
 Lines of one template meet in pairs only as far as their differing part is
-shorter than about t + 1 segments of the last size (2t + 2 characters); those lie
-within few edits of one another.
+shorter than about t + 1 finer segments.
 
 Texts never enter the joins of entries; the few lines with a shared entry are
 fetched again for the counts, the finer keys and the verification. A side is
@@ -50,7 +51,7 @@ whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from daybook.llm.shared import cut, run_dir
@@ -59,13 +60,16 @@ from daybook.llm.shared import cut, run_dir
 LEVELS = ((24, 1), (64, 2), (512, 3))
 BROADCAST = 1_000_000
 #: An entry with more lines than this is crowded.
-CROWD = 64
+CROWD = 16
+#: Earliest lines of a crowded entry that all of its lines are compared with, and how often.
+PIVOTS, ROUNDS = 8, 2
 #: Lines up to this length read the places of their entries from a table, longer ones work them out.
 TABLED = 4096
 #: Characters of the finer segments, one size after the other.
-FINE = (8, 2)
+FINE = (8,)
 #: Signs whose counts a candidate pair must nearly share, eight to a number.
-SIGNS = ("etaoinhr", "01234567")
+SIGNS = ("etaoinhr", "dlcumfpg", "wybvkxjq", "01234567")
+COUNTS = tuple(f"c{i}" for i in range(len(SIGNS)))
 LAST = (1 << 63) - 1
 
 
@@ -213,7 +217,7 @@ def _counts(line: str, signs: str) -> str:
 
 
 def _bits(a: str, b: str) -> str:
-    return " + ".join(f"bit_count({a}.{c} ^ {b}.{c})" for c in ("letters", "digits"))
+    return " + ".join(f"bit_count({a}.{c} ^ {b}.{c})" for c in COUNTS)
 
 
 def _near(a: str, b: str, levels: Levels) -> str:
@@ -287,10 +291,16 @@ def _meet(levels: Levels) -> Column:
     return F.expr(f"a.key = b.key and a.at.h1 <> b.at.h1 and if(a.at < b.at, b.open, a.open) and {_near('a', 'b', levels)}")
 
 
+def _opened(lines: DataFrame, gone: DataFrame) -> DataFrame:
+    """The lines with ``open``: not yet known to go."""
+    flag = gone.select(F.col("h1").alias("gone_h1"), F.lit(True).alias("gone"))
+    return lines.join(_few(flag), F.col("at.h1") == F.col("gone_h1"), "left").withColumn("open", F.col("gone").isNull()).drop("gone", "gone_h1")
+
+
 def _fine_pairs(lines: DataFrame, size: int, levels: Levels, last: bool) -> tuple[DataFrame, DataFrame | None]:
     """Pairs of lines (at, n, line, counts, open, indexed) by finer keys, and the lines of keys that are crowded again."""
-    own = ("at", "n", "letters", "digits", "open")
-    keyed = cut(lines.where("indexed").select("at", "n", F.explode(F.array_distinct(fine_index(size, levels))).alias("key")))
+    own = ("at", "n", *COUNTS, "open")
+    keyed = lines.where("indexed").select("at", "n", F.explode(F.array_distinct(fine_index(size, levels))).alias("key"))
     often = cut(keyed.groupBy("key").agg(F.count("*").alias("often")))
     rated = keyed.join(often, "key").groupBy("at", "n").agg(F.sort_array(F.collect_list(F.struct("often", "key"))).alias("keys"))
     rarest = F.expr(f"transform(slice(keys, 1, {allowed('n', levels)} + 1), x -> x.key)")  # a line has size(line) / size keys at most
@@ -321,8 +331,8 @@ def near_lines(df: DataFrame, lines: DataFrame, levels: Levels = LEVELS) -> Data
     met = cut(entries.join(_few(shared), "key").groupBy("key", "own", "h1").agg(F.min("at").alias("at")))
     wanted = cut(met.select("h1").distinct())
     texts = lines_of(df).select("h1", "h2", "line").join(_few(wanted), "h1").groupBy("h1", "h2").agg(F.min("line").alias("line"))
-    texts = cut(texts.select("h1", "line", F.char_length("line").alias("n"), F.expr(_counts("line", SIGNS[0])).alias("letters"), F.expr(_counts("line", SIGNS[1])).alias("digits")))
-    own = ("n", "letters", "digits")
+    texts = cut(texts.select("h1", "line", F.char_length("line").alias("n"), *[F.expr(_counts("line", x)).alias(c) for c, x in zip(COUNTS, SIGNS, strict=True)]))
+    own = ("n", *COUNTS)
     met = cut(met.join(texts.select("h1", *own), "h1").select("key", "own", *own, F.struct("at.doc", "at.place", "h1").alias("at")))
     # 1: each line against the earliest line of each of its own entries
     index = met.where("own").alias("a")
@@ -330,14 +340,20 @@ def near_lines(df: DataFrame, lines: DataFrame, levels: Levels = LEVELS) -> Data
     close = F.expr("a.key = b.key and a.at <> b.at and " + _near("a", "b", levels))
     pairs = _pairs(index.join(earliest.alias("b"), close))
     gone = cut(_verified(texts, pairs, levels))
-    # 2: lines still open against all entries that they probe, or that probe them, where these are not crowded
-    flag = gone.select(F.col("h1").alias("gone_h1"), F.lit(True).alias("gone"))
-    opened = met.join(_few(flag), F.col("at.h1") == F.col("gone_h1"), "left").select("key", "own", *own, "at", F.col("gone").isNull().alias("open"))
     crowded = cut(met.groupBy("key").agg(F.count("*").alias("held")).where(F.col("held") > CROWD).select("key", F.lit(True).alias("crowded")))
-    opened = cut(opened.join(_few(crowded), "key", "left"))
+    packed = cut(met.join(_few(crowded), "key").select("key", *own, "at"))
+    # 2: open lines of crowded entries against the earliest ones, and against the earliest open ones
+    earliest = Window.partitionBy("key").orderBy("at")
+    for turn in range(ROUNDS):
+        opened = _opened(packed, gone)
+        pivots = (opened.where("open") if turn else opened).withColumn("rank", F.row_number().over(earliest)).where(F.col("rank") <= PIVOTS).drop("rank")
+        met_pivot = F.expr(f"a.key = b.key and a.open and b.at < a.at and {_near('a', 'b', levels)}")
+        gone = cut(gone.union(_verified(texts, _pairs(opened.alias("a").join(cut(pivots).alias("b"), met_pivot)), levels)).distinct())
+    # 3: lines still open against all entries that they probe, or that probe them, where these are not crowded
+    opened = cut(_opened(met, gone).select("key", "own", *own, "at", "open").join(_few(crowded), "key", "left"))
     few = opened.where("crowded is null")
     pairs = _pairs(few.where("own").alias("a").join(few.alias("b"), _meet(levels)))
-    # 3: lines of crowded entries by finer keys
+    # 4: lines of crowded entries by finer keys
     rest = opened.where("crowded").groupBy("at", *own, "open").agg(F.max("own").alias("indexed"))
     rest = cut(rest.withColumn("h1", F.col("at.h1")).join(texts.select("h1", "line"), "h1").drop("h1"))
     for size in FINE:
