@@ -30,7 +30,8 @@ become all their pairs:
 4. lines of crowded entries (lines of a template, say) get finer keys: the
    shorter line is cut into segments of ``FINE`` characters and indexed by the
    t + 1 *rarest* of them. At most t of these are lost to t edits, so the longer
-   line, which probes every segment at every place it can have, still meets
+   line, which probes every segment at every place it can have (a segment's place
+   is the same in lines of all lengths, so each is read once), still meets
    it. What a template's lines have in common is frequent and therefore no key.
 
 A pair leaves a join only if the counts of 24 letters and eight digits
@@ -65,8 +66,8 @@ CROWD = 16
 PIVOTS, ROUNDS = 8, 2
 #: Lines up to this length read the places of their entries from a table, longer ones work them out.
 TABLED = 4096
-#: Characters of the finer segments, one size after the other.
-FINE = (8,)
+#: Characters of the finer segments.
+FINE = 8
 #: Signs whose counts a candidate pair must nearly share, eight to a number.
 SIGNS = ("etaoinhr", "dlcumfpg", "wybvkxjq", "01234567")
 COUNTS = tuple(f"c{i}" for i in range(len(SIGNS)))
@@ -119,30 +120,28 @@ def probe_places(levels: Levels, length: str = "n") -> str:
     return f"flatten(transform(sequence(0, {most}), d -> {_let(f'{length} - d', 'm', _let(allowed('m', levels), 't', each))}))"
 
 
-def _keys(places: str, line: str = "line") -> Column:
-    return F.expr(f"transform({places}, p -> xxhash64(p.m, p.i, substring({line}, p.at, p.size)))")
+def _fine(length: str, levels: Levels) -> str:
+    """SQL of the size of a line's finer segments: it has at least one more than the edits allowed."""
+    return f"cast(least({FINE}, {length} div ({allowed(length, levels)} + 1)) as int)"
 
 
-def _fine(size: int, levels: Levels, line: str, length: str, place: str) -> str:
-    """SQL of the keys of every segment of about ``size`` characters (at least t + 1 segments) of a line of ``length``, read at ``place``."""
-    spot = f"cast({length} * j div k + {place} as int)"
-    end = f"cast({length} * (j + 1) div k + {place} as int)"
-    key = f"xxhash64({length}, {size}, j, substring({line}, {spot} + 1, {end} - {spot}))"
-    each = f"transform(sequence(0, cast(k as int) - 1), j -> if({spot} >= 0 and {end} <= char_length({line}), {key}, null))"
-    return _let(f"greatest({length} div {size}, {allowed(length, levels)} + 1)", "k", each)
+def fine_index(lines: DataFrame, levels: Levels) -> DataFrame:
+    """The lines with j and key of every finer segment, a row each; segments lie end to end from the line's start."""
+    each = lines.withColumn("z", F.expr(_fine("n", levels))).withColumn("j", F.explode(F.expr("sequence(0, cast(n div z as int) - 1)")))
+    return each.withColumn("key", F.expr("xxhash64(z, j, substring(line, j * z + 1, z))")).drop("line", "z")
 
 
-def fine_index(size: int, levels: Levels, line: str = "line", length: str = "n") -> Column:
-    return F.expr(_fine(size, levels, line, length, "0"))
+def fine_probe(lines: DataFrame, levels: Levels) -> DataFrame:
+    """The lines with s and key of every place, s on, where they can hold a finer segment of a line near them and not longer.
 
-
-def fine_probe(size: int, levels: Levels, line: str = "line", length: str = "n") -> Column:
-    arrays = []
-    for less in range(max(k for _, k in levels) + 1):
-        m = f"({length} - {less})"
-        for shift in sorted({s for _, k in levels for s in _shifts(less, k)}):
-            arrays.append(f"if({abs(shift) + abs(less - shift)} <= {allowed(m, levels)} and {m} >= {min(x for x, _ in levels)}, {_fine(size, levels, line, m, str(shift))}, cast(array() as array<bigint>))")
-    return F.expr(f"array_distinct(array_compact(concat({', '.join(arrays)})))")
+    A segment's place does not depend on its line's length (its size only where
+    lines are short), so a place is read once for all lengths within the edits.
+    """
+    sizes = f"array_distinct(transform(filter(sequence(0, t), d -> n - d >= {min(x for x, _ in levels)}), d -> {_fine('(n - d)', levels)}))"
+    spots = "transform(sequence(cast(-(t div 2) as int), t), s -> struct(z, j, s))"
+    places = f"filter(flatten(transform({sizes}, z -> flatten(transform(sequence(0, cast(n div z as int) - 1), j -> {spots})))), p -> p.j * p.z + p.s between 0 and n - p.z)"
+    each = lines.withColumn("t", F.expr(allowed("n", levels))).withColumn("p", F.explode(F.expr(places)))
+    return each.withColumns({"s": F.col("p.s"), "key": F.expr("xxhash64(p.z, p.j, substring(line, p.j * p.z + p.s + 1, p.z))")}).drop("line", "t", "p")
 
 
 def _shared(a: str, b: str, most: str, cut_of: str) -> str:
@@ -234,21 +233,27 @@ def lines_of(df: DataFrame) -> DataFrame:
 
 
 def occurrences(df: DataFrame, levels: Levels) -> DataFrame:
-    """Every line of (doc_id, text) as hashes only, written once to the shared folder.
-
-    ``index`` are its index entries and ``probe`` the other entries it probes;
-    both are null for a line below the first level.
+    """Every line of (doc_id, text) as hashes only, a row for each of its entries, written once to the shared folder.
+
+    ``entry`` numbers a line's entries: its index entries (``own``), then the
+    others that it probes. A line below the first level is one row without a key.
+    Places come from a table by length, and each is a row before its key is
+    made: keys inside array functions are not compiled, which costs several times
+    as much. Where all characters are bytes, a segment is cut from the bytes
+    (the same key, and no count of characters from the line's start).
     """
-    spark = df.sparkSession
     least = min(x for x, _ in levels)
-    places = spark.range(least, TABLED + 1).select(F.col("id").cast("int").alias("n")).select("n", F.expr(index_places(levels)).alias("own"), F.expr(probe_places(levels)).alias("other"))
+    spot = "transform({0}, p -> struct(p.m as m, p.i as i, p.at as at, p.size as size, {1} as own))"
+    spots = F.expr(f"concat({spot.format(index_places(levels), 'true')}, {spot.format(probe_places(levels), 'false')})")
+    places = df.sparkSession.range(least, TABLED + 1).select(F.col("id").cast("int").alias("n")).select("n", spots.alias("spots"))
     lines = lines_of(df).withColumn("n", F.char_length("line")).join(F.broadcast(places), "n", "left")  # TABLED rows
-    some = F.col("n") >= least
-    lines = lines.withColumns({"own": F.when(some, F.coalesce("own", F.expr(index_places(levels)))), "other": F.when(some, F.coalesce("other", F.expr(probe_places(levels))))})
-    keys = lines.withColumns({"index": _keys("own"), "probe": _keys("other")})
-    path = run_dir(spark, "lines")
-    keys.select("doc", "doc_text", "place", "h1", "h2", "index", "probe").write.parquet(path)
-    return spark.read.parquet(path)
+    lines = lines.withColumns({"spots": F.when(F.col("n") >= least, F.coalesce("spots", spots)), "raw": F.col("line").cast("binary"), "bytes": F.octet_length("line") == F.col("n")})
+    held = ("doc", "doc_text", "place", "h1", "h2")
+    each = lines.select(*held, "line", "raw", "bytes", F.posexplode_outer("spots").alias("entry", "p"))
+    key = "if(bytes, xxhash64(p.m, p.i, substring(raw, p.at, p.size)), xxhash64(p.m, p.i, substring(line, p.at, p.size)))"
+    path = run_dir(df.sparkSession, "lines")
+    each.select(*held, F.coalesce("entry", F.lit(0)).alias("entry"), F.col("p.own").alias("own"), F.expr(f"if(p is null, null, {key})").alias("key")).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def _few(df: DataFrame) -> DataFrame:
@@ -297,38 +302,37 @@ def _opened(lines: DataFrame, gone: DataFrame) -> DataFrame:
     return lines.join(_few(flag), F.col("at.h1") == F.col("gone_h1"), "left").withColumn("open", F.col("gone").isNull()).drop("gone", "gone_h1")
 
 
-def _fine_pairs(lines: DataFrame, size: int, levels: Levels, last: bool) -> tuple[DataFrame, DataFrame | None]:
-    """Pairs of lines (at, n, line, counts, open, indexed) by finer keys, and the lines of keys that are crowded again."""
+def _fine_pairs(lines: DataFrame, levels: Levels) -> DataFrame:
+    """Pairs of lines (at, n, line, counts, open, indexed) by the t + 1 rarest finer segments of the shorter one.
+
+    Of t + 1 segments in order, one (the i-th, from 0) is met with just i edits
+    before it and t - i at most after it, which bounds its shift.
+    """
     own = ("at", "n", *COUNTS, "open")
-    keyed = lines.where("indexed").select("at", "n", F.explode(F.array_distinct(fine_index(size, levels))).alias("key"))
-    often = cut(keyed.groupBy("key").agg(F.count("*").alias("often")))
-    rated = keyed.join(often, "key").groupBy("at", "n").agg(F.sort_array(F.collect_list(F.struct("often", "key"))).alias("keys"))
-    rarest = F.expr(f"transform(slice(keys, 1, {allowed('n', levels)} + 1), x -> x.key)")  # a line has size(line) / size keys at most
-    index = rated.select("at", F.explode(rarest).alias("key")).join(lines.select(*own), "at")
-    probes = lines.select(*own, F.explode(fine_probe(size, levels)).alias("key"))
-    index = cut(index.select("key", *own))
-    wanted = cut(index.groupBy("key").agg(F.count("*").alias("held")))
-    probes = cut(probes.join(_few(wanted), "key"))
-    crowded = wanted.where(F.col("held") > (CROWD if not last else LAST)).select("key", F.lit(True).alias("crowded"))
-    index, probes = (x.join(_few(crowded), "key", "left") for x in (index, probes))
-    pairs = _pairs(index.where("crowded is null").alias("a").join(probes.where("crowded is null").alias("b"), _meet(levels)))
-    if last:
-        return pairs, None
-    again = index.where("crowded").select("at", F.lit(True).alias("indexed")).union(probes.where("crowded").select("at", F.lit(False)))
-    again = again.groupBy("at").agg(F.max("indexed").alias("indexed"))
-    return pairs, cut(lines.drop("indexed").join(again, "at"))
-
-
-def near_lines(df: DataFrame, lines: DataFrame, levels: Levels = LEVELS) -> DataFrame:
-    """h1 of every one of the ``lines`` (occurrences of df's) that has an earlier, different line near it."""
-    at = F.struct("doc", "place")
-    entry = F.col("e.key").alias("key"), F.col("e.own").alias("own")
-    tagged = F.expr("concat(transform(index, k -> struct(k as key, true as own)), transform(probe, k -> struct(k as key, false as own)))")
-    entries = lines.where("index is not null").select("h1", at.alias("at"), F.explode(tagged).alias("e")).select("h1", "at", *entry)
+    most = f"{allowed('n', levels)} + 1"
+    keyed = fine_index(lines.where("indexed").select("at", "n", "line"), levels)
+    often = cut(keyed.groupBy("key").agg(F.count("*").alias("often"), F.min(F.struct("at", "n", "j")).alias("one")))
+    # a segment that one line has alone knows its line; only lines without enough of them look up how often each of theirs occurs
+    alone = often.where("often = 1").groupBy("one.at", "one.n").agg(F.collect_list(F.struct("one.j", "key")).alias("keys"))
+    alone = cut(alone.where(f"size(keys) >= {most}"))
+    rest = keyed.join(_few(alone.select("at")), "at", "left_anti").join(often.select("key", "often"), "key")
+    rated = rest.groupBy("at", "n").agg(F.sort_array(F.collect_list(F.struct("often", "j", "key"))).alias("keys"))  # size(line) / FINE or so
+    rated = rated.select("at", "n", F.expr("transform(keys, x -> struct(x.j as j, x.key as key))").alias("keys"))
+    rarest = F.expr(f"array_sort(slice(keys, 1, {most}))")
+    index = alone.union(rated).select("at", F.posexplode(rarest).alias("i", "x")).join(lines.select(*own), "at")
+    index = cut(index.select("x.key", "i", *own))
+    probes = fine_probe(lines.select(*own, "line"), levels)
+    shift = F.expr(f"a.n <= b.n and abs(b.s) <= a.i and abs(b.n - a.n - b.s) <= {allowed('a.n', levels)} - a.i")
+    return _pairs(probes.alias("b").join(_few(index.alias("a")), _meet(levels) & shift))
+
+
+def near_lines(df: DataFrame, rows: DataFrame, levels: Levels = LEVELS) -> DataFrame:
+    """h1 of every line with an earlier, different line near it, of the lines of df whose ``occurrences`` are ``rows``."""
+    entries = rows.where("key is not null").select("h1", F.struct("doc", "place").alias("at"), "key", "own")
     # entries that different lines meet in; all others end here
     shared = entries.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"), F.max("own").alias("own")).where("lo <> hi and own").select("key")
     shared = cut(shared)
-    met = cut(entries.join(_few(shared), "key").groupBy("key", "own", "h1").agg(F.min("at").alias("at")))
+    met = cut(entries.join(_few(shared), "key", "left_semi").groupBy("key", "own", "h1").agg(F.min("at").alias("at")))
     wanted = cut(met.select("h1").distinct())
     texts = lines_of(df).select("h1", "h2", "line").join(_few(wanted), "h1").groupBy("h1", "h2").agg(F.min("line").alias("line"))
     texts = cut(texts.select("h1", "line", F.char_length("line").alias("n"), *[F.expr(_counts("line", x)).alias(c) for c, x in zip(COUNTS, SIGNS, strict=True)]))
@@ -341,7 +345,7 @@ def near_lines(df: DataFrame, lines: DataFrame, levels: Levels = LEVELS) -> Data
     pairs = _pairs(index.join(earliest.alias("b"), close))
     gone = cut(_verified(texts, pairs, levels))
     crowded = cut(met.groupBy("key").agg(F.count("*").alias("held")).where(F.col("held") > CROWD).select("key", F.lit(True).alias("crowded")))
-    packed = cut(met.join(_few(crowded), "key").select("key", *own, "at"))
+    packed = cut(met.join(_few(crowded.select("key")), "key", "left_semi").select("key", *own, "at"))
     # 2: open lines of crowded entries against the earliest ones, and against the earliest open ones
     earliest = Window.partitionBy("key").orderBy("at")
     for turn in range(ROUNDS):
@@ -356,11 +360,8 @@ def near_lines(df: DataFrame, lines: DataFrame, levels: Levels = LEVELS) -> Data
     # 4: lines of crowded entries by finer keys
     rest = opened.where("crowded").groupBy("at", *own, "open").agg(F.max("own").alias("indexed"))
     rest = cut(rest.withColumn("h1", F.col("at.h1")).join(texts.select("h1", "line"), "h1").drop("h1"))
-    for size in FINE:
-        if rest.isEmpty():
-            break
-        more, rest = _fine_pairs(rest, size, levels, last=size == FINE[-1])
-        pairs = pairs.union(more)
+    if not rest.isEmpty():
+        pairs = pairs.union(_fine_pairs(rest, levels))
     return gone.union(_verified(texts, pairs, levels)).distinct()
 
 
@@ -374,10 +375,11 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     if any(least <= k for least, k in levels):
         raise ValueError("a line must be longer than the edits allowed")
     texts = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    lines = occurrences(texts, levels)
+    entries = occurrences(texts, levels)
+    lines = entries.where("entry = 0").select("doc", "doc_text", "place", "h1", "h2")
     place = F.struct("doc", "place")
     groups = lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    near = cut(near_lines(texts, lines, levels)).withColumn("near", F.lit(True))
+    near = cut(near_lines(texts, entries, levels)).withColumn("near", F.lit(True))
     marked = groups.join(near, "h1", "left").where("near or first <> last").select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
     marked = cut(marked)  # so that the join can split a line that very many documents share
     hits = lines.select("h1", "h2", "doc", "doc_text", "place").join(marked, ["h1", "h2"]).where(F.col("near") | (F.struct("doc", "place") != F.col("first")))

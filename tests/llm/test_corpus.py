@@ -189,6 +189,29 @@ def test_pairs_of_template_lines_grow_with_the_lines(spark, monkeypatch):
         assert sum(counted[marks:]) <= 2 * n
 
 
+def test_finer_segments_meet_within_their_shifts(spark):
+    """Any t + 1 segments of a line meet every near line in one that its rank allows; a place is read once for all lengths."""
+    r, levels, rows = random.Random(5), ((12, 1), (60, 2), (150, 3)), []
+    for k in range(90):
+        a = sentences(500 + k, 1, (4, 12, 30)[k % 3])
+        b = list(a)
+        for _ in range(max(e for least, e in levels if len(a) >= least)):
+            p = r.randrange(len(b) + 1)
+            b[p : p + r.randint(0, 1)] = r.choice(["", "q", "é"])
+        rows.append((k, *sorted((a, "".join(b)), key=len)))
+    lines = spark.createDataFrame([(k, j, x) for k, *both in rows for j, x in enumerate(both)], "k int, side int, line string").withColumn("n", F.char_length("line"))
+    own, probes = defaultdict(dict), defaultdict(list)
+    for x in linedup.fine_index(lines.where("side = 0"), levels).collect():
+        own[x["k"]][x["j"]] = x["key"]
+    for x in linedup.fine_probe(lines.where("side = 1"), levels).collect():
+        probes[x["k"]].append((x["key"], x["s"]))
+    for k, a, b in rows:
+        t = max(e for least, e in levels if len(a) >= least)
+        chosen = sorted(r.sample(sorted(own[k]), t + 1))
+        assert any(key == own[k][j] and abs(s) <= i and abs(len(b) - len(a) - s) <= t - i for i, j in enumerate(chosen) for key, s in probes[k])
+        assert len(a) < 60 or len(probes[k]) <= (t + t // 2 + 2) * (len(b) // 8)
+
+
 # ---------------------------------------------------------------- 2: repeated byte strings
 
 
