@@ -55,7 +55,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daybook.llm.shared import cut, run_dir
+from daybook.llm.shared import cut, run_dir, slots
 
 #: Edits allowed for a pair whose shorter line has at least so many characters.
 LEVELS = ((24, 1), (64, 2), (512, 3))
@@ -321,7 +321,8 @@ def _fine_pairs(lines: DataFrame, levels: Levels) -> DataFrame:
     rarest = F.expr(f"array_sort(slice(keys, 1, {most}))")
     index = alone.union(rated).select("at", F.posexplode(rarest).alias("i", "x")).join(lines.select(*own), "at")
     index = cut(index.select("x.key", "i", *own))
-    probes = fine_probe(lines.select(*own, "line"), levels)
+    # a line has hundreds of places: few lines, in few partitions, are dealt evenly first
+    probes = fine_probe(lines.select(*own, "line").repartition(slots(lines.sparkSession)), levels)
     shift = F.expr(f"a.n <= b.n and abs(b.s) <= a.i and abs(b.n - a.n - b.s) <= {allowed('a.n', levels)} - a.i")
     return _pairs(probes.alias("b").join(_few(index.alias("a")), _meet(levels) & shift))
 
