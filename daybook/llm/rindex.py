@@ -28,7 +28,8 @@ one task: its blocks are cut again by anchors of the next size in ``GRAMS``;
 at the last, the string itself, different blocks have different anchors. Hot
 anchors and blocks meet their rows in equi-joins that Spark splits. Ids that
 restrict a pass over the texts are broadcast up to ``BROADCAST`` rows only;
-beyond that the same join shuffles.
+beyond that the same join shuffles. Blocks meet their anchors in a shuffle at
+every size.
 
 Defined cases: a null text counts as empty; texts shorter than ``length`` stay
 whole; equal rows are copies of each other, so both lose what they share; null
@@ -356,8 +357,9 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     _all_blocks(texts.where(F.octet_length("text") >= length).select("doc", "hash", "text"), length).write.parquet(path)
     cut_up = df.sparkSession.read.parquet(path)
     # cut off, so that the join below can split an anchor that very many blocks share
+    # anchors grow with the corpus: always shuffled, so that disk grows in step with the input
     twice = cut(cut_up.groupBy("anchor").agg(F.count("*").alias("seen")).where("seen > 1").select("anchor"))
-    placed = cut(cut_up.join(F.broadcast(twice) if twice.count() <= BROADCAST else twice, "anchor"))
+    placed = cut(cut_up.join(twice.hint("merge"), "anchor", "left_semi"))
     # one place to fetch each different block from
     where = F.min(F.struct("doc", "hash", "start", "n")).alias("w")
     distinct = placed.groupBy("anchor", "block").agg(F.count("*").alias("copies"), where)

@@ -270,6 +270,16 @@ def test_crowded_anchors_and_shuffled_joins(spark, monkeypatch):
     assert _removed(texts_frame(spark, rows), 200) == _digests(rows, 200)
 
 
+def test_blocks_meet_their_anchors_in_a_shuffle(spark, monkeypatch):
+    """The same plan at every size, so that what it writes grows in step with the input."""
+    plans, real = [], rindex.cut
+    monkeypatch.setattr(rindex, "cut", lambda df: plans.append((df.columns, df._jdf.queryExecution().executedPlan().toString())) or real(df))
+    rows = [(i, sentences(i % 2, 12)) for i in range(4)]
+    assert _removed(texts_frame(spark, rows), 200) == _digests(rows, 200)
+    plan = next(p for c, p in plans if {"anchor", "start", "doc"} <= set(c))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 # ---------------------------------------------------------------- 9: chat formatting
 
 
