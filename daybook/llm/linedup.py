@@ -33,6 +33,8 @@ become all their pairs:
    line, which probes every segment at every place it can have (a segment's place
    is the same in lines of all lengths, so each is read once), still meets
    it. What a template's lines have in common is frequent and therefore no key.
+   Lines are read in stretches of ``STRETCH`` characters, dealt evenly to tasks
+   whose number grows with the characters.
 
 A pair leaves a join only if the counts of 24 letters and eight digits
 differ by at most 2t in all, which t edits imply. No pair is lost in any step.
@@ -68,6 +70,8 @@ PIVOTS, ROUNDS = 8, 2
 TABLED = 4096
 #: Characters of the finer segments.
 FINE = 8
+#: Characters of a line whose finer segments are read in one row, and how many such rows make a task.
+STRETCH, DEALT = 512, 64
 #: Signs whose counts a candidate pair must nearly share, eight to a number.
 SIGNS = ("etaoinhr", "dlcumfpg", "wybvkxjq", "01234567")
 COUNTS = tuple(f"c{i}" for i in range(len(SIGNS)))
@@ -125,10 +129,32 @@ def _fine(length: str, levels: Levels) -> str:
     return f"cast(least({FINE}, {length} div ({allowed(length, levels)} + 1)) as int)"
 
 
+def _stretches(lines: DataFrame, levels: Levels) -> DataFrame:
+    """The lines as rows of ``part``, with ``first``, the first of up to ``STRETCH`` characters where a segment of it starts.
+
+    A part begins at ``base`` and also holds what segments that start in it need
+    on both sides. Parts are dealt evenly to tasks of ``DEALT`` each, so that
+    neither many lines nor a long one lie in one task, and no segment is
+    counted off from the start of a long line.
+    """
+    most = max(k for _, k in levels)
+    parts = lines.agg(F.sum(F.expr(f"(n - 1) div {STRETCH} + 1"))).first()[0] or 0
+    tasks = min(max(1, -(-parts // DEALT)), 16 * slots(lines.sparkSession))
+    each = lines.withColumn("first", F.explode(F.expr(f"transform(sequence(0, cast((n - 1) div {STRETCH} as int)), q -> q * {STRETCH})")))
+    each = each.withColumn("base", F.expr(f"greatest(first - {most}, 0)"))
+    return each.withColumn("part", F.expr(f"substring(line, base + 1, {STRETCH + FINE + 2 * most})")).drop("line").repartition(tasks)
+
+
+def _started(z: str) -> str:
+    """SQL of the numbers j of the finer segments of z characters that start in a stretch."""
+    start, end = f"cast((first + {z} - 1) div {z} as int)", f"cast(least(n div {z}, (first + {STRETCH} + {z} - 1) div {z}) as int)"
+    return f"if({start} < {end}, sequence({start}, {end} - 1), cast(array() as array<int>))"
+
+
 def fine_index(lines: DataFrame, levels: Levels) -> DataFrame:
     """The lines with j and key of every finer segment, a row each; segments lie end to end from the line's start."""
-    each = lines.withColumn("z", F.expr(_fine("n", levels))).withColumn("j", F.explode(F.expr("sequence(0, cast(n div z as int) - 1)")))
-    return each.withColumn("key", F.expr("xxhash64(z, j, substring(line, j * z + 1, z))")).drop("line", "z")
+    each = _stretches(lines, levels).withColumn("z", F.expr(_fine("n", levels))).withColumn("j", F.explode(F.expr(_started("z"))))
+    return each.withColumn("key", F.expr("xxhash64(z, j, substring(part, j * z - base + 1, z))")).drop("first", "base", "part", "z")
 
 
 def fine_probe(lines: DataFrame, levels: Levels) -> DataFrame:
@@ -139,9 +165,10 @@ def fine_probe(lines: DataFrame, levels: Levels) -> DataFrame:
     """
     sizes = f"array_distinct(transform(filter(sequence(0, t), d -> n - d >= {min(x for x, _ in levels)}), d -> {_fine('(n - d)', levels)}))"
     spots = "transform(sequence(cast(-(t div 2) as int), t), s -> struct(z, j, s))"
-    places = f"filter(flatten(transform({sizes}, z -> flatten(transform(sequence(0, cast(n div z as int) - 1), j -> {spots})))), p -> p.j * p.z + p.s between 0 and n - p.z)"
-    each = lines.withColumn("t", F.expr(allowed("n", levels))).withColumn("p", F.explode(F.expr(places)))
-    return each.withColumns({"s": F.col("p.s"), "key": F.expr("xxhash64(p.z, p.j, substring(line, p.j * p.z + p.s + 1, p.z))")}).drop("line", "t", "p")
+    places = f"filter(flatten(transform({sizes}, z -> flatten(transform({_started('z')}, j -> {spots})))), p -> p.j * p.z + p.s between 0 and n - p.z)"
+    each = _stretches(lines, levels).withColumn("t", F.expr(allowed("n", levels))).withColumn("p", F.explode(F.expr(places)))
+    keyed = {"s": F.col("p.s"), "key": F.expr("xxhash64(p.z, p.j, substring(part, p.j * p.z + p.s - base + 1, p.z))")}
+    return each.withColumns(keyed).drop("first", "base", "part", "t", "p")
 
 
 def _shared(a: str, b: str, most: str, cut_of: str) -> str:
@@ -321,8 +348,7 @@ def _fine_pairs(lines: DataFrame, levels: Levels) -> DataFrame:
     rarest = F.expr(f"array_sort(slice(keys, 1, {most}))")
     index = alone.union(rated).select("at", F.posexplode(rarest).alias("i", "x")).join(lines.select(*own), "at")
     index = cut(index.select("x.key", "i", *own))
-    # a line has hundreds of places: few lines, in few partitions, are dealt evenly first
-    probes = fine_probe(lines.select(*own, "line").repartition(slots(lines.sparkSession)), levels)
+    probes = fine_probe(lines.select(*own, "line"), levels)
     shift = F.expr(f"a.n <= b.n and abs(b.s) <= a.i and abs(b.n - a.n - b.s) <= {allowed('a.n', levels)} - a.i")
     return _pairs(probes.alias("b").join(_few(index.alias("a")), _meet(levels) & shift))
 

@@ -212,6 +212,23 @@ def test_finer_segments_meet_within_their_shifts(spark):
         assert len(a) < 60 or len(probes[k]) <= (t + t // 2 + 2) * (len(b) // 8)
 
 
+def test_places_of_many_lines_and_of_a_long_one_are_dealt_to_tasks_that_grow_in_number(spark):
+    """Every place of every line once, as many in a task whatever the lines' number and length."""
+    r, tasks = random.Random(11), []
+    for times in (1, 4):
+        texts = ["".join(r.choice("abcdeé漢 ") for _ in range(n)) for n in [*(r.randint(512, 1100) for _ in range(60 * times)), 40_000 * times]]
+        lines = spark.createDataFrame(list(enumerate(texts)), "k int, line string").withColumn("n", F.char_length("line"))
+        probes = linedup.fine_probe(lines, linedup.LEVELS).withColumn("task", F.spark_partition_id()).collect()
+        want = Counter((k, s) for k, x in enumerate(texts) for j in range(len(x) // 8) for s in range(-1, 4) if 0 <= 8 * j + s <= len(x) - 8)
+        assert Counter((x["k"], x["s"]) for x in probes) == want
+        own = Counter((x["k"], x["key"]) for x in linedup.fine_index(lines, linedup.LEVELS).collect())
+        assert own == Counter((x["k"], x["key"]) for x in probes if x["s"] == 0) and own.total() == sum(len(x) // 8 for x in texts)
+        held = Counter(x["task"] for x in probes).values()
+        assert max(held) <= min(linedup.DEALT * 5 * linedup.STRETCH // linedup.FINE, 2 * len(probes) / len(held))
+        tasks.append(len(held))
+    assert tasks[1] >= 3 * tasks[0]
+
+
 # ---------------------------------------------------------------- 2: repeated byte strings
 
 
